@@ -40,22 +40,20 @@ class Steps:
     def first(self) -> DataFrame:
         return linkage.exact_name_match(self.cohort(), self.open_persons(), self.contacts())
 
-    def blocks(self) -> DataFrame:
-        return linkage.exact_name_blocks(self.cohort(), self.open_persons())
+    def status(self) -> DataFrame:
+        return linkage.match_status(self.cohort(), self.open_persons())
+
+    def decided(self) -> DataFrame:
+        return linkage.decide(self.first(), self.status())
 
     def second(self, **options) -> DataFrame:
         return linkage.partial_name_match(self.cohort(), self.open_persons(), self.contacts(), **options)
 
     def accepted(self) -> DataFrame:
-        return linkage.accepted(self.first(), self.blocks())
+        return linkage.accepted(self.decided())
 
     def review(self) -> DataFrame:
-        first, blocks = self.first(), self.blocks()
-        return linkage.review_queue(
-            ambiguous=linkage.ambiguous(first, blocks),
-            low_score=linkage.low_score(first),
-            partial_name=self.second(),
-        )
+        return linkage.review_queue(self.decided(), self.second())
 
     def concept(self) -> DataFrame:
         return vocabulary.seed(self.v.concept, vocabulary.seed_concepts(self.spark))
@@ -126,7 +124,8 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "first_match": lambda s: s.first(),
     "first_match_members": lambda s: linkage.exact_name_blocks(s.cohort(), s.open_persons(), max_block=0),
     "name_block_sizes": lambda s: linkage.name_block_sizes(s.cohort(), s.open_persons()),
-    "ambiguous_match": lambda s: linkage.ambiguous(s.first(), s.blocks()),
+    "match_status": lambda s: s.status(),
+    "ambiguous_match": lambda s: linkage.ambiguous(s.decided()),
     "accepted_match": lambda s: s.accepted(),
     "low_score_match": lambda s: linkage.low_score(s.first()),
     "second_match": lambda s: s.second(),

@@ -113,6 +113,7 @@ VIEWS = {
     "roster_master": f"""
         select cast(c_custkey as string) as study_id, 0 as duplicate_record___yes,
                case when c_custkey % 5 = 0 then null
+                    when c_custkey % 111 = 7 then '0' || cast(8000000 + c_custkey as string)
                     when c_custkey % 5 = 1 then cast(1000000 + c_custkey as string)
                     else '0' || cast(1000000 + c_custkey as string) end as mrn,
                'F' || cast(c_custkey % 97 as string) as first_name, 'L' || cast(c_custkey % 211 as string) as last_name,

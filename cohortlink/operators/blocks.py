@@ -16,17 +16,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _keys_above(side: DataFrame, keys: Sequence[str], max_side: int) -> DataFrame:
-    counts = side.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.where(F.col("n_rows") > max_side).select(*keys)
+def block_sizes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key on either side, counted in one aggregation over both."""
+    keys = list(keys)
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    lefts = left.dropna(subset=keys).select(*keys, one.alias("n_left"), none.alias("n_right"))
+    rights = right.dropna(subset=keys).select(*keys, none.alias("n_left"), one.alias("n_right"))
+    return (
+        lefts.unionByName(rights)
+        .groupBy(*keys)
+        .agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
+    )
 
 
 def oversized_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], max_side: int) -> DataFrame:
     """Keys held by more than ``max_side`` rows on both sides."""
-    keys = list(keys)
-    left_keys = _keys_above(left.dropna(subset=keys), keys, max_side)
-    right_keys = _keys_above(right.dropna(subset=keys), keys, max_side)
-    return left_keys.join(right_keys, keys)
+    sizes = block_sizes(left, right, keys)
+    return sizes.where(F.least("n_left", "n_right") > max_side).select(*keys)
 
 
 def block_pairs(
@@ -58,11 +64,3 @@ def block_members(
     lefts = left.join(big, keys, "left_semi").select(*keys, F.col(left_id))
     rights = right.join(big, keys, "left_semi").select(*keys, F.col(right_id))
     return lefts.unionByName(rights, allowMissingColumns=True).distinct()
-
-
-def block_sizes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per key on both sides and the pairs they would make."""
-    keys = list(keys)
-    lefts = left.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_left"))
-    rights = right.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_right"))
-    return lefts.join(rights, keys).withColumn("n_pairs", F.col("n_left") * F.col("n_right"))

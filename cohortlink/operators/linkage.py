@@ -7,7 +7,7 @@ value, so no contact list is ever gathered per person.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +19,7 @@ from ..functions.text import contact_key, match_key, phone_key
 from .blocks import block_members, block_pairs, block_sizes
 
 NAME_KEYS = ["k_first", "k_last", "k_dob"]
-FIRST_KEYS = ["k_first", "k_dob"]
-LAST_KEYS = ["k_last", "k_dob"]
+ONE_NAME_KEYS = ["k_part", "k_name", "k_dob"]
 
 _IDENTITY = [
     "pmi_id",
@@ -75,7 +74,7 @@ def persons(person: DataFrame) -> DataFrame:
     )
 
 
-def contact_flags(pairs: DataFrame, contacts: DataFrame, wanted: dict[str, Column]) -> DataFrame:
+def contact_flags(pairs: DataFrame, contacts: DataFrame, wanted: Mapping[str, Column]) -> DataFrame:
     """Add a 0/1 ``<kind>_match`` column to distinct pairs for each wanted contact value.
 
     ``wanted`` maps a contact kind to the key to look for. Each pair is asked
@@ -135,129 +134,156 @@ def exact_name_blocks(cohort: DataFrame, person: DataFrame, max_block: int = MAX
     )
 
 
-def _not_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose participant id is not among ``ids``."""
-    known = ids.where(F.col("pmi_id").isNotNull()).select(match_key(F.col("pmi_id")).alias("_id"))
-    return rows.withColumn("_id", match_key(F.col("pmi_id"))).join(known, "_id", "left_anti").drop("_id")
-
-
-def _in(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    known = ids.where(F.col("pmi_id").isNotNull()).select(match_key(F.col("pmi_id")).alias("_id"))
-    return rows.withColumn("_id", match_key(F.col("pmi_id"))).join(known, "_id", "left_semi").drop("_id")
+def match_status(cohort: DataFrame, person: DataFrame) -> DataFrame:
+    """Per participant id whether it has no, one or several exact name candidates.
 
+    Persons are reduced to the lowest and highest id per name key before the
+    join, so this costs one row per participant whatever the block sizes.
+    Columns: ``k_pmi``, ``status`` (none, one, several).
+    """
+    per_key = (
+        persons(person)
+        .dropna(subset=NAME_KEYS)
+        .groupBy(*NAME_KEYS)
+        .agg(F.min("master_id").alias("lowest"), F.max("master_id").alias("highest"))
+    )
+    return (
+        participants(cohort)
+        .select(match_key(F.col("pmi_id")).alias("k_pmi"), *NAME_KEYS)
+        .join(per_key, NAME_KEYS, "left")
+        .groupBy("k_pmi")
+        .agg(F.min("lowest").alias("lowest"), F.max("highest").alias("highest"))
+        .select(
+            "k_pmi",
+            F.when(F.col("lowest").isNull(), "none")
+            .when(F.col("lowest") == F.col("highest"), "one")
+            .otherwise("several")
+            .alias("status"),
+        )
+    )
 
-def unmatched(cohort: DataFrame, person: DataFrame) -> DataFrame:
-    """Cohort rows of participants without any exact name candidate.
 
-    Decided by one semi-join on the name key, before any pair is made.
-    """
-    names = persons(person).dropna(subset=NAME_KEYS).select(*NAME_KEYS)
-    keyed = participants(cohort)
-    return _not_in(cohort.where(F.col("pmi_id").isNotNull()), keyed.join(names, NAME_KEYS, "left_semi"))
+def _one_name(side: DataFrame) -> DataFrame:
+    """Each row once under its first name and once under its last name."""
+    parts = F.array(*[
+        F.struct(F.lit(part).alias("k_part"), F.col(key).alias("k_name"))
+        for part, key in (("first", "k_first"), ("last", "k_last"))
+    ])
+    return side.select("*", F.explode(parts).alias("_part")).select(*side.columns, "_part.*")
+
+
+def _partial_sides(
+    cohort: DataFrame, person: DataFrame, status: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    status = match_status(cohort, person) if status is None else status
+    unmatched = status.where(F.col("status") == "none").select("k_pmi")
+    left = (
+        participants(cohort)
+        .withColumn("k_pmi", match_key(F.col("pmi_id")))
+        .join(unmatched, "k_pmi", "left_semi")
+        .drop("k_pmi")
+    )
+    right = persons(person).withColumnsRenamed({"k_first": "p_first", "k_last": "p_last"})
+    right = right.withColumns({"k_first": F.col("p_first"), "k_last": F.col("p_last")})
+    return _one_name(left), _one_name(right).drop("k_first", "k_last")
 
 
 def partial_name_match(
     cohort: DataFrame,
     person: DataFrame,
     contacts: DataFrame,
+    status: DataFrame | None = None,
     require_contact: bool = False,
     max_block: int = MAX_BLOCK_SIDE,
 ) -> DataFrame:
     """Candidates equal in birth date and one name, for participants without an exact candidate.
 
-    Two equi-joins, on first name and on last name, take the place of a join
-    on either; a pair equal in both belongs to the first. All of these go to
-    review, whatever their score.
+    Both sides are listed once per name, so one equi-join takes the place of a
+    join on either name; a pair equal in both counts under the first name. All
+    of these go to review, whatever their score.
     """
-    left, right = participants(unmatched(cohort, person)), persons(person)
-    right_last = right.withColumnRenamed("k_first", "p_first")
-    right_first = right.withColumnRenamed("k_last", "p_last")
-    same_first = F.coalesce(F.col("k_first") == F.col("p_first"), F.lit(False))
-
-    by_first = block_pairs(left, right_first, FIRST_KEYS, max_block).withColumns({
-        "first_name_match": F.lit(1),
-        "last_name_match": flag(F.col("k_last") == F.col("p_last")),
-        "dob_match": F.lit(1),
-    })
-    by_last = (
-        block_pairs(left, right_last, LAST_KEYS, max_block)
-        .where(~same_first)
+    left, right = _partial_sides(cohort, person, status)
+    first, last = F.col("k_first") == F.col("p_first"), F.col("k_last") == F.col("p_last")
+    pairs = (
+        block_pairs(left, right, ONE_NAME_KEYS, max_block)
+        .where((F.col("k_part") == "first") | ~F.coalesce(first, F.lit(False)))
         .withColumns({
-            "first_name_match": F.lit(0),
-            "last_name_match": F.lit(1),
+            "first_name_match": flag(first),
+            "last_name_match": flag(last),
             "dob_match": F.lit(1),
         })
     )
-    columns = [*_IDENTITY, *_NAME_FLAGS]
-    scored = _scored(by_first.select(*columns).unionByName(by_last.select(*columns)), contacts)
+    scored = _scored(pairs, contacts)
     if require_contact:
         scored = scored.where(F.col("score_reference") > 3)
     return scored
 
 
-def partial_name_blocks(cohort: DataFrame, person: DataFrame, max_block: int = MAX_BLOCK_SIDE) -> DataFrame:
+def partial_name_blocks(
+    cohort: DataFrame,
+    person: DataFrame,
+    status: DataFrame | None = None,
+    max_block: int = MAX_BLOCK_SIDE,
+) -> DataFrame:
     """Participants and persons of the oversized blocks of the second match."""
-    left, right = participants(unmatched(cohort, person)), persons(person)
-    by_first = block_members(left, right, FIRST_KEYS, max_block, "pmi_id", "master_id")
-    by_last = block_members(left, right, LAST_KEYS, max_block, "pmi_id", "master_id")
-    return by_first.unionByName(by_last, allowMissingColumns=True)
-
+    left, right = _partial_sides(cohort, person, status)
+    return block_members(left, right, ONE_NAME_KEYS, max_block, "pmi_id", "master_id")
 
-def name_block_sizes(cohort: DataFrame, person: DataFrame, keys: Sequence[str] = NAME_KEYS) -> DataFrame:
-    """Participants, persons and pairs per name block: shows hot keys before a run."""
-    return block_sizes(participants(cohort), persons(person), keys)
 
-
-def _ambiguous_ids(candidates: DataFrame, blocks: DataFrame | None) -> DataFrame:
-    several = (
-        candidates.groupBy(match_key(F.col("pmi_id")).alias("_id"))
-        .agg(F.min("master_id").alias("lowest"), F.max("master_id").alias("highest"))
-        .where(F.col("lowest") != F.col("highest"))
-        .select(F.col("_id").alias("pmi_id"))
+def name_block_sizes(cohort: DataFrame, person: DataFrame) -> DataFrame:
+    """Participants, persons and pairs per shared name block: shows hot keys before a run."""
+    return (
+        block_sizes(participants(cohort), persons(person), NAME_KEYS)
+        .where((F.col("n_left") > 0) & (F.col("n_right") > 0))
+        .withColumn("n_pairs", F.col("n_left") * F.col("n_right"))
     )
-    if blocks is not None:
-        several = several.unionByName(blocks.where(F.col("pmi_id").isNotNull()).select("pmi_id"))
-    return several
 
 
-def ambiguous(candidates: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
-    """Candidates of participants with more than one candidate person.
+def decide(candidates: DataFrame, status: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
+    """First-match candidates with a ``decision``: ambiguous, low_score or accepted.
 
-    ``blocks`` are the oversized blocks of the same match; each of their
-    participants has many persons and so counts as ambiguous.
+    A participant with several candidate persons is ambiguous whatever the
+    score, also where its block is too large to be listed as pairs.
     """
-    return _in(candidates, _ambiguous_ids(candidates, blocks))
+    several = status.where(F.col("status") == "several").select("k_pmi", F.lit(True).alias("_several"))
+    return (
+        candidates.withColumn("k_pmi", match_key(F.col("pmi_id")))
+        .join(several, "k_pmi", "left")
+        .withColumn(
+            "decision",
+            F.when(F.col("_several"), "ambiguous")
+            .when(F.col("count_identifiers_matched") < min_score, "low_score")
+            .otherwise("accepted"),
+        )
+        .drop("k_pmi", "_several")
+    )
 
 
-def accepted(
-    candidates: DataFrame, blocks: DataFrame | None = None, min_score: int = MIN_SCORE
-) -> DataFrame:
+def ambiguous(decided: DataFrame) -> DataFrame:
+    """Candidates of participants with more than one candidate person."""
+    return decided.where(F.col("decision") == "ambiguous").drop("decision")
+
+
+def accepted(decided: DataFrame) -> DataFrame:
     """Candidates with enough matching identifiers and no rival person."""
-    enough = candidates.where(F.col("count_identifiers_matched") >= min_score)
-    return _not_in(enough, _ambiguous_ids(candidates, blocks))
+    return decided.where(F.col("decision") == "accepted").drop("decision")
 
 
 def low_score(candidates: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
-    """Candidates with too few matching identifiers."""
+    """Candidates with too few matching identifiers, ambiguous or not."""
     return candidates.where(F.col("count_identifiers_matched") < min_score)
 
 
-def review_queue(**lists: DataFrame) -> DataFrame:
-    """Distinct candidates of all given lists, in participant order.
+def review_queue(decided: DataFrame, partial: DataFrame) -> DataFrame:
+    """Everything not accepted, with the reason, in participant order.
 
-    The keyword names the reason, e.g. ``review_queue(ambiguous=a,
-    low_score=b)``. A candidate on several lists keeps the first reason in
-    alphabetical order.
+    The two lists have no participant in common and each is distinct.
     """
-    rows = None
-    for reason, candidates in lists.items():
-        part = candidates.select(*CANDIDATE_COLUMNS, F.lit(reason).alias("reason"))
-        rows = part if rows is None else rows.unionByName(part)
-    return (
-        rows.groupBy(*CANDIDATE_COLUMNS)
-        .agg(F.min("reason").alias("reason"))
-        .orderBy("pmi_id", "master_id")
+    first = decided.where(F.col("decision") != "accepted").select(
+        *CANDIDATE_COLUMNS, F.col("decision").alias("reason")
     )
+    second = partial.select(*CANDIDATE_COLUMNS, F.lit("partial_name").alias("reason"))
+    return first.unionByName(second).orderBy("pmi_id", "master_id")
 
 
 def with_person_contacts(review: DataFrame, pages: DataFrame) -> DataFrame:

@@ -247,37 +247,36 @@ def best_mrn(
     go to the lowest person, then to the lowest record number.
     """
     left = _without_mrn(roster).where(F.col("last_name").isNotNull())
-    names = left.select(*_NAME_KEYS).distinct()
     persons = (
         _named_persons(person)
-        .select("master_id", *_NAME_KEYS, F.col("birth_date").alias("k_dob"))
-        .join(names, _NAME_KEYS, "left_semi")
+        .select("master_id", *_NAME_KEYS, F.col("birth_date").cast("string").alias("k_dob"))
+        .join(left.select(*_NAME_KEYS), _NAME_KEYS, "left_semi")
     )
     contacts = contact_keys(telecom, None, c)
-    phones = contacts.where(F.col("kind") == "phone").select("master_id", F.col("value_key").alias("k_phone"))
-    emails = contacts.where(F.col("kind") == "email").select("master_id", F.col("value_key").alias("k_email"))
-    by_phone = persons.join(phones, "master_id")
-    by_email = persons.join(emails, "master_id")
-    reached = _reached_by_both(left, by_phone, by_email, phones, emails)
-
-    def lowest(rows: DataFrame, *keys: str) -> DataFrame:
-        """Lowest person per name and ``keys``; the other key columns stay empty."""
-        found = rows.dropna(subset=list(keys)).groupBy(*_NAME_KEYS, *keys).agg(F.min("master_id").alias("master_id"))
-        return found.select(
-            *_NAME_KEYS,
-            *[
-                (F.col(k) if k in keys else F.lit(None)).cast("string").alias(k)
-                for k in ("k_dob", "k_phone", "k_email")
-            ],
-            "master_id",
-        )
+    known = persons.join(contacts, "master_id")
+    # Lowest person per name, birth date and contact value, with the group size.
+    by_contact = known.groupBy(*_NAME_KEYS, "k_dob", "kind", "value_key").agg(
+        F.min("master_id").alias("master_id"), F.count(F.lit(1)).alias("n_persons")
+    )
+    reached = _reached_by_both(left, known, by_contact, contacts)
 
-    lookup = (
-        lowest(by_phone, "k_dob", "k_phone")
-        .unionByName(lowest(by_email, "k_dob", "k_email"))
-        .unionByName(lowest(reached, "k_phone", "k_email"))
-        .unionByName(lowest(reached, "k_dob", "k_phone", "k_email"))
+    def value_of(kind: str) -> Column:
+        return F.when(F.col("kind") == kind, F.col("value_key"))
+
+    with_dob = by_contact.where(F.col("k_dob").isNotNull()).select(
+        *_NAME_KEYS, "k_dob", value_of("phone").alias("k_phone"), value_of("email").alias("k_email"), "master_id"
+    )
+    with_both = (
+        reached.groupBy(*_NAME_KEYS, "k_dob", "k_phone", "k_email")
+        .agg(F.min("master_id").alias("master_id"))
+        .where(F.col("k_dob").isNotNull())
+    )
+    any_dob = (
+        reached.groupBy(*_NAME_KEYS, "k_phone", "k_email")
+        .agg(F.min("master_id").alias("master_id"))
+        .withColumn("k_dob", F.lit(None).cast("string"))
     )
+    lookup = with_dob.unionByName(with_both).unionByName(any_dob)
     # Every combination of a roster row is a full key: an empty part is spelled
     # out, so rows meet only under the same combination.
     parts = {
@@ -339,33 +338,42 @@ def _all_known(parts: dict[str, Column], used: tuple[str, ...]) -> Column:
 
 
 def _reached_by_both(
-    left: DataFrame, by_phone: DataFrame, by_email: DataFrame, phones: DataFrame, emails: DataFrame
+    left: DataFrame, known: DataFrame, by_contact: DataFrame, contacts: DataFrame
 ) -> DataFrame:
     """Persons having both the phone and the e-mail of a roster row of their name.
 
     Each distinct (name, phone, e-mail) is looked up through the rarer of its
-    two contact values, so a placeholder shared by very many persons is tested
-    last, one row per person.
+    two contact values and then tested for the other, so a placeholder value
+    shared by very many persons is never expanded beside a rarer one.
     """
-    wanted = left.dropna(subset=["k_last", "k_phone", "k_email"]).select(
-        *_NAME_KEYS, "k_phone", "k_email"
-    ).distinct()
-    n_phone = by_phone.groupBy(*_NAME_KEYS, "k_phone").agg(F.count(F.lit(1)).alias("n_phone"))
-    n_email = by_email.groupBy(*_NAME_KEYS, "k_email").agg(F.count(F.lit(1)).alias("n_email"))
-    sized = wanted.join(n_phone, [*_NAME_KEYS, "k_phone"]).join(n_email, [*_NAME_KEYS, "k_email"])
-    phone_first = F.col("n_phone") <= F.col("n_email")
-    columns = [*_NAME_KEYS, "k_dob", "k_phone", "k_email", "master_id"]
-    via_phone = (
-        sized.where(phone_first)
-        .join(by_phone, [*_NAME_KEYS, "k_phone"])
-        .join(emails, ["master_id", "k_email"], "left_semi")
+    wanted = left.dropna(subset=["k_phone", "k_email"]).select(*_NAME_KEYS, "k_phone", "k_email").distinct()
+    ways = F.array(
+        F.struct(F.lit("phone").alias("kind"), F.col("k_phone").alias("value_key")),
+        F.struct(F.lit("email").alias("kind"), F.col("k_email").alias("value_key")),
+    )
+    sizes = by_contact.groupBy(*_NAME_KEYS, "kind", "value_key").agg(F.sum("n_persons").alias("n_persons"))
+    rarer = (
+        wanted.select("*", F.explode(ways).alias("_way"))
+        .select(*wanted.columns, "_way.*")
+        .join(sizes, [*_NAME_KEYS, "kind", "value_key"])
+        .groupBy(*wanted.columns)
+        .agg(F.count(F.lit(1)).alias("n_ways"), F.min(F.struct("n_persons", "kind", "value_key")).alias("_way"))
+        .where(F.col("n_ways") == 2)
+        .select(*wanted.columns, "_way.kind", "_way.value_key")
     )
-    via_email = (
-        sized.where(~phone_first)
-        .join(by_email, [*_NAME_KEYS, "k_email"])
-        .join(phones, ["master_id", "k_phone"], "left_semi")
+    by_phone = F.col("kind") == "phone"
+    return (
+        rarer.join(known, [*_NAME_KEYS, "kind", "value_key"])
+        .select(
+            *wanted.columns,
+            "k_dob",
+            "master_id",
+            F.when(by_phone, "email").otherwise("phone").alias("kind"),
+            F.when(by_phone, F.col("k_email")).otherwise(F.col("k_phone")).alias("value_key"),
+        )
+        .join(contacts, ["master_id", "kind", "value_key"], "left_semi")
+        .drop("kind", "value_key")
     )
-    return via_phone.select(*columns).unionByName(via_email.select(*columns))
 
 
 def apply_recovered_mrn(roster: DataFrame, best: DataFrame) -> DataFrame:

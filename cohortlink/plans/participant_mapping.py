@@ -39,24 +39,17 @@ def map_participants(
     open_persons = registry.unmapped(person, identifier, c)
     contacts = registry.contact_keys(telecom, location, c)
 
-    first = materialize(
-        linkage.exact_name_match(selected, open_persons, contacts, max_block=max_block), "first-match"
-    )
-    blocks = materialize(
-        linkage.exact_name_blocks(selected, open_persons, max_block), "first-match-blocks"
-    )
-    second = linkage.partial_name_match(selected, open_persons, contacts, max_block=max_block)
-    second_blocks = linkage.partial_name_blocks(selected, open_persons, max_block)
-
-    accepted = materialize(linkage.accepted(first, blocks), "accepted")
+    status = materialize(linkage.match_status(selected, open_persons), "match-status")
+    first = linkage.exact_name_match(selected, open_persons, contacts, max_block)
+    decided = materialize(linkage.decide(first, status), "first-match")
+    second = linkage.partial_name_match(selected, open_persons, contacts, status, max_block=max_block)
+    accepted = linkage.accepted(decided)
     return MappingResult(
         cohort=selected,
         accepted=accepted,
         new_identifiers=registry.register_identifiers(accepted, identifier, concept, c),
-        review=linkage.review_queue(
-            ambiguous=linkage.ambiguous(first, blocks),
-            low_score=linkage.low_score(first),
-            partial_name=second,
+        review=linkage.review_queue(decided, second),
+        review_blocks=linkage.exact_name_blocks(selected, open_persons, max_block).unionByName(
+            linkage.partial_name_blocks(selected, open_persons, status, max_block), allowMissingColumns=True
         ),
-        review_blocks=blocks.unionByName(second_blocks, allowMissingColumns=True),
     )
