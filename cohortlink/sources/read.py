@@ -37,32 +37,38 @@ def strip_quotes(df: DataFrame) -> DataFrame:
     )
 
 
+_CSV_OPTIONS = {"quote": '"', "escape": '"'}
+
+
 def read_roster_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.ROSTER_STAGING) -> DataFrame:
     """Roster export: one header line, commas, one record per line, quotes removed.
 
-    A line that does not fit the schema ends the job; ``roster_csv_rejects``
-    lists such lines.
+    A value that does not fit its column ends the job that reads it;
+    ``roster_csv_rejects`` lists the lines concerned.
     """
     lines = spark.read.schema(schema).options(
-        header=True, quote='"', escape='"', lineSep="\n", mode="FAILFAST"
+        **_CSV_OPTIONS, header=True, lineSep="\n", mode="FAILFAST"
     ).csv(path)
     return strip_quotes(lines)
 
 
 def roster_csv_rejects(spark: SparkSession, path: str, schema: T.StructType = schemas.ROSTER_STAGING) -> DataFrame:
-    """Lines of the roster export that do not fit the schema, as text."""
-    wide = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
-    lines = spark.read.schema(wide).options(
-        header=True,
-        quote='"',
-        escape='"',
-        lineSep="\n",
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=_CORRUPT,
-        enforceSchema=True,
-    ).csv(path)
-    # Naming another column keeps Spark from answering from the corrupt column alone.
-    return lines.where(F.col(_CORRUPT).isNotNull()).select(F.col(_CORRUPT).alias("line"), schema.names[0])
+    """Lines of the roster export in which some value does not fit its column.
+
+    Header lines are known by the column names; one with other titles is
+    listed too.
+    """
+    fields = [*schema.fields, T.StructField(_CORRUPT, T.StringType())]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    parsed = F.from_csv(
+        F.col("value"), ddl, {**_CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    )
+    is_header = F.lower(F.translate(F.col("value"), '"', "")) == ",".join(schema.names).lower()
+    return (
+        spark.read.text(path, lineSep="\n")
+        .where(~is_header & parsed[_CORRUPT].isNotNull())
+        .select(F.col("value").alias("line"))
+    )
 
 
 def read_workqueue(spark: SparkSession, directory: str, snapshot: str) -> DataFrame:
