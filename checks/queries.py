@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlink.config import Concepts, PARTICIPANT_LABELS
 from cohortlink.operators import cohort, exports, linkage, quality, registry, roster, vocabulary
+from cohortlink.plans.stages import broadcast_if_small, fits_broadcast
 from cohortlink.schemas import PII_LENGTHS
 
 from .views import Inputs
@@ -19,56 +21,90 @@ RUN_TS = datetime(2018, 5, 14)
 
 
 class Steps:
-    """Intermediate results that several queries start from."""
+    """Intermediate results that several queries start from, each made once per query.
+
+    As in the jobs under ``cohortlink.plans``, what is broadcast has been
+    measured first.
+    """
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.v = Inputs(spark, directory)
 
+    @cached_property
     def walk(self) -> DataFrame:
-        return exports.participant_crosswalk(self.v.phi_identifier, C)
+        return broadcast_if_small(exports.participant_crosswalk(self.v.phi_identifier, C))
+
+    @cached_property
+    def participant_rows(self) -> DataFrame:
+        own = registry.of_type(self.v.phi_identifier, C.id_type_participant)
+        return broadcast_if_small(own.select("master_id", "identifier", "id_type_concept_id"))
 
+    @cached_property
     def cohort(self) -> DataFrame:
         return cohort.site_cohort(self.v.workqueue)
 
+    @cached_property
+    def options(self) -> dict[str, bool]:
+        return {"broadcast_cohort": fits_broadcast(self.cohort)}
+
+    @cached_property
     def open_persons(self) -> DataFrame:
-        return registry.unmapped(self.v.phi_person, self.v.phi_identifier, C)
+        return registry.unmapped(self.v.phi_person, self.participant_rows, C)
 
+    @cached_property
     def contacts(self) -> DataFrame:
-        return registry.contact_keys(self.v.phi_telecom, self.v.phi_location, C)
+        small = self.options["broadcast_cohort"]
+        asked = F.broadcast(linkage.asked_values(self.cohort)) if small else None
+        return registry.contact_keys(self.v.phi_telecom, self.v.phi_location, C, wanted=asked)
 
+    @cached_property
     def first(self) -> DataFrame:
-        return linkage.exact_name_match(self.cohort(), self.open_persons(), self.contacts())
+        return linkage.exact_name_match(self.cohort, self.open_persons, self.contacts, **self.options)
 
+    @cached_property
     def status(self) -> DataFrame:
-        return linkage.match_status(self.cohort(), self.open_persons())
+        return linkage.match_status(self.cohort, self.open_persons, **self.options)
 
+    @cached_property
     def decided(self) -> DataFrame:
-        return linkage.decide(self.first(), self.status())
+        return linkage.decide(self.first, self.status)
 
-    def second(self, **options) -> DataFrame:
-        return linkage.partial_name_match(self.cohort(), self.open_persons(), self.contacts(), **options)
+    def second(self, **more) -> DataFrame:
+        return linkage.partial_name_match(
+            self.cohort, self.open_persons, self.contacts, self.status, **self.options, **more
+        )
 
+    @cached_property
     def accepted(self) -> DataFrame:
-        return linkage.accepted(self.decided())
+        return linkage.accepted(self.decided)
 
+    @cached_property
     def review(self) -> DataFrame:
-        return linkage.review_queue(self.decided(), self.second())
+        return linkage.review_queue(self.decided, self.second())
 
+    @cached_property
     def concept(self) -> DataFrame:
         return vocabulary.seed(self.v.concept, vocabulary.seed_concepts(self.spark))
 
+    @cached_property
     def candidates(self) -> DataFrame:
         v = self.v
         return roster.mrn_candidates(v.roster_master, v.phi_person, v.phi_telecom, v.phi_identifier, C)
 
+    @cached_property
     def best(self) -> DataFrame:
         v = self.v
-        return roster.best_mrn(v.roster_master, v.phi_person, v.phi_telecom, v.phi_identifier, C)
+        return roster.best_mrn(
+            v.roster_master, v.phi_person, v.phi_telecom, v.phi_identifier, C,
+            broadcast_roster=fits_broadcast(v.roster_master),
+        )
 
+    @cached_property
     def links(self) -> DataFrame:
         return roster.study_links(self.v.roster_master, self.v.phi_identifier, C)
 
+    @cached_property
     def sync(self):
         return roster.sync(self.v.roster_master, self.v.roster_staging, RUN_TS)
 
@@ -86,64 +122,64 @@ def _concept_usage(s: Steps) -> DataFrame:
         s.v.phi_identifier.select(F.col("id_use_concept_id").alias("concept_id"))
     )
     counts = used.groupBy("concept_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.join(s.concept(), "concept_id", "left").select(
+    return counts.join(s.concept, "concept_id", "left").select(
         "concept_id", "concept_class_id", "concept_code", "n_rows"
     )
 
 
 QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     # clinical extracts
-    "cdm_person": lambda s: exports.cdm_person(s.v.person, s.walk()),
-    "cdm_visit": lambda s: exports.cdm_visit(s.v.visit_occurrence, s.walk()),
-    "cdm_condition": lambda s: exports.cdm_condition(s.v.condition_occurrence, s.walk()),
-    "cdm_procedure": lambda s: exports.cdm_procedure(s.v.procedure_occurrence, s.walk()),
-    "cdm_measurement": lambda s: exports.cdm_measurement(s.v.measurement, s.walk()),
-    "cdm_drug": lambda s: exports.cdm_drug(s.v.drug_exposure, s.walk()),
+    "cdm_person": lambda s: exports.cdm_person(s.v.person, s.walk),
+    "cdm_visit": lambda s: exports.cdm_visit(s.v.visit_occurrence, s.walk),
+    "cdm_condition": lambda s: exports.cdm_condition(s.v.condition_occurrence, s.walk),
+    "cdm_procedure": lambda s: exports.cdm_procedure(s.v.procedure_occurrence, s.walk),
+    "cdm_measurement": lambda s: exports.cdm_measurement(s.v.measurement, s.walk),
+    "cdm_drug": lambda s: exports.cdm_drug(s.v.drug_exposure, s.walk),
     "impossible_births": lambda s: exports.impossible_births(s.v.person),
     # personal-data tables
-    "pii_name": lambda s: exports.pii_name(s.v.phi_person, s.v.phi_identifier),
-    "pii_email": lambda s: exports.pii_email(s.v.phi_telecom, s.v.phi_identifier),
-    "pii_phone": lambda s: exports.pii_phone(s.v.phi_telecom, s.v.phi_identifier),
+    "pii_name": lambda s: exports.pii_name(s.v.phi_person, s.participant_rows),
+    "pii_email": lambda s: exports.pii_email(s.v.phi_telecom, s.participant_rows),
+    "pii_phone": lambda s: exports.pii_phone(s.v.phi_telecom, s.participant_rows),
     "pii_address": lambda s: exports.pii_address(s.v.person, s.v.phi_identifier),
-    "pii_mrn": lambda s: exports.pii_mrn(s.v.phi_person, s.v.phi_identifier),
+    "pii_mrn": lambda s: exports.pii_mrn(s.v.phi_person, s.participant_rows),
     "pii_too_long": lambda s: quality.too_long(
-        exports.pii_name(s.v.phi_person, s.v.phi_identifier), PII_LENGTHS["pii_name"]
+        exports.pii_name(s.v.phi_person, s.participant_rows), PII_LENGTHS["pii_name"]
     ),
     # cohort and registry
-    "site_cohort": lambda s: s.cohort(),
-    "site_counts": lambda s: cohort.site_counts(s.cohort()),
+    "site_cohort": lambda s: s.cohort,
+    "site_counts": lambda s: cohort.site_counts(s.cohort),
     "person_wide": lambda s: _joined_arrays(
         registry.person_wide(s.v.phi_person, s.v.phi_telecom, s.v.phi_location)
     ),
-    "unmapped_persons": lambda s: s.open_persons(),
+    "unmapped_persons": lambda s: s.open_persons,
     "crosswalk": lambda s: registry.crosswalk(
         s.v.phi_identifier, C.id_type_local_person, C.id_type_participant
     ),
-    "contact_keys": lambda s: s.contacts(),
+    "contact_keys": lambda s: registry.contact_keys(s.v.phi_telecom, s.v.phi_location),
     # linkage
-    "first_match": lambda s: s.first(),
-    "first_match_members": lambda s: linkage.exact_name_blocks(s.cohort(), s.open_persons(), max_block=0),
-    "name_block_sizes": lambda s: linkage.name_block_sizes(s.cohort(), s.open_persons()),
-    "match_status": lambda s: s.status(),
-    "ambiguous_match": lambda s: linkage.ambiguous(s.decided()),
-    "accepted_match": lambda s: s.accepted(),
-    "low_score_match": lambda s: linkage.low_score(s.first()),
+    "first_match": lambda s: s.first,
+    "first_match_members": lambda s: linkage.exact_name_blocks(s.cohort, s.open_persons, max_block=0, **s.options),
+    "name_block_sizes": lambda s: linkage.name_block_sizes(s.cohort, s.open_persons),
+    "match_status": lambda s: s.status,
+    "ambiguous_match": lambda s: linkage.ambiguous(s.decided),
+    "accepted_match": lambda s: s.accepted,
+    "low_score_match": lambda s: linkage.low_score(s.first),
     "second_match": lambda s: s.second(),
     "second_match_with_contact": lambda s: s.second(require_contact=True),
-    "second_match_members": lambda s: linkage.partial_name_blocks(s.cohort(), s.open_persons(), max_block=0),
-    "review_queue": lambda s: s.review(),
+    "second_match_members": lambda s: linkage.partial_name_blocks(s.cohort, s.open_persons, max_block=0, **s.options),
+    "review_queue": lambda s: s.review,
     "review_report": lambda s: _joined_arrays(
-        linkage.with_person_contacts(s.review(), registry.contact_pages(s.v.phi_telecom, s.v.phi_location))
+        linkage.with_person_contacts(s.review, registry.contact_pages(s.v.phi_telecom, s.v.phi_location))
     ).drop("page"),
     # vocabulary and registration
-    "concept_seed": lambda s: s.concept(),
+    "concept_seed": lambda s: s.concept,
     "concept_lookup": lambda s: vocabulary.lookup(
-        s.concept(), PARTICIPANT_LABELS.id_use_code, "Identifier Use", vocabulary.VOCABULARY_ID
+        s.concept, PARTICIPANT_LABELS.id_use_code, "Identifier Use", vocabulary.VOCABULARY_ID
     ),
-    "concept_prefix": lambda s: vocabulary.starting_with(s.concept(), "vocabulary_id", "capm"),
+    "concept_prefix": lambda s: vocabulary.starting_with(s.concept, "vocabulary_id", "capm"),
     "concept_usage": _concept_usage,
     "register_identifiers": lambda s: registry.register_identifiers(
-        s.accepted(), s.v.phi_identifier, s.concept()
+        s.accepted, s.v.phi_identifier, s.concept
     ),
     "registry_find": lambda s: registry.find(
         s.v.phi_identifier,
@@ -155,35 +191,35 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "roster_duplicates": lambda s: roster.duplicates(s.v.roster_staging),
     "duplicate_pmi": lambda s: roster.duplicate_keys(s.v.roster_staging, "pmi_id"),
     "duplicate_mrn": lambda s: roster.duplicate_keys(s.v.roster_staging, "mrn"),
-    "roster_sync": lambda s: s.sync().snapshot.drop("update_date"),
-    "sync_changes": lambda s: s.sync().changes,
+    "roster_sync": lambda s: s.sync.snapshot.drop("update_date"),
+    "sync_changes": lambda s: s.sync.changes,
     "pad_mrn": lambda s: roster.pad_mrn(s.v.roster_master).drop("update_date"),
     "short_mrn_audit": lambda s: roster.short_mrn_audit(s.v.roster_master, s.v.patient_src),
-    "mrn_candidates": lambda s: s.candidates(),
+    "mrn_candidates": lambda s: s.candidates,
     "mrn_candidate_members": lambda s: roster.mrn_candidate_blocks(
         s.v.roster_master, s.v.phi_person, max_block=0
     ),
     "best_match": lambda s: linkage.best_match(
-        s.candidates(), "study_id", "total_identifiers_matched", ["master_id", "phi_mrn", "source_id"]
+        s.candidates, "study_id", "total_identifiers_matched", ["master_id", "phi_mrn", "source_id"]
     ),
-    "best_mrn": lambda s: s.best(),
-    "recovered_mrn": lambda s: roster.apply_recovered_mrn(s.v.roster_master, s.best()).drop("update_date"),
-    "study_links": lambda s: s.links(),
+    "best_mrn": lambda s: s.best,
+    "recovered_mrn": lambda s: roster.apply_recovered_mrn(s.v.roster_master, s.best).drop("update_date"),
+    "study_links": lambda s: s.links,
     "link_by_mrn": lambda s: _joined_arrays(
         roster.link_by_mrn(s.v.roster_master, s.v.phi_identifier, s.v.phi_person, s.v.phi_telecom)
     ),
-    "merge_study_ids": lambda s: registry.merge_study_ids(s.v.phi_identifier, s.links(), with_action=True),
-    "register_study_ids": lambda s: registry.register_study_ids(s.links(), s.concept()),
+    "merge_study_ids": lambda s: registry.merge_study_ids(s.v.phi_identifier, s.links, with_action=True),
+    "register_study_ids": lambda s: registry.register_study_ids(s.links, s.concept),
     # checks
     "reconcile": lambda s: quality.reconcile(
-        s.v.roster_master, s.v.roster_staging, s.v.phi_identifier, s.links()
+        s.v.roster_master, s.v.roster_staging, s.v.phi_identifier, s.links
     ),
     "missing_from_master": lambda s: quality.missing_from_master(s.v.roster_staging, s.v.roster_master),
     "unregistered_roster": lambda s: quality.unregistered(s.v.roster_master, s.v.phi_identifier).drop(
         "update_date"
     ),
-    "unmatched_links": lambda s: quality.unmatched_links(s.links()),
-    "links_without_mrn": lambda s: quality.links_without_mrn(s.links()),
+    "unmatched_links": lambda s: quality.unmatched_links(s.links),
+    "links_without_mrn": lambda s: quality.links_without_mrn(s.links),
     "crosswalk_fanout": lambda s: quality.crosswalk_fanout(s.v.phi_identifier),
     "shared_numbers": lambda s: quality.shared_numbers(s.v.phi_identifier),
     "several_ehr_rows": lambda s: quality.several_ehr_rows(s.v.phi_identifier),

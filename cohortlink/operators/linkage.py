@@ -74,6 +74,40 @@ def persons(person: DataFrame) -> DataFrame:
     )
 
 
+def reachable(right: DataFrame, left: DataFrame, keys: Sequence[str], broadcast_left: bool) -> DataFrame:
+    """Right rows whose key occurs on the left, filtered during the scan by a broadcast of the left keys.
+
+    Without ``broadcast_left`` the rows are returned as they are: filtering by
+    shuffle would cost as much as the join to come.
+    """
+    if not broadcast_left:
+        return right
+    keys = list(keys)
+    return right.join(F.broadcast(left.dropna(subset=keys).select(*keys)), keys, "left_semi").select(*right.columns)
+
+
+def _asks(wanted: Mapping[str, Column]) -> Column:
+    """The given contact values that are not missing, as an array of (kind, value_key)."""
+    asks = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), key.alias("value_key")) for kind, key in wanted.items()
+    ])
+    return F.filter(asks, lambda a: a["value_key"].isNotNull())
+
+
+def _wanted() -> dict[str, Column]:
+    return {
+        "phone": phone_key(F.col("phone")),
+        "email": contact_key(F.col("email")),
+        "address": contact_key(F.col("address")),
+    }
+
+
+def asked_values(rows: DataFrame, wanted: Mapping[str, Column] | None = None) -> DataFrame:
+    """All (kind, value_key) that the rows of a cohort will look up."""
+    asked = rows.select(F.explode(_asks(_wanted() if wanted is None else wanted)).alias("_ask"))
+    return asked.select("_ask.kind", "_ask.value_key")
+
+
 def contact_flags(pairs: DataFrame, contacts: DataFrame, wanted: Mapping[str, Column]) -> DataFrame:
     """Add a 0/1 ``<kind>_match`` column to distinct pairs for each wanted contact value.
 
@@ -82,12 +116,9 @@ def contact_flags(pairs: DataFrame, contacts: DataFrame, wanted: Mapping[str, Co
     value_key), so the lookup adds no rows.
     """
     columns = pairs.columns
-    asks = F.array(*[
-        F.struct(F.lit(kind).alias("kind"), key.alias("value_key")) for kind, key in wanted.items()
-    ])
-    asked = pairs.withColumn(
-        "_ask", F.explode_outer(F.filter(asks, lambda a: a["value_key"].isNotNull()))
-    ).select(*columns, "_ask.kind", "_ask.value_key")
+    asked = pairs.withColumn("_ask", F.explode_outer(_asks(wanted))).select(
+        *columns, "_ask.kind", "_ask.value_key"
+    )
     found = asked.join(
         contacts.withColumn("_hit", F.lit(True)), ["master_id", "kind", "value_key"], "left"
     )
@@ -98,12 +129,7 @@ def contact_flags(pairs: DataFrame, contacts: DataFrame, wanted: Mapping[str, Co
 
 
 def _scored(pairs: DataFrame, contacts: DataFrame) -> DataFrame:
-    wanted = {
-        "phone": phone_key(F.col("phone")),
-        "email": contact_key(F.col("email")),
-        "address": contact_key(F.col("address")),
-    }
-    flagged = contact_flags(pairs.select(*_IDENTITY, *_NAME_FLAGS), contacts, wanted)
+    flagged = contact_flags(pairs.select(*_IDENTITY, *_NAME_FLAGS), contacts, _wanted())
     contact_score = sum((F.col(f"{k}_match") for k in CONTACT_KINDS), F.lit(0))
     name_score = sum((F.col(name) for name in _NAME_FLAGS), F.lit(0))
     return flagged.withColumns({
@@ -114,42 +140,55 @@ def _scored(pairs: DataFrame, contacts: DataFrame) -> DataFrame:
 
 
 def exact_name_match(
-    cohort: DataFrame, person: DataFrame, contacts: DataFrame, max_block: int = MAX_BLOCK_SIDE
+    cohort: DataFrame,
+    person: DataFrame,
+    contacts: DataFrame,
+    max_block: int = MAX_BLOCK_SIDE,
+    broadcast_cohort: bool = False,
 ) -> DataFrame:
     """Candidates equal in first name, last name and birth date, with their score.
 
     ``person`` holds the persons still to be linked (``registry.unmapped``),
     ``contacts`` their ``registry.contact_keys``. Oversized blocks are in
-    ``exact_name_blocks``.
+    ``exact_name_blocks``. Set ``broadcast_cohort`` if the cohort has been
+    measured small (``plans.stages.fits_broadcast``): persons out of its reach
+    are then dropped while they are read.
     """
-    pairs = block_pairs(participants(cohort), persons(person), NAME_KEYS, max_block)
+    left = participants(cohort)
+    right = reachable(persons(person), left, NAME_KEYS, broadcast_cohort)
+    pairs = block_pairs(left, right, NAME_KEYS, max_block)
     ones = {name: F.lit(1) for name in _NAME_FLAGS}
     return _scored(pairs.withColumns(ones), contacts)
 
 
-def exact_name_blocks(cohort: DataFrame, person: DataFrame, max_block: int = MAX_BLOCK_SIDE) -> DataFrame:
+def exact_name_blocks(
+    cohort: DataFrame,
+    person: DataFrame,
+    max_block: int = MAX_BLOCK_SIDE,
+    broadcast_cohort: bool = False,
+) -> DataFrame:
     """Participants and persons of the oversized name and birth date blocks."""
-    return block_members(
-        participants(cohort), persons(person), NAME_KEYS, max_block, "pmi_id", "master_id"
-    )
+    left = participants(cohort)
+    right = reachable(persons(person), left, NAME_KEYS, broadcast_cohort)
+    return block_members(left, right, NAME_KEYS, max_block, "pmi_id", "master_id")
 
 
-def match_status(cohort: DataFrame, person: DataFrame) -> DataFrame:
+def match_status(cohort: DataFrame, person: DataFrame, broadcast_cohort: bool = False) -> DataFrame:
     """Per participant id whether it has no, one or several exact name candidates.
 
     Persons are reduced to the lowest and highest id per name key before the
     join, so this costs one row per participant whatever the block sizes.
     Columns: ``k_pmi``, ``status`` (none, one, several).
     """
+    left = participants(cohort)
     per_key = (
-        persons(person)
+        reachable(persons(person), left, NAME_KEYS, broadcast_cohort)
         .dropna(subset=NAME_KEYS)
         .groupBy(*NAME_KEYS)
         .agg(F.min("master_id").alias("lowest"), F.max("master_id").alias("highest"))
     )
     return (
-        participants(cohort)
-        .select(match_key(F.col("pmi_id")).alias("k_pmi"), *NAME_KEYS)
+        left.select(match_key(F.col("pmi_id")).alias("k_pmi"), *NAME_KEYS)
         .join(per_key, NAME_KEYS, "left")
         .groupBy("k_pmi")
         .agg(F.min("lowest").alias("lowest"), F.max("highest").alias("highest"))
@@ -173,9 +212,10 @@ def _one_name(side: DataFrame) -> DataFrame:
 
 
 def _partial_sides(
-    cohort: DataFrame, person: DataFrame, status: DataFrame | None
+    cohort: DataFrame, person: DataFrame, status: DataFrame | None, broadcast_cohort: bool
 ) -> tuple[DataFrame, DataFrame]:
-    status = match_status(cohort, person) if status is None else status
+    if status is None:
+        status = match_status(cohort, person, broadcast_cohort)
     unmatched = status.where(F.col("status") == "none").select("k_pmi")
     left = (
         participants(cohort)
@@ -185,7 +225,10 @@ def _partial_sides(
     )
     right = persons(person).withColumnsRenamed({"k_first": "p_first", "k_last": "p_last"})
     right = right.withColumns({"k_first": F.col("p_first"), "k_last": F.col("p_last")})
-    return _one_name(left), _one_name(right).drop("k_first", "k_last")
+    left, right = _one_name(left), _one_name(right).drop("k_first", "k_last")
+    # The keys of the whole cohort, not only of its unmatched rows: they need
+    # no shuffle to be known.
+    return left, reachable(right, _one_name(participants(cohort)), ONE_NAME_KEYS, broadcast_cohort)
 
 
 def partial_name_match(
@@ -195,6 +238,7 @@ def partial_name_match(
     status: DataFrame | None = None,
     require_contact: bool = False,
     max_block: int = MAX_BLOCK_SIDE,
+    broadcast_cohort: bool = False,
 ) -> DataFrame:
     """Candidates equal in birth date and one name, for participants without an exact candidate.
 
@@ -202,7 +246,7 @@ def partial_name_match(
     join on either name; a pair equal in both counts under the first name. All
     of these go to review, whatever their score.
     """
-    left, right = _partial_sides(cohort, person, status)
+    left, right = _partial_sides(cohort, person, status, broadcast_cohort)
     first, last = F.col("k_first") == F.col("p_first"), F.col("k_last") == F.col("p_last")
     pairs = (
         block_pairs(left, right, ONE_NAME_KEYS, max_block)
@@ -224,9 +268,10 @@ def partial_name_blocks(
     person: DataFrame,
     status: DataFrame | None = None,
     max_block: int = MAX_BLOCK_SIDE,
+    broadcast_cohort: bool = False,
 ) -> DataFrame:
     """Participants and persons of the oversized blocks of the second match."""
-    left, right = _partial_sides(cohort, person, status)
+    left, right = _partial_sides(cohort, person, status, broadcast_cohort)
     return block_members(left, right, ONE_NAME_KEYS, max_block, "pmi_id", "master_id")
 
 

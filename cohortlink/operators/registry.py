@@ -44,14 +44,20 @@ def _slotted(telecom: DataFrame, location: DataFrame | None, c: Concepts) -> Dat
     return lines.where(F.col("master_id").isNotNull() & F.col("value").isNotNull())
 
 
-def contact_keys(telecom: DataFrame, location: DataFrame | None = None, c: Concepts = Concepts()) -> DataFrame:
+def contact_keys(
+    telecom: DataFrame,
+    location: DataFrame | None = None,
+    c: Concepts = Concepts(),
+    wanted: DataFrame | None = None,
+) -> DataFrame:
     """Distinct (master_id, kind, value_key) of the non-blank contact points.
 
     Home and work phones are both of kind ``phone``. One row per fact keeps a
-    person with very many contact points spread over tasks.
+    person with very many contact points spread over tasks. ``wanted`` keeps
+    only the given (kind, value_key); broadcast, it filters before any shuffle.
     """
     is_phone = F.col("slot").isin("home_phone", "work_phone")
-    return (
+    keys = (
         _slotted(telecom, location, c)
         .select(
             "master_id",
@@ -61,8 +67,10 @@ def contact_keys(telecom: DataFrame, location: DataFrame | None = None, c: Conce
             .alias("value_key"),
         )
         .where(F.col("value_key").isNotNull())
-        .distinct()
     )
+    if wanted is not None:
+        keys = keys.join(wanted, ["kind", "value_key"], "left_semi").select("master_id", "kind", "value_key")
+    return keys.distinct()
 
 
 def contact_pages(

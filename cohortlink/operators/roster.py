@@ -12,7 +12,7 @@ from ..config import MAX_BLOCK_SIDE, MIN_SCORE, SYNC_SOURCE, Concepts
 from ..functions.match import flag
 from ..functions.text import contact_key, match_key, phone_key, trimmed_length
 from .blocks import block_members, block_pairs
-from .linkage import contact_flags
+from .linkage import asked_values, contact_flags, reachable
 from .merge import Merge, snapshot_merge
 from .registry import contact_keys, contact_pages, of_type
 
@@ -237,6 +237,7 @@ def best_mrn(
     telecom: DataFrame,
     identifier: DataFrame,
     c: Concepts = Concepts(),
+    broadcast_roster: bool = False,
 ) -> DataFrame:
     """The best person per roster row without a record number, if at least four identifiers agree.
 
@@ -245,14 +246,16 @@ def best_mrn(
     means all three. Persons are therefore reduced to the lowest id per
     combination first, and each roster row looks up its own combinations. Ties
     go to the lowest person, then to the lowest record number.
+
+    Set ``broadcast_roster`` if the roster has been measured small: persons and
+    contact points out of its reach are then dropped while they are read.
     """
     left = _without_mrn(roster).where(F.col("last_name").isNotNull())
-    persons = (
-        _named_persons(person)
-        .select("master_id", *_NAME_KEYS, F.col("birth_date").cast("string").alias("k_dob"))
-        .join(left.select(*_NAME_KEYS), _NAME_KEYS, "left_semi")
+    persons = reachable(_named_persons(person), left, _NAME_KEYS, broadcast_roster).select(
+        "master_id", *_NAME_KEYS, F.col("birth_date").cast("string").alias("k_dob")
     )
-    contacts = contact_keys(telecom, None, c)
+    asked = F.broadcast(asked_values(left, {"phone": F.col("k_phone"), "email": F.col("k_email")}))
+    contacts = contact_keys(telecom, None, c, wanted=asked if broadcast_roster else None)
     known = persons.join(contacts, "master_id")
     # Lowest person per name, birth date and contact value, with the group size.
     by_contact = known.groupBy(*_NAME_KEYS, "k_dob", "kind", "value_key").agg(

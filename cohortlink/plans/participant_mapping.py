@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import MAX_BLOCK_SIDE, Concepts
 from ..operators import cohort, linkage, registry
-from .stages import materialize
+from .stages import broadcast_if_small, fits_broadcast, materialize
 
 
 @dataclass(frozen=True)
@@ -36,20 +37,28 @@ def map_participants(
     name blocks too large to be listed as pairs.
     """
     selected = materialize(cohort.site_cohort(workqueue), "cohort")
-    open_persons = registry.unmapped(person, identifier, c)
-    contacts = registry.contact_keys(telecom, location, c)
+    # The cohort is usually tiny beside the registry. Measured so, its keys are
+    # broadcast, and registry rows out of their reach are dropped at the scan.
+    small = fits_broadcast(selected)
+    mapped = broadcast_if_small(
+        registry.of_type(identifier, c.id_type_participant).select("master_id", "id_type_concept_id")
+    )
+    open_persons = registry.unmapped(person, mapped, c)
+    asked = F.broadcast(linkage.asked_values(selected)) if small else None
+    contacts = registry.contact_keys(telecom, location, c, wanted=asked)
+    options = {"max_block": max_block, "broadcast_cohort": small}
 
-    status = materialize(linkage.match_status(selected, open_persons), "match-status")
-    first = linkage.exact_name_match(selected, open_persons, contacts, max_block)
+    status = materialize(linkage.match_status(selected, open_persons, small), "match-status")
+    first = linkage.exact_name_match(selected, open_persons, contacts, **options)
     decided = materialize(linkage.decide(first, status), "first-match")
-    second = linkage.partial_name_match(selected, open_persons, contacts, status, max_block=max_block)
+    second = linkage.partial_name_match(selected, open_persons, contacts, status, **options)
     accepted = linkage.accepted(decided)
     return MappingResult(
         cohort=selected,
         accepted=accepted,
         new_identifiers=registry.register_identifiers(accepted, identifier, concept, c),
         review=linkage.review_queue(decided, second),
-        review_blocks=linkage.exact_name_blocks(selected, open_persons, max_block).unionByName(
-            linkage.partial_name_blocks(selected, open_persons, status, max_block), allowMissingColumns=True
+        review_blocks=linkage.exact_name_blocks(selected, open_persons, **options).unionByName(
+            linkage.partial_name_blocks(selected, open_persons, status, **options), allowMissingColumns=True
         ),
     )

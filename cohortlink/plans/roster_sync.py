@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..config import Concepts
 from ..operators import quality, registry, roster
-from .stages import materialize
+from .stages import fits_broadcast, materialize
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,10 @@ def sync_roster(
     """
     merged = roster.sync(master, staging, run_ts)
     padded = materialize(roster.pad_mrn(merged.snapshot), "roster-synced")
-    recovered = materialize(roster.best_mrn(padded, person, telecom, identifier, c), "mrn-recovered")
+    recovered = materialize(
+        roster.best_mrn(padded, person, telecom, identifier, c, broadcast_roster=fits_broadcast(padded)),
+        "mrn-recovered",
+    )
     completed = materialize(roster.apply_recovered_mrn(padded, recovered), "roster-completed")
     links = materialize(roster.study_links(completed, identifier, c), "study-links")
     next_registry = registry.merge_study_ids(identifier, links, c)

@@ -1,10 +1,17 @@
-"""Writing an intermediate result once when several outputs of a job need it."""
+"""Steps of a job that run an action: writing an intermediate table, measuring a size."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Broadcast limit. Far above Spark's own, which guesses sizes: what is
+# broadcast here has been measured, and spares shuffling a table that may be
+# many thousand times larger.
+MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -27,3 +34,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder.rstrip('/')}/cohortlink/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether the rows, counted and measured now, are within the broadcast limit."""
+    size = F.lit(16 * len(df.columns))
+    for f in df.schema:
+        if isinstance(f.dataType, T.StringType):
+            size = size + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+    total = df.agg(F.sum(size.cast("bigint"))).first()[0]
+    return (total or 0) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """The rows marked for broadcast if measured small, else unmarked.
+
+    Unmarked rows are joined by shuffle, where AQE splits skewed partitions.
+    """
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df

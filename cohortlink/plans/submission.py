@@ -7,25 +7,30 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from ..config import Concepts
-from ..operators import exports
+from ..operators import exports, registry
 from ..sources.write import write_version
-from .stages import materialize
+from .stages import broadcast_if_small, materialize
 
 
 def build_submission(tables: Mapping[str, DataFrame], c: Concepts = Concepts()) -> dict[str, DataFrame]:
     """All published tables by name, plus the two reject lists.
 
     ``tables`` holds phi_person, phi_telecom, phi_identifier, person and the
-    five clinical fact tables. The crosswalk is made once for all of them.
+    five clinical fact tables. The crosswalk is made once for all of them. It
+    and the participants' ids are broadcast if measured small, so that neither
+    fact tables nor contact points are shuffled.
     """
     ids = tables["phi_identifier"]
-    walk = materialize(exports.participant_crosswalk(ids, c), "crosswalk")
+    walk = broadcast_if_small(materialize(exports.participant_crosswalk(ids, c), "crosswalk"))
+    own = broadcast_if_small(
+        registry.of_type(ids, c.id_type_participant).select("master_id", "identifier", "id_type_concept_id")
+    )
     return {
-        "pii_name": exports.pii_name(tables["phi_person"], ids, c),
-        "pii_email": exports.pii_email(tables["phi_telecom"], ids, c),
-        "pii_phone_number": exports.pii_phone(tables["phi_telecom"], ids, c),
+        "pii_name": exports.pii_name(tables["phi_person"], own, c),
+        "pii_email": exports.pii_email(tables["phi_telecom"], own, c),
+        "pii_phone_number": exports.pii_phone(tables["phi_telecom"], own, c),
         "pii_address": exports.pii_address(tables["person"], ids, c),
-        "pii_mrn": exports.pii_mrn(tables["phi_person"], ids, c),
+        "pii_mrn": exports.pii_mrn(tables["phi_person"], own, c),
         "person": exports.cdm_person(tables["person"], walk),
         "visit_occurrence": exports.cdm_visit(tables["visit_occurrence"], walk),
         "condition_occurrence": exports.cdm_condition(tables["condition_occurrence"], walk),

@@ -30,7 +30,10 @@ def test_same_rows_on_both_engines(spark, duck, name):
 
 
 @pytest.fixture
-def no_broadcast(spark):
+def no_broadcast(spark, monkeypatch):
+    """As for tables of which no side is small enough to broadcast."""
+    monkeypatch.setattr("checks.queries.fits_broadcast", lambda df: False)
+    monkeypatch.setattr("checks.queries.broadcast_if_small", lambda df: df)
     key = "spark.sql.autoBroadcastJoinThreshold"
     old = spark.conf.get(key)
     spark.conf.set(key, "-1")
@@ -38,6 +41,31 @@ def no_broadcast(spark):
     spark.conf.set(key, old)
 
 
+# Queries that take another way when a measured side is small.
+MEASURED = ["best_mrn", "cdm_person", "cdm_visit", "pii_name", "register_identifiers", "review_queue",
+            "second_match_members"]
+
+
+@pytest.mark.parametrize("name", MEASURED)
+def test_same_rows_without_any_broadcast(spark, duck, no_broadcast, name):
+    _, got = spark_rows(queries()[name](spark, DIRECTORY))
+    _, expected = duck_rows(duck, oracle_sql()[name])
+    assert got == expected
+
+
+@pytest.mark.parametrize("name, table", [("cdm_visit", "o_custkey"), ("pii_phone", "c_custkey")])
+def test_small_side_is_broadcast_and_the_large_table_not_shuffled(spark, name, table):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = queries()[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, old)
+    head = plan[: plan.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in head and "SortMergeJoin" not in head
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_plan_has_only_equi_joins_and_no_python(spark, no_broadcast, name):
     plan = queries()[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
