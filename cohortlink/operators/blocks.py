@@ -15,6 +15,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+SALTS = 64
+
+
+def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join whose skewed partitions AQE can split.
+
+    AQE does so only if both inputs come straight from a shuffle. An aggregate
+    or a join on the same keys would pass its own partitioning on and leave a
+    hot key to one task. Joining on the keys and their hash asks for a new
+    shuffle, which is cheap where it is used: one side is an aggregate.
+    """
+    keys = list(keys)
+    hashed = F.xxhash64(*keys)
+    joined = left.withColumn("_hash", hashed).join(right.withColumn("_hash", hashed), [*keys, "_hash"], how)
+    return joined.drop("_hash")
+
 
 def block_sizes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per key on either side, counted in one aggregation over both."""
@@ -35,19 +51,40 @@ def oversized_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], max_s
     return sizes.where(F.least("n_left", "n_right") > max_side).select(*keys)
 
 
+def _without_keys(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are not in ``small``, which is repeated per salt.
+
+    Salted, a hot key stays spread over tasks, and the join that follows on
+    the same keys can still be split. The salt comes from the row itself, so a
+    task run again sends each row the same way.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [*keys, "_salt"], "left_anti").drop("_salt")
+
+
 def block_pairs(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], max_side: int, how: str = "inner"
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    max_side: int,
+    how: str = "inner",
+    broadcast_left: bool = False,
 ) -> DataFrame:
     """Pairs of all blocks that are not oversized; ``how`` is ``inner`` or ``left``.
 
     A left join keeps left rows without any partner; rows of oversized blocks
-    are left to ``block_members``.
+    are left to ``block_members``. ``broadcast_left`` is for an inner join with
+    a left side that has been measured small.
     """
     keys = list(keys)
     big = oversized_keys(left, right, keys, max_side)
     if how == "inner":
         left = left.dropna(subset=keys)
-    return left.join(big, keys, "left_anti").join(right.dropna(subset=keys), keys, how)
+    kept = _without_keys(left, big, keys)
+    if broadcast_left:
+        return F.broadcast(kept).join(right.dropna(subset=keys), keys, how)
+    return kept.join(right.dropna(subset=keys), keys, how)
 
 
 def block_members(
@@ -61,6 +98,6 @@ def block_members(
     """Members of the oversized blocks, one row each, with the id of their side."""
     keys = list(keys)
     big = oversized_keys(left, right, keys, max_side)
-    lefts = left.join(big, keys, "left_semi").select(*keys, F.col(left_id))
-    rights = right.join(big, keys, "left_semi").select(*keys, F.col(right_id))
+    lefts = skew_join(left, big, keys, "left_semi").select(*keys, F.col(left_id))
+    rights = skew_join(right, big, keys, "left_semi").select(*keys, F.col(right_id))
     return lefts.unionByName(rights, allowMissingColumns=True).distinct()

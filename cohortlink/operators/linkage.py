@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from ..config import MAX_BLOCK_SIDE, MIN_SCORE
 from ..functions.match import flag
 from ..functions.text import contact_key, match_key, phone_key
-from .blocks import block_members, block_pairs, block_sizes
+from .blocks import block_members, block_pairs, block_sizes, skew_join
 
 NAME_KEYS = ["k_first", "k_last", "k_dob"]
 ONE_NAME_KEYS = ["k_part", "k_name", "k_dob"]
@@ -46,7 +46,7 @@ CANDIDATE_COLUMNS = [
 
 
 def participants(cohort: DataFrame) -> DataFrame:
-    """Cohort rows with their join keys."""
+    """Distinct cohort rows with their join keys."""
     return cohort.where(F.col("pmi_id").isNotNull()).select(
         "pmi_id",
         "first_name",
@@ -58,7 +58,7 @@ def participants(cohort: DataFrame) -> DataFrame:
         match_key(F.col("first_name")).alias("k_first"),
         match_key(F.col("last_name")).alias("k_last"),
         F.col("birth_date").alias("k_dob"),
-    )
+    ).distinct()
 
 
 def persons(person: DataFrame) -> DataFrame:
@@ -119,8 +119,8 @@ def contact_flags(pairs: DataFrame, contacts: DataFrame, wanted: Mapping[str, Co
     asked = pairs.withColumn("_ask", F.explode_outer(_asks(wanted))).select(
         *columns, "_ask.kind", "_ask.value_key"
     )
-    found = asked.join(
-        contacts.withColumn("_hit", F.lit(True)), ["master_id", "kind", "value_key"], "left"
+    found = skew_join(
+        asked, contacts.withColumn("_hit", F.lit(True)), ["master_id", "kind", "value_key"], "left"
     )
     hit = F.col("_hit").isNotNull()
     return found.groupBy(*columns).agg(*[
@@ -156,7 +156,7 @@ def exact_name_match(
     """
     left = participants(cohort)
     right = reachable(persons(person), left, NAME_KEYS, broadcast_cohort)
-    pairs = block_pairs(left, right, NAME_KEYS, max_block)
+    pairs = block_pairs(left, right, NAME_KEYS, max_block, broadcast_left=broadcast_cohort)
     ones = {name: F.lit(1) for name in _NAME_FLAGS}
     return _scored(pairs.withColumns(ones), contacts)
 
@@ -187,9 +187,9 @@ def match_status(cohort: DataFrame, person: DataFrame, broadcast_cohort: bool =
         .groupBy(*NAME_KEYS)
         .agg(F.min("master_id").alias("lowest"), F.max("master_id").alias("highest"))
     )
+    keyed = left.select(match_key(F.col("pmi_id")).alias("k_pmi"), *NAME_KEYS)
     return (
-        left.select(match_key(F.col("pmi_id")).alias("k_pmi"), *NAME_KEYS)
-        .join(per_key, NAME_KEYS, "left")
+        skew_join(keyed, per_key, NAME_KEYS, "left")
         .groupBy("k_pmi")
         .agg(F.min("lowest").alias("lowest"), F.max("highest").alias("highest"))
         .select(
@@ -217,12 +217,8 @@ def _partial_sides(
     if status is None:
         status = match_status(cohort, person, broadcast_cohort)
     unmatched = status.where(F.col("status") == "none").select("k_pmi")
-    left = (
-        participants(cohort)
-        .withColumn("k_pmi", match_key(F.col("pmi_id")))
-        .join(unmatched, "k_pmi", "left_semi")
-        .drop("k_pmi")
-    )
+    keyed = participants(cohort).withColumn("k_pmi", match_key(F.col("pmi_id")))
+    left = skew_join(keyed, unmatched, ["k_pmi"], "left_semi").drop("k_pmi")
     right = persons(person).withColumnsRenamed({"k_first": "p_first", "k_last": "p_last"})
     right = right.withColumns({"k_first": F.col("p_first"), "k_last": F.col("p_last")})
     left, right = _one_name(left), _one_name(right).drop("k_first", "k_last")
@@ -249,7 +245,7 @@ def partial_name_match(
     left, right = _partial_sides(cohort, person, status, broadcast_cohort)
     first, last = F.col("k_first") == F.col("p_first"), F.col("k_last") == F.col("p_last")
     pairs = (
-        block_pairs(left, right, ONE_NAME_KEYS, max_block)
+        block_pairs(left, right, ONE_NAME_KEYS, max_block, broadcast_left=broadcast_cohort)
         .where((F.col("k_part") == "first") | ~F.coalesce(first, F.lit(False)))
         .withColumns({
             "first_name_match": flag(first),
@@ -291,9 +287,9 @@ def decide(candidates: DataFrame, status: DataFrame, min_score: int = MIN_SCORE)
     score, also where its block is too large to be listed as pairs.
     """
     several = status.where(F.col("status") == "several").select("k_pmi", F.lit(True).alias("_several"))
+    keyed = candidates.withColumn("k_pmi", match_key(F.col("pmi_id")))
     return (
-        candidates.withColumn("k_pmi", match_key(F.col("pmi_id")))
-        .join(several, "k_pmi", "left")
+        skew_join(keyed, several, ["k_pmi"], "left")
         .withColumn(
             "decision",
             F.when(F.col("_several"), "ambiguous")

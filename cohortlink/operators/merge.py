@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import match_key
+from .blocks import skew_join
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,7 @@ def snapshot_merge(
     clash = F.raise_error(
         F.concat(F.lit("merge: more than one source row for key "), F.col("_key"))
     )
-    joined = keyed_target.join(by_key, "_key", "left").withColumn(
+    joined = skew_join(keyed_target, by_key, ["_key"], "left").withColumn(
         "action",
         F.when(applies & (F.col("_sources") > 1), clash.cast("string"))
         .when(applies, F.lit("UPDATE"))

@@ -18,6 +18,7 @@ from ..config import (
 from ..functions.text import contact_key, match_key, phone_key
 from ..schemas import PHI_IDENTIFIER
 from . import vocabulary
+from .blocks import skew_join
 from .merge import snapshot_merge
 
 SLOTS = ("home_phone", "work_phone", "email", "address")
@@ -92,7 +93,7 @@ def contact_pages(
         .where(F.col("n_values") > page_size)
     )
     pages = F.ceil(F.col("n_values") / page_size)
-    paged = lines.join(large, "master_id", "left").select(
+    paged = skew_join(lines, large, ["master_id"], "left").select(
         "master_id",
         "slot",
         "value",

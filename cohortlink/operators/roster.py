@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from ..config import MAX_BLOCK_SIDE, MIN_SCORE, SYNC_SOURCE, Concepts
 from ..functions.match import flag
 from ..functions.text import contact_key, match_key, phone_key, trimmed_length
-from .blocks import block_members, block_pairs
+from .blocks import block_members, block_pairs, skew_join
 from .linkage import asked_values, contact_flags, reachable
 from .merge import Merge, snapshot_merge
 from .registry import contact_keys, contact_pages, of_type
@@ -78,7 +78,7 @@ def duplicate_keys(staging: DataFrame, column: str) -> DataFrame:
     repeated = (
         keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1).select("_key")
     )
-    return keyed.join(repeated, "_key", "left_semi").select(*staging.columns).orderBy(column, "study_id")
+    return skew_join(keyed, repeated, ["_key"], "left_semi").select(*staging.columns).orderBy(column, "study_id")
 
 
 # --- sync -------------------------------------------------------------------
