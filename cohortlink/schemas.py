@@ -1,4 +1,8 @@
-"""Explicit schemas of the input and output tables."""
+"""Explicit schemas of the input and output tables.
+
+Column names are fixed values: they are those of the files and tables read and
+published.
+"""
 
 from __future__ import annotations
 
