@@ -195,6 +195,7 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "sync_changes": lambda s: s.sync.changes,
     "pad_mrn": lambda s: roster.pad_mrn(s.v.roster_master).drop("update_date"),
     "short_mrn_audit": lambda s: roster.short_mrn_audit(s.v.roster_master, s.v.patient_src),
+    "short_mrn_members": lambda s: roster.short_mrn_blocks(s.v.roster_master, s.v.patient_src, max_block=0),
     "mrn_candidates": lambda s: s.candidates,
     "mrn_candidate_members": lambda s: roster.mrn_candidate_blocks(
         s.v.roster_master, s.v.phi_person, max_block=0
@@ -205,6 +206,7 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "best_mrn": lambda s: s.best,
     "recovered_mrn": lambda s: roster.apply_recovered_mrn(s.v.roster_master, s.best).drop("update_date"),
     "study_links": lambda s: s.links,
+    "mrn_link_members": lambda s: roster.mrn_link_blocks(s.v.roster_master, s.v.phi_identifier, max_block=0),
     "link_by_mrn": lambda s: _joined_arrays(
         roster.link_by_mrn(s.v.roster_master, s.v.phi_identifier, s.v.phi_person, s.v.phi_telecom)
     ),

@@ -120,8 +120,7 @@ def pad_mrn(roster: DataFrame) -> DataFrame:
     return roster.withColumn("mrn", F.when(_is_short(mrn), F.concat(F.lit("0"), mrn)).otherwise(mrn))
 
 
-def short_mrn_audit(roster: DataFrame, patient_src: DataFrame) -> DataFrame:
-    """Short record numbers beside the EHR patient found under the padded number."""
+def _audit_sides(roster: DataFrame, patient_src: DataFrame) -> tuple[DataFrame, DataFrame]:
     short = roster.where(_is_short(F.col("mrn"))).select(
         "study_id",
         "mrn",
@@ -137,7 +136,28 @@ def short_mrn_audit(roster: DataFrame, patient_src: DataFrame) -> DataFrame:
         "pat_last_name",
         F.col("birth_date").alias("src_birth_date"),
     )
-    return short.join(src, "_key", "left").drop("_key")
+    return short, src
+
+
+def short_mrn_audit(
+    roster: DataFrame, patient_src: DataFrame, max_block: int = MAX_BLOCK_SIDE
+) -> DataFrame:
+    """Short record numbers beside the EHR patient found under the padded number.
+
+    A number held by very many rows on both sides is in ``short_mrn_blocks``.
+    """
+    short, src = _audit_sides(roster, patient_src)
+    return block_pairs(short, src, ["_key"], max_block, how="left").drop("_key")
+
+
+def short_mrn_blocks(
+    roster: DataFrame, patient_src: DataFrame, max_block: int = MAX_BLOCK_SIDE
+) -> DataFrame:
+    """Roster rows and EHR record numbers of the oversized blocks of the audit."""
+    short, src = _audit_sides(roster, patient_src)
+    return block_members(short, src, ["_key"], max_block, "study_id", "src_mrn").withColumnRenamed(
+        "_key", "padded_mrn"
+    )
 
 
 def _without_mrn(roster: DataFrame) -> DataFrame:
@@ -416,27 +436,53 @@ def _named(roster: DataFrame) -> DataFrame:
     )
 
 
-def study_links(roster: DataFrame, identifier: DataFrame, c: Concepts = Concepts()) -> DataFrame:
-    """Distinct (study_id, mrn, master_id, source_id): the input of ``registry.merge_study_ids``."""
+def study_links(
+    roster: DataFrame,
+    identifier: DataFrame,
+    c: Concepts = Concepts(),
+    max_block: int = MAX_BLOCK_SIDE,
+) -> DataFrame:
+    """Distinct (study_id, mrn, master_id, source_id): the input of ``registry.merge_study_ids``.
+
+    A record number shared by very many roster rows and very many registry
+    rows links nobody to anybody; its members are in ``mrn_link_blocks``.
+    """
+    rows = _named(roster).select("study_id", "mrn", "_mrn").distinct()
+    links = _links_by_mrn(roster, identifier, c)
     return (
-        _named(roster)
-        .join(_links_by_mrn(roster, identifier, c), "_mrn", "left")
+        block_pairs(rows, links, ["_mrn"], max_block, how="left")
         .select("study_id", "mrn", "master_id", "source_id")
         .distinct()
     )
 
 
+def mrn_link_blocks(
+    roster: DataFrame,
+    identifier: DataFrame,
+    c: Concepts = Concepts(),
+    max_block: int = MAX_BLOCK_SIDE,
+) -> DataFrame:
+    """Study ids and persons of the record numbers too common to be listed as links."""
+    rows = _named(roster).select("study_id", "_mrn").distinct()
+    links = _links_by_mrn(roster, identifier, c)
+    return block_members(rows, links, ["_mrn"], max_block, "study_id", "master_id").withColumnRenamed(
+        "_mrn", "k_mrn"
+    )
+
+
 def link_by_mrn(
     roster: DataFrame,
     identifier: DataFrame,
     person: DataFrame,
     telecom: DataFrame,
     c: Concepts = Concepts(),
+    max_block: int = MAX_BLOCK_SIDE,
 ) -> DataFrame:
     """Roster rows beside the registry person found by record number, with contact points.
 
     Rows without a person stay. Contact points come as arrays, one row per
-    ``registry.contact_pages`` page.
+    ``registry.contact_pages`` page. Too common record numbers are in
+    ``mrn_link_blocks``.
     """
     names = person.select(
         "master_id",
@@ -444,13 +490,11 @@ def link_by_mrn(
         F.col("surname").alias("mrn_surname"),
         F.col("birth_date").alias("mrn_birth_date"),
     ).distinct()
+    rows = _named(roster).select(
+        "study_id", "mrn", "first_name", "last_name", "dob", "phone_number", "email_address", "_mrn"
+    )
     return (
-        _named(roster)
-        .select(
-            "study_id", "mrn", "first_name", "last_name", "dob", "phone_number", "email_address", "_mrn"
-        )
-        .distinct()
-        .join(_links_by_mrn(roster, identifier, c), "_mrn", "left")
+        block_pairs(rows.distinct(), _links_by_mrn(roster, identifier, c), ["_mrn"], max_block, how="left")
         .drop("_mrn")
         .join(names, "master_id", "left")
         .join(contact_pages(telecom, None, c), "master_id", "left")

@@ -18,6 +18,7 @@ class SyncResult:
     changes: DataFrame
     recovered: DataFrame
     links: DataFrame
+    link_blocks: DataFrame
     identifier: DataFrame
     checks: DataFrame
 
@@ -34,7 +35,9 @@ def sync_roster(
     """The next roster and registry versions, with the change log and check counts.
 
     Duplicates (``roster.duplicates``, ``roster.duplicate_keys``) are to be
-    resolved in staging by hand before this runs.
+    resolved in staging by hand before this runs. ``link_blocks`` names the
+    study ids whose record number is too common to link by; they are not merged
+    into the registry before somebody has looked at them.
     """
     merged = roster.sync(master, staging, run_ts)
     padded = materialize(roster.pad_mrn(merged.snapshot), "roster-synced")
@@ -50,6 +53,7 @@ def sync_roster(
         changes=merged.changes,
         recovered=recovered,
         links=links,
+        link_blocks=roster.mrn_link_blocks(completed, identifier, c),
         identifier=next_registry,
         checks=quality.reconcile(completed, staging, next_registry, links, c),
     )

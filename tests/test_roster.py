@@ -248,3 +248,15 @@ def test_links_by_mrn(spark):
         "persons_linked_repeatedly": 1,
         "mrns_linked_repeatedly": 1,
     }
+
+
+def test_record_number_shared_by_many_is_listed_by_member(spark):
+    df = master(spark, *[row(str(i), mrn="0") for i in range(40)], row("x", mrn="7"), row("y"))
+    ids = identifiers(
+        spark, *[(i, i, "0", C.id_type_mrn, 0) for i in range(30)], (99, 99, "7", C.id_type_mrn, 0)
+    )
+    links = roster.study_links(df, ids, max_block=10)
+    assert rows(links) == [("x", "7", 99, 99), ("y", None, None, None)]
+    members = roster.mrn_link_blocks(df, ids, max_block=10)
+    assert members.count() == 70 and set(rows(members, "k_mrn")) == {("0",)}
+    assert roster.study_links(df, ids).count() == 40 * 30 + 2
