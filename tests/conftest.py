@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         spark_sql_shuffle_partitions="4",
         spark_ui_enabled="false",
         spark_driver_memory="4g",
+        # Many short queries: quick compilation counts for more than fast code.
+        spark_driver_extraJavaOptions="-XX:TieredStopAtLevel=1 -XX:+UseParallelGC",
         spark_sql_warehouse_dir=str(warehouse),
         spark_checkpoint_dir=str(tmp_path_factory.mktemp("shared")),
     )

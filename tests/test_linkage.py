@@ -160,7 +160,7 @@ def brute(cohort, person, points):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_against_brute_force(spark, seed):
     cohort, person, points = random_sides(seed)
     expected = brute(cohort, person, points)

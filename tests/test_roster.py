@@ -165,7 +165,7 @@ def test_mrn_candidates_and_best(spark):
     assert rows(fixed, "study_id", "mrn") == [("1", "m2a"), ("2", None), ("3", "has one"), ("4", "m2a"), ("5", None)]
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_best_mrn_equals_best_of_all_name_pairs(spark, seed):
     """A third of the rows share one name, and placeholders are shared by many."""
     rng = random.Random(seed)
