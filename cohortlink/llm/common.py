@@ -91,21 +91,41 @@ def id_and_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def chunks(
     batches: Iterable[pa.RecordBatch], max_bytes: int = CHUNK_BYTES, max_docs: int = CHUNK_DOCS
-) -> Iterator[tuple[list[int], list[bytes]]]:
-    """Documents of (id, text) batches in bounded lists; a missing text is empty."""
-    ids: list[int] = []
-    texts: list[bytes] = []
+) -> Iterator[list[list]]:
+    """Rows of (key, text, ...) batches in bounded lists, one per column; a missing text is empty."""
+    columns: list[list] | None = None
     size = 0
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids.append(key)
-            texts.append(text or b"")
-            size += len(texts[-1])
-            if size >= max_bytes or len(ids) >= max_docs:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+        if columns is None:
+            columns = [[] for _ in range(batch.num_columns)]
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for column, value in zip(columns, row, strict=True):
+                column.append(value)
+            columns[1][-1] = columns[1][-1] or b""
+            size += len(columns[1][-1])
+            if size >= max_bytes or len(columns[0]) >= max_docs:
+                yield columns
+                columns, size = [[] for _ in columns], 0
+    if columns and columns[0]:
+        yield columns
+
+
+def buckets_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The hash range, of ``buckets`` equal ones, that each hash falls in, by its upper half."""
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+
+
+def packed(numbers: np.ndarray) -> tuple[int, bytes]:
+    """Numbers as offsets from the smallest, in as few bytes as their range takes."""
+    base = int(numbers.min()) if len(numbers) else 0
+    reach = int(numbers.max()) - base if len(numbers) else 0
+    kind = np.uint16 if reach < 1 << 16 else np.uint32 if reach < 1 << 32 else np.uint64
+    return base, (numbers.astype(np.int64) - base).astype(kind).tobytes()
+
+
+def unpacked(base: int, data: bytes, count: int) -> np.ndarray:
+    kind = {2: np.uint16, 4: np.uint32, 8: np.uint64}[len(data) // count] if count else np.uint16
+    return np.frombuffer(data, dtype=kind).astype(np.int64) + base
 
 
 class Vocabulary(dict):

@@ -8,10 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, secrets, token_counts, toxicity
+from . import decontamination, ngram_join, secrets, substring_dedup, token_counts, toxicity
 from .common import load
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_classes(load(spark, sf_dir, "documents"))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(load(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
         load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512
@@ -67,6 +76,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_token_counts": op4_token_counts,
     "op6_decontamination": op6_decontamination,
     "op8_secret_scans": op8_secret_scans,
