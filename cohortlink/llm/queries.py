@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, ngram_join, secrets, substring_dedup, token_counts, toxicity
+from . import decontamination, ngram_join, quality_rules, secrets, substring_dedup, token_counts, toxicity
 from .common import load
 
 
@@ -60,6 +60,10 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(load(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op6_decontamination": op6_decontamination,
     "op8_secret_scans": op8_secret_scans,
+    "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
 }
 
