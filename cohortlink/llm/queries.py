@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, ngram_join, quality_rules, secrets, substring_dedup, token_counts, toxicity
+from . import decontamination, line_dedup, ngram_join, quality_rules, secrets, substring_dedup, token_counts, toxicity
 from .common import load
 
 
@@ -41,6 +41,16 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.remove_common_lines(load(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"),
+        F.size("gone_lines").cast("bigint").alias("n_removed"),
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
@@ -84,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_token_counts": op4_token_counts,
     "op6_decontamination": op6_decontamination,
+    "op7_line_dedup": op7_line_dedup,
     "op8_secret_scans": op8_secret_scans,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
