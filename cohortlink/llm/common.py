@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 from pathlib import Path
 
@@ -110,6 +110,24 @@ def chunks(
         yield columns
 
 
+def keep_rows(docs: DataFrame, text_col: str, make_judge: Callable[[], Callable[[list[bytes]], list[bool]]]) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text a judge keeps; each task makes a judge of its own."""
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = make_judge()
+        for batch in batches:
+            start, size, texts = 0, 0, []
+            for k, text in enumerate(batch.column(place).cast(pa.binary()).to_pylist()):
+                texts.append(text or b"")
+                size += len(texts[-1])
+                if size >= CHUNK_BYTES or k + 1 == batch.num_rows:
+                    yield batch.slice(start, len(texts)).filter(pa.array(judge(texts), pa.bool_()))
+                    start, size, texts = k + 1, 0, []
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def buckets_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """The hash range, of ``buckets`` equal ones, that each hash falls in, by its upper half."""
     return ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)

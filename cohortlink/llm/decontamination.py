@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, id_and_bytes
+from .common import chunks, id_and_bytes, keep_rows
 
 # Benchmark texts searched in one pass over the corpus, in bytes. A larger
 # benchmark is searched in several passes, whose results are put together.
@@ -242,3 +242,24 @@ def _together(texts: DataFrame, parts: list[DataFrame]) -> DataFrame:
         F.max("longest").cast("int").alias("longest"),
     )
     return merged.select("id", "n_words", "hits", "items", "longest")
+
+
+def remove_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    width: int = 10,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that hold a window of an item; cases as in ``find_leaks``."""
+    for items in blocks_of(benchmark, item_col, item_text_col, block_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        def make_judge(shared=shared):
+            queries = Queries(shared.value, width)
+            return lambda texts: [not found for _, _, found, _ in search_shard(queries, texts)]
+
+        docs = keep_rows(docs, text_col, make_judge)
+    return docs

@@ -8,10 +8,40 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, ngram_join, quality_rules, secrets, substring_dedup, token_counts, toxicity
+from . import (
+    decontamination,
+    line_dedup,
+    ngram_join,
+    quality_rules,
+    secrets,
+    source_mixing,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 from .common import load
 
 
+# Shares of the token budget, by domain.
+DOMAIN_TARGETS = {"good": 0.85, "poor": 0.13, "toxic": 0.02}
+
+
+def _held_out(id_col: str = "doc_id") -> Column:
+    bytes_ = F.col(id_col).cast("string").cast("binary")
+    return F.coalesce(F.pmod(F.crc32(bytes_), F.lit(3)) == 1, F.lit(False))
+
+
+def learning_labels(labels: DataFrame) -> DataFrame:
+    """Label rows that models may learn from; the rest is for measuring."""
+    return labels.where(~_held_out())
+
+
+def domain_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the rows that models may learn from."""
+    named = source_mixing.domain_of(F.col("quality"), F.col("toxic")).alias("domain")
+    return learning_labels(labels).select("doc_id", named)
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_classes(load(spark, sf_dir, "documents"))
 
@@ -27,6 +57,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    labels = domain_labels(load(spark, sf_dir, "labels"))
+    return source_mixing.fit_rates(source_mixing.posteriors(docs, labels, list(DOMAIN_TARGETS)), DOMAIN_TARGETS)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
     ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
@@ -76,28 +112,35 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
-    labels = load(spark, sf_dir, "labels").where(~held_out)
-    model = toxicity.fit(toxicity.labelled_texts(docs, labels))
+    model = toxicity.fit(toxicity.labelled_texts(docs, learning_labels(load(spark, sf_dir, "labels"))))
     scored = toxicity.score(docs, model)
     return scored.select(
         "doc_id",
-        held_out.alias("held_out"),
+        _held_out().alias("held_out"),
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
         F.size("spans").cast("bigint").alias("n_segments"),
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # imported here, as the pipeline imports this module
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_source_mixing": op5_source_mixing,
     "op6_decontamination": op6_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op8_secret_scans": op8_secret_scans,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
+    "pipeline": pipeline,
 }
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, chunks, written
+from .common import broadcast_if_small, chunks, keep_rows, written
 
 # The model holds the words with the most significant log-odds; their number is
 # bounded, as the model is sent to every task.
@@ -302,3 +302,30 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         )
     chance = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), x))))
     return scored.select(F.col("id").alias(id_col), chance.alias("score"), "n_words", "best", "spans")
+
+
+def reject(
+    docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below ``threshold``; scores and odd cases as in ``score``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make_judge():
+        model = shared.value
+        weights = Weights(model.weights, model.rest)
+
+        def judge(texts: list[bytes]) -> list[bool]:
+            scores = (np.fromiter(map(weights.__getitem__, tokens(t)), dtype=np.float64) for t in texts)
+            return [chance(model, _best(own)) < threshold for own in scores]
+
+        return judge
+
+    return keep_rows(docs, text_col, make_judge)
+
+
+def chance(model: Model, best: float) -> float:
+    """Label probability of a document by its best segment."""
+    x = model.intercept
+    if model.scale > 0:
+        x += model.slope * surprise((best - model.location) / model.scale)
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
