@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import (
     decontamination,
     line_dedup,
+    lm_scoring,
     ngram_join,
     quality_rules,
     secrets,
@@ -51,6 +52,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = learning_labels(load(spark, sf_dir, "labels")).where("quality = 1")
+    return lm_scoring.score_documents(load(spark, sf_dir, "documents"), target)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
         load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512
@@ -133,6 +139,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_token_counts": op4_token_counts,
     "op5_source_mixing": op5_source_mixing,
     "op6_decontamination": op6_decontamination,
