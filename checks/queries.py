@@ -109,14 +109,6 @@ class Steps:
         return roster.sync(self.v.roster_master, self.v.roster_staging, RUN_TS)
 
 
-def _joined_arrays(df: DataFrame) -> DataFrame:
-    """Contact arrays as text, for comparison by value."""
-    arrays = ("home_phones", "work_phones", "emails", "addresses")
-    return df.withColumns({
-        name: F.coalesce(F.array_join(name, "|"), F.lit("")) for name in arrays if name in df.columns
-    })
-
-
 def _concept_usage(s: Steps) -> DataFrame:
     used = s.v.phi_identifier.select(F.col("id_type_concept_id").alias("concept_id")).unionByName(
         s.v.phi_identifier.select(F.col("id_use_concept_id").alias("concept_id"))
@@ -148,9 +140,7 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     # cohort and registry
     "site_cohort": lambda s: s.cohort,
     "site_counts": lambda s: cohort.site_counts(s.cohort),
-    "person_wide": lambda s: _joined_arrays(
-        registry.person_wide(s.v.phi_person, s.v.phi_telecom, s.v.phi_location)
-    ),
+    "person_wide": lambda s: registry.person_wide(s.v.phi_person, s.v.phi_telecom, s.v.phi_location),
     "unmapped_persons": lambda s: s.open_persons,
     "crosswalk": lambda s: registry.crosswalk(
         s.v.phi_identifier, C.id_type_local_person, C.id_type_participant
@@ -158,7 +148,7 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "contact_keys": lambda s: registry.contact_keys(s.v.phi_telecom, s.v.phi_location),
     # linkage
     "first_match": lambda s: s.first,
-    "first_match_members": lambda s: linkage.exact_name_blocks(s.cohort, s.open_persons, max_block=0, **s.options),
+    "first_match_members": lambda s: linkage.exact_name_blocks(s.cohort, s.open_persons, **s.options),
     "name_block_sizes": lambda s: linkage.name_block_sizes(s.cohort, s.open_persons),
     "match_status": lambda s: s.status,
     "ambiguous_match": lambda s: linkage.ambiguous(s.decided),
@@ -166,11 +156,11 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "low_score_match": lambda s: linkage.low_score(s.first),
     "second_match": lambda s: s.second(),
     "second_match_with_contact": lambda s: s.second(require_contact=True),
-    "second_match_members": lambda s: linkage.partial_name_blocks(s.cohort, s.open_persons, max_block=0, **s.options),
+    "second_match_members": lambda s: linkage.partial_name_blocks(s.cohort, s.open_persons, **s.options),
     "review_queue": lambda s: s.review,
-    "review_report": lambda s: _joined_arrays(
-        linkage.with_person_contacts(s.review, registry.contact_pages(s.v.phi_telecom, s.v.phi_location))
-    ).drop("page"),
+    "review_report": lambda s: linkage.with_person_contacts(
+        s.review, registry.contact_rows(s.v.phi_telecom, s.v.phi_location)
+    ),
     # vocabulary and registration
     "concept_seed": lambda s: s.concept,
     "concept_lookup": lambda s: vocabulary.lookup(
@@ -191,14 +181,14 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "roster_duplicates": lambda s: roster.duplicates(s.v.roster_staging),
     "duplicate_pmi": lambda s: roster.duplicate_keys(s.v.roster_staging, "pmi_id"),
     "duplicate_mrn": lambda s: roster.duplicate_keys(s.v.roster_staging, "mrn"),
-    "roster_sync": lambda s: s.sync.snapshot.drop("update_date"),
+    "roster_sync": lambda s: s.sync.snapshot,
     "sync_changes": lambda s: s.sync.changes,
-    "pad_mrn": lambda s: roster.pad_mrn(s.v.roster_master).drop("update_date"),
+    "pad_mrn": lambda s: roster.pad_mrn(s.v.roster_master),
     "short_mrn_audit": lambda s: roster.short_mrn_audit(s.v.roster_master, s.v.patient_src),
-    "short_mrn_members": lambda s: roster.short_mrn_blocks(s.v.roster_master, s.v.patient_src, max_block=0),
+    "short_mrn_members": lambda s: roster.short_mrn_blocks(s.v.roster_master, s.v.patient_src),
     "mrn_candidates": lambda s: s.candidates,
     "mrn_candidate_members": lambda s: roster.mrn_candidate_blocks(
-        s.v.roster_master, s.v.phi_person, max_block=0
+        s.v.roster_master, s.v.phi_person
     ),
     "best_match": lambda s: linkage.best_match(
         s.candidates, "study_id", "total_identifiers_matched", ["master_id", "phi_mrn", "source_id"]
@@ -206,9 +196,9 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "best_mrn": lambda s: s.best,
     "recovered_mrn": lambda s: roster.apply_recovered_mrn(s.v.roster_master, s.best).drop("update_date"),
     "study_links": lambda s: s.links,
-    "mrn_link_members": lambda s: roster.mrn_link_blocks(s.v.roster_master, s.v.phi_identifier, max_block=0),
-    "link_by_mrn": lambda s: _joined_arrays(
-        roster.link_by_mrn(s.v.roster_master, s.v.phi_identifier, s.v.phi_person, s.v.phi_telecom)
+    "mrn_link_members": lambda s: roster.mrn_link_blocks(s.v.roster_master, s.v.phi_identifier),
+    "link_by_mrn": lambda s: roster.link_by_mrn(
+        s.v.roster_master, s.v.phi_identifier, s.v.phi_person, s.v.phi_telecom
     ),
     "merge_study_ids": lambda s: registry.merge_study_ids(s.v.phi_identifier, s.links, with_action=True),
     "register_study_ids": lambda s: registry.register_study_ids(s.links, s.concept),

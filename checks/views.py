@@ -194,7 +194,7 @@ VIEWS = {
                cast(38000275 as bigint) as procedure_type_concept_id, value as quantity,
                event_id % 1000 as visit_occurrence_id, event_type as procedure_source_value,
                cast(0 as bigint) as procedure_source_concept_id, 'none' as qualifier_source_value
-        from {events} where event_type = 'purchase'""",
+        from {events}""",
     "measurement": """
         select l_orderkey * 10 + l_linenumber as measurement_id, 500000 + o_custkey as person_id,
                3000000 + l_partkey as measurement_concept_id, cast(l_shipdate as date) as measurement_date,
@@ -215,7 +215,7 @@ VIEWS = {
                cast(4132161 as bigint) as route_concept_id, cast(l_suppkey as string) as lot_number,
                l_orderkey as visit_occurrence_id, cast(l_partkey as string) as drug_source_value,
                cast(0 as bigint) as drug_source_concept_id, l_linestatus as route_source_value, 'mg' as dose_unit_source_value
-        from {lineitem} join {orders} on l_orderkey = o_orderkey where l_discount > 0.05""",
+        from {lineitem} join {orders} on l_orderkey = o_orderkey""",
     "concept": """
         select p_partkey as concept_id, p_name as concept_name, 'Drug' as domain_id, 'Local' as vocabulary_id,
                p_type as concept_class_id, 'S' as standard_concept, cast(p_partkey as string) as concept_code,

@@ -89,12 +89,3 @@ EXCLUDE_SITES = ("uofcirvine", "usc")
 
 # A match needs this many identifiers in common to be accepted without review.
 MIN_SCORE = 4
-
-# A block of records sharing one key is listed as pairs while its smaller side
-# has at most this many rows. The pair list then never exceeds this number
-# times the input rows, however skewed the key. Larger blocks are listed
-# member by member instead (see operators.blocks).
-MAX_BLOCK_SIDE = 1000
-
-# Contact values held in one row of the wide person view.
-CONTACTS_PER_PAGE = 1000

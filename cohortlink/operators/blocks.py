@@ -1,11 +1,10 @@
-"""Candidate joins on shared keys whose output stays linear in the input.
+"""Candidate joins on shared keys.
 
-A block is the set of rows on two sides that share a key. Listing a block as
-pairs costs n * m rows, which explodes for a default birth date or a test
-patient's name. The operators here list pairs only for blocks whose smaller
-side has at most ``max_side`` rows, so the pairs number at most ``max_side``
-times the input rows. Every other block is listed member by member, once per
-row, by ``block_members``; the two lists together cover every pair.
+A block is the set of rows on two sides that share a key. ``block_pairs`` lists
+every pair of every block, n * m rows for a default birth date or a test patient's
+name: that is its answer, whatever the size. ``block_members`` lists the same blocks member
+by member, n + m rows, for callers that do not need the pairs. The caller chooses;
+no size does.
 """
 
 from __future__ import annotations
@@ -15,9 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
-
-
 def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join whose skewed partitions AQE can split.
 
@@ -45,59 +41,36 @@ def block_sizes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
     )
 
 
-def oversized_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], max_side: int) -> DataFrame:
-    """Keys held by more than ``max_side`` rows on both sides."""
-    sizes = block_sizes(left, right, keys)
-    return sizes.where(F.least("n_left", "n_right") > max_side).select(*keys)
-
-
-def _without_keys(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose keys are not in ``small``, which is repeated per salt.
-
-    Salted, a hot key stays spread over tasks, and the join that follows on
-    the same keys can still be split. The salt comes from the row itself, so a
-    task run again sends each row the same way.
-    """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*keys, "_salt"], "left_anti").drop("_salt")
-
-
 def block_pairs(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    max_side: int,
-    how: str = "inner",
-    broadcast_left: bool = False,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", broadcast_left: bool = False
 ) -> DataFrame:
-    """Pairs of all blocks that are not oversized; ``how`` is ``inner`` or ``left``.
+    """All pairs that share the keys; ``how`` is ``inner`` or ``left``.
 
-    A left join keeps left rows without any partner; rows of oversized blocks
-    are left to ``block_members``. ``broadcast_left`` is for an inner join with
-    a left side that has been measured small.
+    A left join keeps left rows without any partner. Rows with an empty key meet
+    nobody, and a left join does not send them to one task: they are spread apart
+    from the join. ``broadcast_left`` is for an inner join with a left side that
+    has been measured small.
     """
     keys = list(keys)
-    big = oversized_keys(left, right, keys, max_side)
+    right = right.dropna(subset=keys)
     if how == "inner":
         left = left.dropna(subset=keys)
-    kept = _without_keys(left, big, keys)
-    if broadcast_left:
-        return F.broadcast(kept).join(right.dropna(subset=keys), keys, how)
-    return kept.join(right.dropna(subset=keys), keys, how)
+        if broadcast_left:
+            return F.broadcast(left).join(right, keys, "inner")
+        return skew_join(left, right, keys, "inner")
+    usable = F.lit(True)
+    for key in keys:
+        usable = usable & F.col(key).isNotNull()
+    joined = skew_join(left.where(usable), right, keys, "left")
+    return joined.unionByName(left.where(~usable), allowMissingColumns=True)
 
 
 def block_members(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    max_side: int,
-    left_id: str,
-    right_id: str,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str, right_id: str
 ) -> DataFrame:
-    """Members of the oversized blocks, one row each, with the id of their side."""
+    """Members of all blocks with rows on both sides, one row each, with the id of their side."""
     keys = list(keys)
-    big = oversized_keys(left, right, keys, max_side)
-    lefts = skew_join(left, big, keys, "left_semi").select(*keys, F.col(left_id))
-    rights = skew_join(right, big, keys, "left_semi").select(*keys, F.col(right_id))
+    left, right = left.dropna(subset=keys), right.dropna(subset=keys)
+    lefts = skew_join(left, right.select(*keys).distinct(), keys, "left_semi").select(*keys, F.col(left_id))
+    rights = skew_join(right, left.select(*keys).distinct(), keys, "left_semi").select(*keys, F.col(right_id))
     return lefts.unionByName(rights, allowMissingColumns=True).distinct()

@@ -169,9 +169,9 @@ def _birth() -> list[Column]:
 
 
 def cdm_person(person: DataFrame, crosswalk_ids: DataFrame) -> DataFrame:
-    """Persons with their birth date put together; impossible dates are in ``impossible_births``."""
+    """Persons with their birth date put together; an impossible date is left empty and in ``impossible_births``."""
     return rekey(
-        person.where(~no_such_date(*_birth())),
+        person,
         crosswalk_ids,
         PERSON_COLUMNS,
         {"birth_datetime": date_of(*_birth())},
@@ -179,7 +179,7 @@ def cdm_person(person: DataFrame, crosswalk_ids: DataFrame) -> DataFrame:
 
 
 def impossible_births(person: DataFrame) -> DataFrame:
-    """Reject list of ``cdm_person``: rows whose birth date parts form no date."""
+    """Persons that ``cdm_person`` gives no birth date: rows whose birth date parts form no date."""
     return person.where(no_such_date(*_birth())).select("person_id", *_BIRTH_PARTS)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..config import MAX_BLOCK_SIDE, MIN_SCORE
+from ..config import MIN_SCORE
 from ..functions.match import flag
 from ..functions.text import contact_key, match_key, phone_key
 from .blocks import block_members, block_pairs, block_sizes, skew_join
@@ -83,7 +83,7 @@ def reachable(right: DataFrame, left: DataFrame, keys: Sequence[str], broadcast_
     if not broadcast_left:
         return right
     keys = list(keys)
-    return right.join(F.broadcast(left.dropna(subset=keys).select(*keys)), keys, "left_semi").select(*right.columns)
+    return right.join(F.broadcast(left.dropna(subset=keys).select(*keys).distinct()), keys, "left_semi").select(*right.columns)
 
 
 def _asks(wanted: Mapping[str, Column]) -> Column:
@@ -143,20 +143,18 @@ def exact_name_match(
     cohort: DataFrame,
     person: DataFrame,
     contacts: DataFrame,
-    max_block: int = MAX_BLOCK_SIDE,
     broadcast_cohort: bool = False,
 ) -> DataFrame:
     """Candidates equal in first name, last name and birth date, with their score.
 
     ``person`` holds the persons still to be linked (``registry.unmapped``),
-    ``contacts`` their ``registry.contact_keys``. Oversized blocks are in
-    ``exact_name_blocks``. Set ``broadcast_cohort`` if the cohort has been
+    ``contacts`` their ``registry.contact_keys``. Set ``broadcast_cohort`` if the cohort has been
     measured small (``plans.stages.fits_broadcast``): persons out of its reach
     are then dropped while they are read.
     """
     left = participants(cohort)
     right = reachable(persons(person), left, NAME_KEYS, broadcast_cohort)
-    pairs = block_pairs(left, right, NAME_KEYS, max_block, broadcast_left=broadcast_cohort)
+    pairs = block_pairs(left, right, NAME_KEYS, broadcast_left=broadcast_cohort)
     ones = {name: F.lit(1) for name in _NAME_FLAGS}
     return _scored(pairs.withColumns(ones), contacts)
 
@@ -164,13 +162,12 @@ def exact_name_match(
 def exact_name_blocks(
     cohort: DataFrame,
     person: DataFrame,
-    max_block: int = MAX_BLOCK_SIDE,
     broadcast_cohort: bool = False,
 ) -> DataFrame:
-    """Participants and persons of the oversized name and birth date blocks."""
+    """Participants and persons of all shared name and birth date blocks, one row each."""
     left = participants(cohort)
     right = reachable(persons(person), left, NAME_KEYS, broadcast_cohort)
-    return block_members(left, right, NAME_KEYS, max_block, "pmi_id", "master_id")
+    return block_members(left, right, NAME_KEYS, "pmi_id", "master_id")
 
 
 def match_status(cohort: DataFrame, person: DataFrame, broadcast_cohort: bool = False) -> DataFrame:
@@ -233,7 +230,6 @@ def partial_name_match(
     contacts: DataFrame,
     status: DataFrame | None = None,
     require_contact: bool = False,
-    max_block: int = MAX_BLOCK_SIDE,
     broadcast_cohort: bool = False,
 ) -> DataFrame:
     """Candidates equal in birth date and one name, for participants without an exact candidate.
@@ -245,7 +241,7 @@ def partial_name_match(
     left, right = _partial_sides(cohort, person, status, broadcast_cohort)
     first, last = F.col("k_first") == F.col("p_first"), F.col("k_last") == F.col("p_last")
     pairs = (
-        block_pairs(left, right, ONE_NAME_KEYS, max_block, broadcast_left=broadcast_cohort)
+        block_pairs(left, right, ONE_NAME_KEYS, broadcast_left=broadcast_cohort)
         .where((F.col("k_part") == "first") | ~F.coalesce(first, F.lit(False)))
         .withColumns({
             "first_name_match": flag(first),
@@ -263,12 +259,11 @@ def partial_name_blocks(
     cohort: DataFrame,
     person: DataFrame,
     status: DataFrame | None = None,
-    max_block: int = MAX_BLOCK_SIDE,
     broadcast_cohort: bool = False,
 ) -> DataFrame:
-    """Participants and persons of the oversized blocks of the second match."""
+    """Participants and persons of all shared blocks of the second match, one row each."""
     left, right = _partial_sides(cohort, person, status, broadcast_cohort)
-    return block_members(left, right, ONE_NAME_KEYS, max_block, "pmi_id", "master_id")
+    return block_members(left, right, ONE_NAME_KEYS, "pmi_id", "master_id")
 
 
 def name_block_sizes(cohort: DataFrame, person: DataFrame) -> DataFrame:
@@ -284,7 +279,7 @@ def decide(candidates: DataFrame, status: DataFrame, min_score: int = MIN_SCORE)
     """First-match candidates with a ``decision``: ambiguous, low_score or accepted.
 
     A participant with several candidate persons is ambiguous whatever the
-    score, also where its block is too large to be listed as pairs.
+    score.
     """
     several = status.where(F.col("status") == "several").select("k_pmi", F.lit(True).alias("_several"))
     keyed = candidates.withColumn("k_pmi", match_key(F.col("pmi_id")))
@@ -327,9 +322,9 @@ def review_queue(decided: DataFrame, partial: DataFrame) -> DataFrame:
     return first.unionByName(second).orderBy("pmi_id", "master_id")
 
 
-def with_person_contacts(review: DataFrame, pages: DataFrame) -> DataFrame:
-    """Review rows with the person's contact points beside them (``registry.contact_pages``)."""
-    return review.join(pages, "master_id", "left")
+def with_person_contacts(review: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Review rows beside each of the person's contact points (``registry.contact_rows``), in participant order."""
+    return skew_join(review, contacts, ["master_id"], "left").orderBy("pmi_id", "master_id", "slot", "value")
 
 
 def best_match(
@@ -341,13 +336,16 @@ def best_match(
 ) -> DataFrame:
     """The highest scored candidate per key; ties go to the lowest ``tie_break`` values.
 
+    Keys are compared like all others, without regard to case and trailing blanks.
+
     Spark limits each key to its first row before the shuffle, so a key with
     very many candidates costs one row per task.
     """
-    order = Window.partitionBy(key).orderBy(F.desc(score), *tie_break)
+    order = Window.partitionBy("_key").orderBy(F.desc(score), *tie_break)
     return (
         candidates.where(F.col(score) >= min_score)
+        .withColumn("_key", match_key(F.col(key)))
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") == 1)
-        .drop("_rank")
+        .drop("_rank", "_key")
     )

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import (
-    CONTACTS_PER_PAGE,
     EHR_MRN_USE_CODE,
     PARTICIPANT_LABELS,
     STUDY_LABELS,
@@ -74,54 +73,23 @@ def contact_keys(
     return keys.distinct()
 
 
-def contact_pages(
-    telecom: DataFrame,
-    location: DataFrame | None = None,
-    c: Concepts = Concepts(),
-    page_size: int = CONTACTS_PER_PAGE,
+def contact_rows(
+    telecom: DataFrame, location: DataFrame | None = None, c: Concepts = Concepts()
 ) -> DataFrame:
-    """Contact points per person as sorted arrays, one row per person and page.
+    """Distinct (master_id, slot, value) of all contact points, one row each, whatever a person has.
 
-    A person with at most ``page_size`` values has one row, page 0. Values of
-    a larger person are hashed over as many pages as needed, so neither a row
-    nor a task ever holds an unbounded group.
+    ``slot`` is home_phone, work_phone, email or address.
     """
-    lines = _slotted(telecom, location, c).distinct()
-    large = (
-        lines.groupBy("master_id")
-        .agg(F.count(F.lit(1)).alias("n_values"))
-        .where(F.col("n_values") > page_size)
-    )
-    pages = F.ceil(F.col("n_values") / page_size)
-    paged = skew_join(lines, large, ["master_id"], "left").select(
-        "master_id",
-        "slot",
-        "value",
-        F.when(F.col("n_values").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64("slot", "value"), pages))
-        .cast("int")
-        .alias("page"),
-    )
-    arrays = [
-        F.sort_array(F.collect_list(F.when(F.col("slot") == s, F.col("value")))).alias(
-            "addresses" if s == "address" else s + "s"
-        )
-        for s in SLOTS
-        if s != "address" or location is not None
-    ]
-    # Partitioned by person and page on purpose: by person alone, all pages
-    # of a large person would share one task.
-    return paged.repartition("master_id", "page").groupBy("master_id", "page").agg(*arrays)
+    return _slotted(telecom, location, c).distinct()
 
 
 def person_wide(
-    person: DataFrame,
-    telecom: DataFrame,
-    location: DataFrame,
-    c: Concepts = Concepts(),
-    page_size: int = CONTACTS_PER_PAGE,
+    person: DataFrame, telecom: DataFrame, location: DataFrame, c: Concepts = Concepts()
 ) -> DataFrame:
-    """Names, birth date and all contact points of each person."""
+    """Names and birth date of each person, beside each of the person's contact points.
+
+    A person without contact points has one row, with empty slot and value.
+    """
     persons = person.select(
         "master_id",
         "mrn",
@@ -130,9 +98,7 @@ def person_wide(
         F.col("surname").alias("last_name"),
         "birth_date",
     ).distinct()
-    return persons.join(contact_pages(telecom, location, c, page_size), "master_id", "left").withColumn(
-        "page", F.coalesce("page", F.lit(0))
-    )
+    return skew_join(persons, contact_rows(telecom, location, c), ["master_id"], "left")
 
 
 def unmapped(persons: DataFrame, identifier: DataFrame, c: Concepts = Concepts()) -> DataFrame:
@@ -184,10 +150,11 @@ def register_identifiers(
 
     A person without an EHR record number row is not registered; a person with
     several gets one row for each. Identifiers already in the registry under
-    their type are skipped.
+    the type that ``labels`` names are skipped.
     """
     ehr_use = vocabulary.concept_id(concept, EHR_MRN_USE_CODE)
-    known = of_type(identifier, c.id_type_participant).select(
+    use_id, type_id = _label_concepts(concept, labels)
+    known = identifier.where(F.col("id_type_concept_id") == type_id).select(
         match_key(F.col("identifier")).alias("id_key")
     )
     ehr = identifier.where(F.col("id_use_concept_id") == ehr_use).select("master_id", "source_id")
@@ -199,7 +166,7 @@ def register_identifiers(
         .select("master_id", "source_id", "identifier")
         .distinct()
     )
-    return _registry_rows(rows, labels, *_label_concepts(concept, labels))
+    return _registry_rows(rows, labels, use_id, type_id)
 
 
 def register_study_ids(

@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..config import MAX_BLOCK_SIDE, MIN_SCORE, SYNC_SOURCE, Concepts
+from ..config import MIN_SCORE, SYNC_SOURCE, Concepts
 from ..functions.match import flag
 from ..functions.text import contact_key, match_key, phone_key, trimmed_length
 from .blocks import block_members, block_pairs, skew_join
 from .linkage import asked_values, contact_flags, reachable
 from .merge import Merge, snapshot_merge
-from .registry import contact_keys, contact_pages, of_type
+from .registry import contact_keys, contact_rows, of_type
 
 SYNCED_COLUMNS = (
     "mrn",
@@ -93,14 +93,18 @@ def sync(
     """Bring the master roster in step with staging; rows gone from staging are deleted.
 
     A matched row takes the record number, duplicate flag, participant id and
-    withdrawal fields; its name, birth date and contact fields stay.
+    withdrawal fields; its name, birth date and contact fields stay. A staging
+    table without one of the columns to take raises an error.
     """
+    missing = [c for c in SYNCED_COLUMNS if c not in staging.columns]
+    if missing:
+        raise ValueError(f"staging lacks {', '.join(missing)}")
     stamp = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
     return snapshot_merge(
         master,
         staging,
         key="study_id",
-        update=[c for c in SYNCED_COLUMNS if c in staging.columns],
+        update=SYNCED_COLUMNS,
         stamp={"update_date": stamp, "source": F.lit(source)},
         delete_missing=True,
         audit=AUDIT_COLUMNS,
@@ -140,22 +144,20 @@ def _audit_sides(roster: DataFrame, patient_src: DataFrame) -> tuple[DataFrame,
 
 
 def short_mrn_audit(
-    roster: DataFrame, patient_src: DataFrame, max_block: int = MAX_BLOCK_SIDE
+    roster: DataFrame, patient_src: DataFrame
 ) -> DataFrame:
     """Short record numbers beside the EHR patient found under the padded number.
-
-    A number held by very many rows on both sides is in ``short_mrn_blocks``.
     """
     short, src = _audit_sides(roster, patient_src)
-    return block_pairs(short, src, ["_key"], max_block, how="left").drop("_key")
+    return block_pairs(short, src, ["_key"], how="left").drop("_key")
 
 
 def short_mrn_blocks(
-    roster: DataFrame, patient_src: DataFrame, max_block: int = MAX_BLOCK_SIDE
+    roster: DataFrame, patient_src: DataFrame
 ) -> DataFrame:
-    """Roster rows and EHR record numbers of the oversized blocks of the audit."""
+    """Roster rows and EHR record numbers of all shared numbers of the audit, one row each."""
     short, src = _audit_sides(roster, patient_src)
-    return block_members(short, src, ["_key"], max_block, "study_id", "src_mrn").withColumnRenamed(
+    return block_members(short, src, ["_key"], "study_id", "src_mrn").withColumnRenamed(
         "_key", "padded_mrn"
     )
 
@@ -199,16 +201,15 @@ def mrn_candidates(
     telecom: DataFrame,
     identifier: DataFrame,
     c: Concepts = Concepts(),
-    max_block: int = MAX_BLOCK_SIDE,
 ) -> DataFrame:
     """Persons of the same name for each roster row without a record number.
 
     The score is 2 for the name plus one each for birth date, phone and e-mail.
-    A row without a namesake stays, with empty person columns. Oversized name
-    blocks are in ``mrn_candidate_blocks``; ``best_mrn`` needs neither list.
+    A row without a namesake stays, with empty person columns. ``best_mrn`` finds
+    the best of all pairs without making them.
     """
     left = _without_mrn(roster)
-    pairs = block_pairs(left, _named_persons(person), _NAME_KEYS, max_block, how="left")
+    pairs = block_pairs(left, _named_persons(person), _NAME_KEYS, how="left")
     columns = [
         "study_id",
         "first_name",
@@ -243,11 +244,11 @@ def mrn_candidates(
 
 
 def mrn_candidate_blocks(
-    roster: DataFrame, person: DataFrame, max_block: int = MAX_BLOCK_SIDE
+    roster: DataFrame, person: DataFrame
 ) -> DataFrame:
-    """Roster rows and persons of the oversized name blocks."""
+    """Roster rows and persons of all shared names, one row each."""
     return block_members(
-        _without_mrn(roster), _named_persons(person), _NAME_KEYS, max_block, "study_id", "master_id"
+        _without_mrn(roster), _named_persons(person), _NAME_KEYS, "study_id", "master_id"
     )
 
 
@@ -440,17 +441,16 @@ def study_links(
     roster: DataFrame,
     identifier: DataFrame,
     c: Concepts = Concepts(),
-    max_block: int = MAX_BLOCK_SIDE,
 ) -> DataFrame:
     """Distinct (study_id, mrn, master_id, source_id): the input of ``registry.merge_study_ids``.
 
-    A record number shared by very many roster rows and very many registry
-    rows links nobody to anybody; its members are in ``mrn_link_blocks``.
+    A number shared by n roster rows and m registry rows makes n * m links;
+    ``mrn_link_blocks`` has its n + m members.
     """
     rows = _named(roster).select("study_id", "mrn", "_mrn").distinct()
     links = _links_by_mrn(roster, identifier, c)
     return (
-        block_pairs(rows, links, ["_mrn"], max_block, how="left")
+        block_pairs(rows, links, ["_mrn"], how="left")
         .select("study_id", "mrn", "master_id", "source_id")
         .distinct()
     )
@@ -460,12 +460,11 @@ def mrn_link_blocks(
     roster: DataFrame,
     identifier: DataFrame,
     c: Concepts = Concepts(),
-    max_block: int = MAX_BLOCK_SIDE,
 ) -> DataFrame:
-    """Study ids and persons of the record numbers too common to be listed as links."""
+    """Study ids and persons of all linked record numbers, one row each."""
     rows = _named(roster).select("study_id", "_mrn").distinct()
     links = _links_by_mrn(roster, identifier, c)
-    return block_members(rows, links, ["_mrn"], max_block, "study_id", "master_id").withColumnRenamed(
+    return block_members(rows, links, ["_mrn"], "study_id", "master_id").withColumnRenamed(
         "_mrn", "k_mrn"
     )
 
@@ -476,13 +475,13 @@ def link_by_mrn(
     person: DataFrame,
     telecom: DataFrame,
     c: Concepts = Concepts(),
-    max_block: int = MAX_BLOCK_SIDE,
 ) -> DataFrame:
     """Roster rows beside the registry person found by record number, with contact points.
 
-    Rows without a person stay. Contact points come as arrays, one row per
-    ``registry.contact_pages`` page. Too common record numbers are in
-    ``mrn_link_blocks``.
+    Rows without a person stay, with empty person columns; a person's contact
+    points come one row each (``registry.contact_rows``). Names and contact points
+    are put together per linked person first; rows without a person go round that join, and
+    so do not meet in one task.
     """
     names = person.select(
         "master_id",
@@ -493,10 +492,9 @@ def link_by_mrn(
     rows = _named(roster).select(
         "study_id", "mrn", "first_name", "last_name", "dob", "phone_number", "email_address", "_mrn"
     )
-    return (
-        block_pairs(rows.distinct(), _links_by_mrn(roster, identifier, c), ["_mrn"], max_block, how="left")
-        .drop("_mrn")
-        .join(names, "master_id", "left")
-        .join(contact_pages(telecom, None, c), "master_id", "left")
-        .withColumn("page", F.coalesce("page", F.lit(0)))
-    )
+    links = block_pairs(rows.distinct(), _links_by_mrn(roster, identifier, c), ["_mrn"], how="left").drop("_mrn")
+    linked = links.where(F.col("master_id").isNotNull())
+    persons = linked.select("master_id").distinct()
+    details = persons.join(names, "master_id", "left").join(contact_rows(telecom, None, c), "master_id", "left")
+    beside = skew_join(linked, details, ["master_id"], "left")
+    return beside.unionByName(links.where(F.col("master_id").isNull()), allowMissingColumns=True)

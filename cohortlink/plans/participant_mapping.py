@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import MAX_BLOCK_SIDE, Concepts
+from ..config import Concepts
 from ..operators import cohort, linkage, registry
 from .stages import broadcast_if_small, fits_broadcast, materialize
 
@@ -29,12 +29,11 @@ def map_participants(
     identifier: DataFrame,
     concept: DataFrame,
     c: Concepts = Concepts(),
-    max_block: int = MAX_BLOCK_SIDE,
 ) -> MappingResult:
     """Accepted matches with their registry rows, and everything left for review.
 
     ``review`` lists candidate pairs; ``review_blocks`` lists the members of
-    name blocks too large to be listed as pairs.
+    all shared name blocks, one row each.
     """
     selected = materialize(cohort.site_cohort(workqueue), "cohort")
     # The cohort is usually tiny beside the registry. Measured so, its keys are
@@ -46,7 +45,7 @@ def map_participants(
     open_persons = registry.unmapped(person, mapped, c)
     asked = F.broadcast(linkage.asked_values(selected)) if small else None
     contacts = registry.contact_keys(telecom, location, c, wanted=asked)
-    options = {"max_block": max_block, "broadcast_cohort": small}
+    options = {"broadcast_cohort": small}
 
     status = materialize(linkage.match_status(selected, open_persons, small), "match-status")
     first = linkage.exact_name_match(selected, open_persons, contacts, **options)

@@ -36,8 +36,7 @@ def sync_roster(
 
     Duplicates (``roster.duplicates``, ``roster.duplicate_keys``) are to be
     resolved in staging by hand before this runs. ``link_blocks`` names the
-    study ids whose record number is too common to link by; they are not merged
-    into the registry before somebody has looked at them.
+    members of every linked record number.
     """
     merged = roster.sync(master, staging, run_ts)
     padded = materialize(roster.pad_mrn(merged.snapshot), "roster-synced")

@@ -4,6 +4,7 @@ import random
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlink import schemas
 from cohortlink.config import Concepts
@@ -185,15 +186,13 @@ def test_against_brute_force(spark, seed):
     assert {r[0] for r in rows(linkage.ambiguous(decided), "pmi_id")} == several
 
 
-@pytest.mark.parametrize("max_block", [0, 1, 3])
-def test_pairs_and_block_members_cover_every_pair(spark, max_block):
+def test_block_members_cover_the_same_pairs(spark):
     cohort, person, points = random_sides(7)
     expected = brute(cohort, person, points)
     c, p, k = spark.createDataFrame(cohort, COHORT), people(spark, *person), contacts(spark, *points)
 
-    def covered(pairs, members, keys):
-        got = set(rows(pairs, "pmi_id", "master_id"))
-        blocks = {}
+    def covered(members, keys):
+        got, blocks = set(), {}
         for r in members.collect():
             left, right = blocks.setdefault(tuple(r[k] for k in keys), (set(), set()))
             (left if r.pmi_id is not None else right).add(r.pmi_id if r.pmi_id is not None else r.master_id)
@@ -203,35 +202,39 @@ def test_pairs_and_block_members_cover_every_pair(spark, max_block):
         return got
 
     exact = {(r[0], r[1]) for r in expected if r[7] and r[8]}
-    first = linkage.exact_name_match(c, p, k, max_block=max_block)
-    members = linkage.exact_name_blocks(c, p, max_block)
-    assert covered(first, members, linkage.NAME_KEYS) == exact
-    assert max_block or first.count() == 0
-
+    assert covered(linkage.exact_name_blocks(c, p), linkage.NAME_KEYS) == exact
     in_first = {a for a, _ in exact}
-    second = linkage.partial_name_match(c, p, k, max_block=max_block)
-    members = linkage.partial_name_blocks(c, p, max_block=max_block)
-    assert covered(second, members, linkage.ONE_NAME_KEYS) == {
-        (r[0], r[1]) for r in expected if r[0] not in in_first
-    }
+    second = {(r[0], r[1]) for r in expected if r[0] not in in_first}
+    assert set(rows(linkage.partial_name_match(c, p, k), "pmi_id", "master_id")) == second
+    assert covered(linkage.partial_name_blocks(c, p), linkage.ONE_NAME_KEYS) == second
 
 
-def test_large_block_is_listed_in_linear_size_and_never_accepted(spark):
-    n = 300
-    cohort = spark.createDataFrame(
-        [(f"P{i}", "Test", "Patient", D, None, "1", None) for i in range(n)], COHORT
+def crowd(spark, n, first="Test"):
+    """As many participants and persons of one name and birth date."""
+    cohort = spark.range(n).select(
+        F.concat(F.lit("P"), "id").alias("pmi_id"), F.lit(first).alias("first_name"), F.lit("Patient").alias("last_name"),
+        F.lit(D).alias("birth_date"), F.lit(None).cast("string").alias("email"), F.lit("1").alias("phone"),
+        F.lit(None).cast("string").alias("address"),
+    )
+    person = spark.range(n).select(
+        F.col("id").alias("master_id"), F.lit("Test").alias("first_name"), F.lit("Patient").alias("surname"),
+        F.lit(D).alias("birth_date"),
     )
-    person = people(spark, *[(i, "Test", "Patient", D) for i in range(n)])
-    keys = contacts(spark, *[(i, "1", C.telecom_home) for i in range(n)])
-    first = linkage.exact_name_match(cohort, person, keys, max_block=10)
-    assert first.count() == 0
-    assert linkage.exact_name_blocks(cohort, person, 10).count() == 2 * n
+    return cohort, person
+
+
+@pytest.mark.parametrize("n", [300, 1001])
+def test_a_large_block_is_complete_and_never_accepted(spark, n):
+    cohort, person = crowd(spark, n)
+    keys = contacts(spark, (0, "1", C.telecom_home))
+    first = linkage.exact_name_match(cohort, person, keys)
+    assert first.count() == n * n
+    assert linkage.exact_name_blocks(cohort, person).count() == 2 * n
     status = linkage.match_status(cohort, person)
     assert rows(status.groupBy("status").count()) == [("several", n)]
     assert linkage.accepted(linkage.decide(first, status)).count() == 0
-    # Many participants against one person stay pairs: one row each.
-    one = people(spark, (1, "Test", "Patient", D))
-    assert linkage.exact_name_match(cohort, one, keys, max_block=10).count() == n
+    other, _ = crowd(spark, n, "Other")
+    assert linkage.partial_name_match(other, person, keys).count() == n * n
 
 
 def test_best_match_breaks_ties_by_lowest_person(spark):

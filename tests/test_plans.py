@@ -52,17 +52,14 @@ def test_map_participants(spark, v):
     assert again.new_identifiers.count() == 0
 
 
-def test_map_participants_with_small_blocks_loses_nobody(spark, v):
-    """With every block listed by member, all participants of either match are still named."""
+def test_map_participants_blocks_name_all_of_either_match(spark, v):
     args = (
         v.workqueue, v.phi_person, v.phi_telecom, v.phi_location, v.phi_identifier,
         vocabulary.seed_concepts(spark),
     )
-    whole, split = map_participants(*args), map_participants(*args, max_block=0)
-    assert split.review.count() == 0 and split.accepted.count() == 0
-    members = {r[0] for r in rows(split.review_blocks.where("pmi_id is not null"), "pmi_id")}
-    listed = {r[0] for r in rows(whole.review, "pmi_id")} | {r[0] for r in rows(whole.accepted, "pmi_id")}
-    assert members == listed
+    got = map_participants(*args)
+    members = {r[0] for r in rows(got.review_blocks.where("pmi_id is not null"), "pmi_id")}
+    assert members == {r[0] for r in rows(got.review, "pmi_id")} | {r[0] for r in rows(got.accepted, "pmi_id")}
 
 
 def test_sync_roster(spark, v):

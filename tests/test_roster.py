@@ -4,10 +4,11 @@ import random
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlink import schemas
 from cohortlink.config import Concepts
-from cohortlink.operators import linkage, quality, roster
+from cohortlink.operators import linkage, quality, registry, roster
 
 from .conftest import rows
 from .test_registry import identifiers, telecom
@@ -201,11 +202,6 @@ def test_best_mrn_equals_best_of_all_name_pairs(spark, seed):
     best = roster.best_mrn(df, people, tel, ids)
     assert best.count() > 5
     assert rows(best) == rows(expected.select(*best.columns))
-    # Small blocks as pairs and large ones as members still name every row.
-    small = roster.mrn_candidates(df, people, tel, ids, max_block=3)
-    members = roster.mrn_candidate_blocks(df, people, max_block=3)
-    ids_seen = {r[0] for r in rows(small, "study_id")} | {r[0] for r in rows(members, "study_id")} - {None}
-    assert ids_seen == {r[0] for r in rows(pairs, "study_id")}
 
 
 def test_links_by_mrn(spark):
@@ -231,8 +227,8 @@ def test_links_by_mrn(spark):
     people = person(spark, (1, "Ann", "Lee", D))
     tel = telecom(spark, (1, "8", C.telecom_home), (1, "7", C.telecom_home), (1, "a@x", C.telecom_email))
     wide = roster.link_by_mrn(df, ids, people, tel).where("study_id = '2'").collect()
-    assert [(r.master_id, r.phi_mrn, r.mrn_first_name, r.home_phones, r.emails) for r in wide] == [
-        (1, "0123", "Ann", ["7", "8"], ["a@x"])
+    assert sorted((r.master_id, r.phi_mrn, r.mrn_first_name, r.slot, r.value) for r in wide) == [
+        (1, "0123", "Ann", "email", "a@x"), (1, "0123", "Ann", "home_phone", "7"), (1, "0123", "Ann", "home_phone", "8")
     ]
     counts = dict(quality.reconcile(df, df.select(*schemas.ROSTER_STAGING.names), ids, links).collect())
     assert counts == {
@@ -250,13 +246,25 @@ def test_links_by_mrn(spark):
     }
 
 
-def test_record_number_shared_by_many_is_listed_by_member(spark):
-    df = master(spark, *[row(str(i), mrn="0") for i in range(40)], row("x", mrn="7"), row("y"))
-    ids = identifiers(
-        spark, *[(i, i, "0", C.id_type_mrn, 0) for i in range(30)], (99, 99, "7", C.id_type_mrn, 0)
-    )
-    links = roster.study_links(df, ids, max_block=10)
-    assert rows(links) == [("x", "7", 99, 99), ("y", None, None, None)]
-    members = roster.mrn_link_blocks(df, ids, max_block=10)
-    assert members.count() == 70 and set(rows(members, "k_mrn")) == {("0",)}
-    assert roster.study_links(df, ids).count() == 40 * 30 + 2
+def test_a_record_number_shared_by_many_links_all_of_them(spark):
+    n = 1001
+    df = master(spark, *[row(str(i), mrn="0") for i in range(n)], row("x", mrn="7"), row("y"))
+    ids = identifiers(spark, *[(i, i, "0", C.id_type_mrn, 0) for i in range(n)], (-1, 99, "7", C.id_type_mrn, 0))
+    links = roster.study_links(df, ids)
+    assert links.count() == n * n + 2
+    assert rows(links.where("mrn is null or mrn = '7'")) == [("x", "7", -1, 99), ("y", None, None, None)]
+    members = roster.mrn_link_blocks(df, ids)
+    assert members.count() == 2 * n + 2 and set(rows(members, "k_mrn")) == {("0",), ("7",)}
+    empty = identifiers(spark, (1, 1, "z", C.id_type_mrn, 0)).where("false")
+    merged = registry.merge_study_ids(empty, links)
+    assert merged.where(F.col("identifier").isin("x", "y")).count() == 2
+    assert merged.select("identifier").distinct().count() == n + 2
+
+
+def test_a_name_shared_by_many_has_all_candidates(spark):
+    n = 1001
+    df = master(spark, *[row(str(i), mrn=None) for i in range(n)])
+    first, last = df.select("first_name", "last_name").first()
+    people = person(spark, *[(i, first, last, D) for i in range(n)])
+    found = roster.mrn_candidates(df, people, telecom(spark, (0, "1", C.telecom_home)), identifiers(spark, (0, 0, "5", C.id_type_mrn, 0)))
+    assert found.count() == n * n
