@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +36,7 @@ from .common import (
     chunks,
     id_and_bytes,
     mix,
-    packed,
     partitions,
-    unpacked,
     window_hashes,
     window_starts,
     written,
@@ -51,6 +50,9 @@ SMALL_SET = 32
 RARE = 16
 PIVOT_ORDERS = 4
 PIVOT_ROUNDS = 2
+FEW, BLOCK = 48, 512
+# A sketch has so many 64-bit words for small sets, and at most so many doublings of it.
+SKETCH_WORDS, SKETCH_DOUBLINGS = 8, 5
 
 
 def shingle_sets(texts: list[bytes], width: int, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +82,8 @@ def fingerprints(hashes: np.ndarray, doc: np.ndarray, documents: int) -> np.ndar
     return sums.view(np.int64)
 
 
-REQUEST = "bucket int, base bigint, single binary, owner binary, several binary, own binary"
+REQUEST = "bucket int, chunk bigint, single binary, owner binary, several binary, own binary"
+ANSWER = "chunk bigint, owner binary, times binary, own binary"
 STATS = ["id", "n", "shared", "f1", "f2"]
 
 
@@ -94,7 +97,7 @@ def set_statistics(texts: DataFrame, width: int, buckets: int) -> DataFrame:
 
     def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary()
-        for keys, chunk in chunks(batches):
+        for number, (keys, chunk) in enumerate(chunks(batches)):
             ids = np.array(keys, dtype=np.int64)
             hashes, doc = shingle_sets(chunk, width, vocabulary)
             sizes = np.bincount(doc, minlength=len(ids))
@@ -104,54 +107,56 @@ def set_statistics(texts: DataFrame, width: int, buckets: int) -> DataFrame:
             several = np.bincount(group, minlength=1)[group] > 1 if len(hashes) else first
             shared = np.bincount(doc[several], minlength=len(ids))
             own = np.stack([ids, sizes, shared, marks[0], marks[1]], axis=1).astype(np.int64)
-            rows = [[int(ids[0]) % buckets], [0], [b""], [b""], [b""], [own.tobytes()]]
-            alone = hashes[~several], ids[doc[~several]]
+            key = TaskContext.get().partitionId() << 32 | number
+            rows = [(key % buckets, key, b"", b"", b"", own.tobytes())]
+            alone, owner = hashes[~several], doc[~several].astype(np.uint16)
             common = hashes[several & first]
             edges = np.arange(buckets + 1)
-            at, upto = (np.searchsorted(buckets_of(h, buckets), edges) for h in (alone[0], common))
-            for b in range(buckets):
+            at, upto = (np.searchsorted(buckets_of(h, buckets), edges) for h in (alone, common))
+            for b in np.flatnonzero(np.diff(at) + np.diff(upto)).tolist():
                 s, c = slice(at[b], at[b + 1]), slice(upto[b], upto[b + 1])
-                if at[b] == at[b + 1] and upto[b] == upto[b + 1]:
-                    continue
-                base, owner = packed(alone[1][s])
-                for column, value in zip(
-                    rows,
-                    (b, base, alone[0][s].astype(np.uint32).tobytes(), owner, common[c].astype(np.uint32).tobytes(), b""),
-                    strict=True,
-                ):
-                    column.append(value)
+                told = (x.tobytes() for x in (alone[s].astype(np.uint32), owner[s], common[c].astype(np.uint32)))
+                rows.append((b, key, *told, b""))
             kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(r, k) for r, k in zip(rows, kinds, strict=True)],
-                names=["bucket", "base", "single", "owner", "several", "own"],
+                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                names=["bucket", "chunk", "single", "owner", "several", "own"],
             )
 
     def answer(table: pa.Table) -> pa.Table:
-        columns = {c: table.column(c).to_pylist() for c in table.column_names}
-        single = [np.frombuffer(x, dtype=np.uint32) for x in columns["single"]]
-        owner = [
-            unpacked(b, x, len(s)) for b, x, s in zip(columns["base"], columns["owner"], single, strict=True)
-        ]
-        several = [np.frombuffer(x, dtype=np.uint32) for x in columns["several"]]
-        own = np.concatenate([np.frombuffer(x, dtype=np.int64).reshape(-1, 5) for x in columns["own"]])
-        hashes, owners = np.concatenate(single), np.concatenate(owner)
+        rows = table.to_pylist()
+        single = [np.frombuffer(r["single"], dtype=np.uint32) for r in rows]
+        owners = [np.frombuffer(r["owner"], dtype=np.uint16) for r in rows]
+        hashes = np.concatenate(single)
         order = np.argsort(hashes, kind="stable")
-        hashes, owners = hashes[order], owners[order]
+        ordered = hashes[order]
+        same = ordered[1:] == ordered[:-1]
         again = np.zeros(len(hashes), dtype=bool)
-        if len(hashes):
-            same = hashes[1:] == hashes[:-1]
-            again[1:] |= same
-            again[:-1] |= same
-            again |= np.isin(hashes, np.unique(np.concatenate(several)), assume_unique=False, kind="sort")
-        ids, counts = np.unique(owners[again], return_counts=True)
-        told = np.zeros((len(ids), 5), dtype=np.int64)
-        told[:, 0], told[:, 2] = ids, counts
-        rows = np.concatenate([own, told])
-        return pa.table({name: rows[:, k] for k, name in enumerate(STATS)})
+        again[order[1:][same]] = True
+        again[order[:-1][same]] = True
+        common = np.unique(np.concatenate([np.frombuffer(r["several"], dtype=np.uint32) for r in rows]))
+        if len(common):
+            again |= common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
+        told = []
+        for r, o, hit in zip(rows, owners, np.split(again, np.cumsum([len(x) for x in single])[:-1]), strict=True):
+            who, times = np.unique(o[hit], return_counts=True)
+            if len(who) or r["own"]:
+                told.append((r["chunk"], who.tobytes(), times.astype(np.uint32).tobytes(), r["own"]))
+        columns = list(zip(*told, strict=True)) or [()] * 4
+        kinds = [pa.int64(), *[pa.binary()] * 3]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "owner", "times", "own"])
+
+    def gather(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        own = np.frombuffer(next(r["own"] for r in rows if r["own"]), dtype=np.int64).reshape(-1, 5).copy()
+        for r in rows:
+            own[np.frombuffer(r["owner"], dtype=np.uint16), 2] += np.frombuffer(r["times"], dtype=np.uint32)
+        return pa.table({name: own[:, k] for k, name in enumerate(STATS)})
 
     requests = texts.mapInArrow(request, REQUEST)
-    answers = requests.groupBy("bucket").applyInArrow(answer, ", ".join(f"{c} bigint" for c in STATS))
-    merged = answers.groupBy("id").agg(F.sum("shared").alias("shared"), F.max(F.struct("n", "f1", "f2")).alias("own"))
+    answers = requests.groupBy("bucket").applyInArrow(answer, ANSWER)
+    rows = answers.groupBy("chunk").applyInArrow(gather, ", ".join(f"{c} bigint" for c in STATS))
+    merged = rows.groupBy("id").agg(F.max("shared").alias("shared"), F.max(F.struct("n", "f1", "f2")).alias("own"))
     return merged.select("id", "own.n", "shared", "own.f1", "own.f2")
 
 
@@ -216,11 +221,63 @@ def postings(sets: DataFrame, percent: int, rare: int) -> DataFrame:
     return lists.mapInArrow(sign, "sig bigint, id bigint, n bigint")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    """Bits that say whether an odd number of tokens falls on each place; longer for larger sets, up to a bound.
+
+    Two sets differ in at least as many tokens as their sketches in bits, so a
+    pair whose sketches differ too much cannot link.
+    """
+    words = SKETCH_WORDS << min(max(0, (len(tokens) // (64 * SKETCH_WORDS)).bit_length()), SKETCH_DOUBLINGS)
+    # uint64 tokens: the low bits choose the place, so that a sketch folds to half by xor of its halves
+    odd = np.bincount((tokens % np.uint64(64 * words)).astype(np.int64), minlength=64 * words).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.uint64)
+
+
+def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    while sketches.shape[-1] > words:
+        half = sketches.shape[-1] // 2
+        sketches = sketches[..., :half] ^ sketches[..., half:]
+    return sketches
+
+
+def _may_link(n, m, differ, percent: int):
+    """Whether sets of n and m tokens that differ in at least so many can be similar enough."""
+    return (n + m - differ) * 100 >= percent * (n + m + differ)
+
+
+def sketches_of(sets: DataFrame) -> DataFrame:
+    """(id, n, sketch) of all sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [parity_sketch(x.values.to_numpy().view(np.uint64)).tobytes() for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(made, pa.binary())], names=["id", "n", "sketch"]
+            )
+
+    return sets.select("id", "n", "tokens").mapInArrow(run, "id bigint, n bigint, sketch binary")
+
+
+def verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough; sketches are compared before sets are sent."""
+    ends = [sketches.select(*(F.col(c).alias(c + x) for c in ("id", "n", "sketch"))) for x in "ab"]
+    near = pairs.join(ends[0], F.col("a") == F.col("ida")).join(ends[1], F.col("b") == F.col("idb"))
+
+    def glance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                words = min(len(x), len(y))
+                differ = int(np.bitwise_count(_folded(x, words) ^ _folded(y, words)).sum())
+                keep.append(_may_link(n, m, differ, percent))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    near = near.select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(glance, "a bigint, b bigint")
+    near = written(near, "near")
     left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("one"))
     right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("two"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "one", "two")
+    both = near.join(left, "a").join(right, "b").select("a", "b", "one", "two")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,7 +286,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             for x, y in zip(one, two, strict=True):
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(compare, "a bigint, b bigint")
 
@@ -238,35 +295,88 @@ def _similar_size(percent: int):
     return F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
 
 
-def linked_components(posts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def pivot_pairs(live: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each member of an open signature and its pivot, if they are in different components."""
+    met = live.where((F.col("label") != F.col("there")) & _similar_size(percent))
+    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
+def remaining_pairs(live: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of an open signature in different components that can still link.
+
+    The pairs of a signature of few members come from a join, at most ``FEW`` for
+    each member. A larger signature's members are dealt into blocks, and a task has
+    two blocks of it at a time, however many there are; pairs that the sketches
+    rule out are never made into rows.
+    """
+    few = live.where(F.col("members") <= FEW).select("sig", "id", "n", "label")
+    other = few.select("sig", F.col("id").alias("other"), F.col("n").alias("m"), F.col("label").alias("there"))
+    met = few.join(other, "sig").where((F.col("id") < F.col("other")) & (F.col("label") != F.col("there")))
+    met = met.where(_similar_size(percent)).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    dealt = live.where(F.col("members") > FEW).withColumns({"blocks": blocks, "mine": F.pmod(F.xxhash64("id"), blocks).cast("int")})
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "label")
+    dealt = dealt.join(sketches, "id").select("sig", "i", "j", "mine", "id", "label", "n", "sketch")
+
+    def compare(table: pa.Table) -> pa.Table:
+        same_block = table.column("i")[0] == table.column("j")[0]
+        mine, ids, labels, sizes = (table.column(c).to_numpy() for c in ("mine", "id", "label", "n"))
+        bits = [np.frombuffer(x, dtype=np.uint64) for x in table.column("sketch").to_pylist()]
+        lengths = np.array([len(x) for x in bits])
+        folded = {w: np.stack([_folded(x, w) if len(x) >= w else np.zeros(w, np.uint64) for x in bits]) for w in set(lengths.tolist())}
+        names, count = np.unique(labels, return_counts=True)
+        major = labels == names[count.argmax()]
+        places = np.arange(len(ids))
+        found = []
+        # a pair of different components has one end outside the largest
+        for k in np.flatnonzero(~major).tolist():
+            n = sizes[k]
+            fits = (labels != labels[k]) & (major | (places > k)) & (np.minimum(n, sizes) * 100 >= np.maximum(n, sizes) * percent)
+            if not same_block:
+                fits &= mine != mine[k]
+            for words in set(lengths[fits].tolist()):
+                least = min(words, len(bits[k]))
+                other = np.flatnonzero(fits & (lengths == words))
+                differ = np.bitwise_count(folded[least][other] ^ _folded(bits[k], least)).sum(axis=1).astype(np.int64)
+                other = other[_may_link(n, sizes[other], differ, percent)]
+                found.append(np.stack([np.minimum(ids[k], ids[other]), np.maximum(ids[k], ids[other])], axis=1))
+        pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    large = dealt.groupBy("sig", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+    return met.union(large).distinct()
+
+
+def linked_components(posts: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """(id, label) of all sets that link with another; the label is the smallest id of the component."""
-    links = labels = None
+    sketches = written(sketches_of(sets), "sketches")
+    links = labels = tried = None
     for step in range(PIVOT_ROUNDS + 1):
         if labels is None:
             here = posts.withColumn("label", F.col("id"))
         else:
-            here = posts.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        groups = here.groupBy("sig")
-        if step < PIVOT_ROUNDS:
-            order = F.xxhash64(F.lit(step), F.pmod("sig", F.lit(PIVOT_ORDERS)), "id")
-            pivot = F.min(F.struct(order.alias("rank"), "id", "n", "label")).alias("pivot")
-            open_ = groups.agg(pivot, F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-            other = open_.select(
-                "sig", F.col("pivot.id").alias("other"), F.col("pivot.n").alias("m"), F.col("pivot.label").alias("there")
-            )
-        else:
-            open_ = groups.agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-            open_ = written(open_.select("sig"), "open")
-            here = written(here.join(open_, "sig", "left_semi"), "unjoined")
-            other = here.select("sig", F.col("id").alias("other"), F.col("n").alias("m"), F.col("label").alias("there"))
-        met = here.join(written(other, "pivots"), "sig").where((F.col("label") != F.col("there")) & _similar_size(percent))
-        pairs = met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+            here = posts.join(labels, "id", "left").select("sig", "id", "n", F.coalesce("label", "id").alias("label"))
+        # one of a few orders of all sets, by signature: the same sets become pivots of many signatures
+        order = F.xxhash64(F.lit(step), F.pmod("sig", F.lit(PIVOT_ORDERS)), "id")
+        first = F.min(F.struct(order.alias("rank"), "id", "n", "label")).alias("pivot")
+        ends = F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")
+        open_ = here.groupBy("sig").agg(first, *ends).where("low < high")
+        pivots = open_.select(
+            "sig", "members", F.col("pivot.id").alias("other"), F.col("pivot.n").alias("m"), F.col("pivot.label").alias("there")
+        )
+        # Written, so that both sides of the join come from a shuffle and AQE can split a hot signature.
+        live = written(here.join(written(pivots, "pivots"), "sig"), "live")
+        pairs = pivot_pairs(live, percent) if step < PIVOT_ROUNDS else remaining_pairs(live, sketches, percent)
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        if pairs.isEmpty():
+        if step < PIVOT_ROUNDS and live.isEmpty():
             break
-        found = written(verified(pairs, sets, percent), "similar")
+        found = written(verified(pairs, sketches, sets, percent), "similar")
         links = found if links is None else links.union(found)
+        tried = pairs if tried is None else tried.union(pairs)
         labels = components(links)
+        posts = live.select("sig", "id", "n")
     return labels
 
 
