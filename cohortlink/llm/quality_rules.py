@@ -11,14 +11,15 @@ from .common import written
 
 # Common words of some languages, the bins of the word histogram.
 COMMON_WORDS = (
-    "the", "of", "and", "to", "in", "is", "for", "that", "with", "was", "on", "be", "are", "this",
-    "der", "die", "und", "von", "zu", "das", "mit", "den", "nicht", "ist", "ein", "des", "auf",
-    "le", "la", "les", "et", "est", "en", "que", "des", "une", "dans", "pour", "du",
-    "el", "los", "las", "del", "con", "una", "por", "no", "se", "al", "de", "un", "como",
+    "the", "of", "and", "to", "in",
+    "der", "die", "und", "von", "zu",
+    "de", "la", "le", "et", "les",
+    "que", "el", "los", "las", "del",
 )
 CHAR_CLASSES = ("upper", "lower", "digit", "space", "sign", "beyond")
 BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
+FEW_REPEATS = 64
 
 # A language is a reference if it holds at least this share of all documents;
 # so there are at most a hundred references, whatever the corpus.
@@ -32,80 +33,86 @@ def _left(text: Column, removed: str) -> Column:
     return F.length(F.regexp_replace(text, removed, "")).cast("bigint")
 
 
-def repeated_words(words: Column) -> Column:
-    """Words in a run of three words that occurs twice or more in the text.
+def _without_blanks(text: Column) -> Column:
+    for blank in "\x20\x09\x0a\x0b\x0c\x0d":
+        text = F.replace(text, F.lit(blank), F.lit(""))
+    return text
 
-    The runs' hashes are sorted with their places, so that equal ones are neighbours.
+
+def with_repeated_words(rows: DataFrame) -> DataFrame:
+    """``rows`` with n_repeat_words: words in a run of three that occurs twice or more.
+
+    ``runs`` has the hashes of the runs in text order. Repeated hashes are looked
+    for one by one where they are few; beyond ``FEW_REPEATS`` the hashes are sorted
+    with their places, so that equal ones are neighbours. The result is the same.
     """
-    runs = F.transform(
-        F.sequence(F.lit(0), F.size(words) - 3),
-        lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")),
-    )
-    start = F.struct(F.lit(0).cast("bigint").alias("h"), F.lit(-1).alias("i"), F.array().cast("array<int>").alias("again"))
-    # An equal pair of neighbours marks both; array_distinct drops what a third one marks twice.
-    again = F.aggregate(
-        F.array_sort(runs),
-        start,
-        lambda s, x: F.struct(
-            x["h"].alias("h"),
-            x["i"].alias("i"),
-            F.when((s["i"] >= 0) & (s["h"] == x["h"]), F.concat(s["again"], F.array(s["i"], x["i"])))
-            .otherwise(s["again"])
-            .alias("again"),
-        ),
-        lambda s: F.array_sort(F.array_distinct(s["again"])),
-    )
+    rows = rows.withColumn("ordered", F.sort_array("runs"))
+    rows = rows.withColumn("twice", F.array_distinct(F.filter("ordered", lambda x, k: x == F.get("ordered", k + 1))))
+    sorted_runs = F.array_sort(F.transform("runs", lambda x, k: F.struct(x.alias("h"), k.alias("k"))))
+    rows = rows.withColumn("placed", F.when(F.size("twice") > FEW_REPEATS, sorted_runs))
+    few = F.transform("runs", lambda x, k: F.when(F.array_contains("twice", x), k).otherwise(F.lit(-1)))
+
+    def marked(x: Column, k: Column) -> Column:
+        # an equal neighbour on either side marks a place
+        same = (x["h"] == F.get("placed", k + 1)["h"]) | (x["h"] == F.get("placed", k - 1)["h"])
+        return F.when(same, x["k"]).otherwise(F.lit(-1))
+
+    found = F.when(F.size("twice") == 0, F.array().cast("array<int>"))
+    found = found.when(F.size("twice") <= FEW_REPEATS, F.array_remove(few, F.lit(-1)))
+    found = found.otherwise(F.sort_array(F.array_remove(F.transform("placed", marked), F.lit(-1))))
+    rows = rows.withColumn("again", found)
     covered = F.aggregate(
-        again,
+        "again",
         F.struct(F.lit(-3).alias("last"), F.lit(0).cast("bigint").alias("total")),
         lambda s, i: F.struct(i.alias("last"), (s["total"] + F.least(F.lit(3), i - s["last"])).alias("total")),
         lambda s: s["total"],
     )
-    return F.when(F.size(words) >= 3, covered).otherwise(F.lit(0).cast("bigint"))
-
-
-def base_statistics(texts: DataFrame) -> DataFrame:
-    """Rows with ``text`` get n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
-    trimmed = F.regexp_replace("text", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    words = F.when(F.length(trimmed) > 0, F.split(trimmed, BLANKS)).otherwise(F.array().cast("array<string>"))
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    rows = texts.withColumns({"words": words, "lines": lines})
-    rows = rows.withColumns({
-        "n_words": F.size("words").cast("bigint"),
-        "word_chars": _left(F.col("text"), BLANKS),
-        "n_symbols": _left(F.col("text"), f"[^{SYMBOLS}]+"),
-        "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint"),
-        "n_repeat_words": repeated_words(F.col("words")),
-    })
-    return rows.drop("words", "lines")
+    return rows.withColumn("n_repeat_words", covered)
 
 
-def char_histogram(text: Column) -> Column:
-    upper, digit = _left(text, "[^A-Z]+"), _left(text, "[^0-9]+")
-    lower, beyond = _left(text, "[^a-z]+"), _left(text, r"[\x00-\x7F]+")
-    space = F.length(text).cast("bigint") - _left(text, BLANKS)
-    sign = F.length(text).cast("bigint") - upper - lower - digit - beyond - space
-    return F.array(upper, lower, digit, space, sign, beyond)
+def statistics(texts: DataFrame, common: Sequence[str]) -> DataFrame:
+    """Rows with ``text`` get the base statistics and the histograms ``chars`` and ``words``.
 
-
-def word_histogram(text: Column, common: Sequence[str]) -> Column:
-    """Counts of the common words, then of all others.
-
-    Common words are written as one letter each; the letters of a kind are what a
-    text of them loses when that letter goes.
+    Each step is a projection of its own, as a lambda would else evaluate what
+    it refers to again for each element.
     """
     common = list(dict.fromkeys(common))
+    empty = F.array().cast("array<string>")
+    trimmed = F.btrim("text", F.lit("\x20\x09\x0a\x0b\x0c\x0d"))
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    rows = texts.withColumns({
+        "split": F.when(F.length(trimmed) > 0, F.split(trimmed, BLANKS)).otherwise(empty),
+        "lines": lines,
+        "signs": F.regexp_replace("text", r"[A-Za-z0-9\x20\x09-\x0D\x80-\x{10FFFF}]+", ""),
+        "marks": F.regexp_replace("text", "[^A-Z0-9]+", ""),
+        "n_chars": F.length("text").cast("bigint"),
+        "word_chars": F.length(_without_blanks(F.col("text"))).cast("bigint"),
+        "beyond": _left(F.col("text"), r"[\x00-\x7F]+"),
+    })
     listed = F.array(*map(F.lit, common))
-    words = F.array_remove(F.split(F.regexp_replace(F.lower(text), r"[\x00-\x60\x7B-\x7F]+", " "), " "), "")
-    letters = [chr(0x100 + k) for k in range(len(common))]
-    coded = F.array_join(
-        F.transform(
-            F.filter(F.transform(words, lambda w: F.array_position(listed, w)), lambda p: p > 0),
-            lambda p: F.substring(F.lit("".join(letters)), p.cast("int"), F.lit(1)),
-        ),
-        "",
+    runs = F.transform(
+        F.sequence(F.lit(0), F.size("split") - 3),
+        lambda i: F.xxhash64(F.get("split", i), F.get("split", i + 1), F.get("split", i + 2)),
     )
-    return F.struct(F.size(words).cast("bigint").alias("all"), coded.alias("coded")), letters
+    rows = rows.withColumns({
+        "runs": F.when(F.size("split") >= 3, runs).otherwise(F.array().cast("array<bigint>")),
+        "known": F.array_remove(F.transform("split", lambda w: F.array_position(listed, w)), F.lit(0).cast("bigint")),
+        "n_words": F.size("split").cast("bigint"),
+        "n_symbols": _left(F.col("signs"), f"[^{SYMBOLS}]+"),
+        "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint"),
+        "sign": F.length("signs").cast("bigint"),
+        "digit": _left(F.col("marks"), "[^0-9]+"),
+        "capital": F.length("marks").cast("bigint"),
+    })
+    counts = [F.size("known") - F.size(F.array_remove("known", F.lit(k + 1).cast("bigint"))) for k in range(len(common))]
+    upper, space = F.col("capital") - F.col("digit"), F.col("n_chars") - F.col("word_chars")
+    lower = F.col("word_chars") - F.col("capital") - F.col("sign") - F.col("beyond")
+    rows = rows.withColumns({
+        "chars": F.array(upper, lower, F.col("digit"), space, F.col("sign"), F.col("beyond")),
+        "words": F.array(*(c.cast("bigint") for c in counts), (F.size("split") - F.size("known")).cast("bigint")),
+    })
+    rows = with_repeated_words(rows)
+    return rows.select("id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "words")
 
 
 def divergence(histogram: Column, reference: Sequence[float]) -> Column:
@@ -148,18 +155,11 @@ def judge(
         F.col(lang_col).cast("string").alias("lang"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    words, letters = word_histogram(F.col("text"), common)
-    rows = base_statistics(texts.withColumns({"chars": char_histogram(F.col("text")), "coded": words})).drop("text")
-    coded = F.col("coded.coded")
-    counts = [F.length(coded) - F.length(F.replace(coded, F.lit(x), F.lit(""))) for x in letters]
-    rows = rows.withColumn(
-        "words", F.array(*(c.cast("bigint") for c in counts), F.col("coded.all") - F.length(coded))
-    ).drop("coded")
-    rows = written(rows, "histograms")
+    rows = written(statistics(texts, common), "histograms")
     sums = rows.where("lang is not null").groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*(F.sum(F.get("chars", F.lit(k))) for k in range(len(CHAR_CLASSES)))).alias("chars"),
-        F.array(*(F.sum(F.get("words", F.lit(k))) for k in range(len(letters) + 1))).alias("words"),
+        F.array(*(F.sum(F.get("words", F.lit(k))) for k in range(len(dict.fromkeys(common)) + 1))).alias("words"),
     )
     total = rows.count()
     references = sums.where(F.col("n") >= REFERENCE_SHARE * total).orderBy("lang").collect()
