@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
@@ -82,7 +82,7 @@ def fingerprints(hashes: np.ndarray, doc: np.ndarray, documents: int) -> np.ndar
     return sums.view(np.int64)
 
 
-REQUEST = "bucket int, chunk bigint, single binary, owner binary, several binary, own binary"
+REQUEST = "bucket int, chunk bigint, single binary, owner binary, each binary, several binary, own binary"
 ANSWER = "chunk bigint, owner binary, times binary, own binary"
 STATS = ["id", "n", "shared", "f1", "f2"]
 
@@ -108,25 +108,30 @@ def set_statistics(texts: DataFrame, width: int, buckets: int) -> DataFrame:
             shared = np.bincount(doc[several], minlength=len(ids))
             own = np.stack([ids, sizes, shared, marks[0], marks[1]], axis=1).astype(np.int64)
             key = TaskContext.get().partitionId() << 32 | number
-            rows = [(key % buckets, key, b"", b"", b"", own.tobytes())]
+            rows = [(key % buckets, key, b"", b"", b"", b"", own.tobytes())]
             alone, owner = hashes[~several], doc[~several].astype(np.uint16)
             common = hashes[several & first]
             edges = np.arange(buckets + 1)
             at, upto = (np.searchsorted(buckets_of(h, buckets), edges) for h in (alone, common))
+            # by owner within a bucket, so that an owner is sent once with a number of hashes
+            order = np.argsort(buckets_of(alone, buckets) << np.uint64(16) | owner, kind="stable")
+            alone, owner = alone[order], owner[order]
             for b in np.flatnonzero(np.diff(at) + np.diff(upto)).tolist():
                 s, c = slice(at[b], at[b + 1]), slice(upto[b], upto[b + 1])
-                told = (x.tobytes() for x in (alone[s].astype(np.uint32), owner[s], common[c].astype(np.uint32)))
+                who = np.flatnonzero(np.diff(owner[s].astype(np.int64), prepend=-1))
+                each = np.diff(who, append=s.stop - s.start).astype(np.uint32)
+                told = (x.tobytes() for x in (alone[s].astype(np.uint32), owner[s][who], each, common[c].astype(np.uint32)))
                 rows.append((b, key, *told, b""))
-            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                names=["bucket", "chunk", "single", "owner", "several", "own"],
+                names=["bucket", "chunk", "single", "owner", "each", "several", "own"],
             )
 
     def answer(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         single = [np.frombuffer(r["single"], dtype=np.uint32) for r in rows]
-        owners = [np.frombuffer(r["owner"], dtype=np.uint16) for r in rows]
+        owners = [np.repeat(np.frombuffer(r["owner"], np.uint16), np.frombuffer(r["each"], np.uint32)) for r in rows]
         hashes = np.concatenate(single)
         order = np.argsort(hashes, kind="stable")
         ordered = hashes[order]
@@ -277,7 +282,10 @@ def verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: in
     near = written(near, "near")
     left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("one"))
     right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("two"))
-    both = near.join(left, "a").join(right, "b").select("a", "b", "one", "two")
+    # only sets that a pair asks for are sent
+    asked = written(near.select("b").distinct(), "asked")
+    right = right.join(broadcast_if_small(asked, 8), "b", "left_semi")
+    both = left.join(broadcast_if_small(near, 16), "a").join(right, "b").select("a", "b", "one", "two")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -305,36 +313,57 @@ def remaining_pairs(live: DataFrame, sketches: DataFrame, percent: int) -> DataF
     """(a, b): all pairs of an open signature in different components that can still link.
 
     The pairs of a signature of few members come from a join, at most ``FEW`` for
-    each member. A larger signature's members are dealt into blocks, and a task has
-    two blocks of it at a time, however many there are; pairs that the sketches
+    each member. The members of larger signatures are put together by pivot, as
+    signatures of one pivot have much the same members. Of such a group, those
+    outside its largest component are compared with all, block by block: a task
+    has two blocks at a time, however many there are, and pairs that the sketches
     rule out are never made into rows.
     """
     few = live.where(F.col("members") <= FEW).select("sig", "id", "n", "label")
     other = few.select("sig", F.col("id").alias("other"), F.col("n").alias("m"), F.col("label").alias("there"))
     met = few.join(other, "sig").where((F.col("id") < F.col("other")) & (F.col("label") != F.col("there")))
     met = met.where(_similar_size(percent)).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = live.where(F.col("members") > FEW).withColumns({"blocks": blocks, "mine": F.pmod(F.xxhash64("id"), blocks).cast("int")})
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "label")
-    dealt = dealt.join(sketches, "id").select("sig", "i", "j", "mine", "id", "label", "n", "sketch")
+    around = live.where(F.col("members") > FEW).select(F.col("other").alias("pivot"), "id", "label").distinct()
+    around = written(around, "around")
+    shares = around.groupBy("pivot", "label").agg(F.count(F.lit(1)).alias("size"))
+    tops = shares.groupBy("pivot").agg(F.max(F.struct("size", "label")).alias("top"), F.sum("size").alias("members"))
+    tops = tops.where("members > top.size").select(
+        "pivot",
+        F.col("top.label").alias("largest"),
+        F.ceil(F.col("top.size") / BLOCK).cast("int").alias("inner"),
+        F.ceil((F.col("members") - F.col("top.size")) / BLOCK).cast("int").alias("outer"),
+    )
+    inside = F.col("label") == F.col("largest")
+    dealt = around.join(written(tops, "tops"), "pivot").withColumn("inside", inside)
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("id"), F.when(inside, F.col("inner")).otherwise(F.col("outer"))).cast("int"))
+
+    def unit(apart: bool, i: Column, j: Column) -> Column:
+        return F.struct(F.lit(apart).alias("apart"), i.alias("i"), j.alias("j"))
+
+    mine = F.col("mine")
+    outer = F.sequence(F.lit(0), F.col("outer") - 1)
+    met_outside = F.transform(outer, lambda k: unit(False, F.least(mine, k), F.greatest(mine, k)))
+    met_inside = F.transform(F.sequence(F.lit(0), F.col("inner") - 1), lambda k: unit(True, k, mine))
+    units = F.when(inside, F.transform(outer, lambda k: unit(True, mine, k))).otherwise(F.concat(met_outside, met_inside))
+    dealt = dealt.select("pivot", F.explode(units).alias("unit"), "inside", "mine", "id", "label")
+    dealt = dealt.select("pivot", "unit.*", "inside", "mine", "id", "label").join(sketches, "id")
 
     def compare(table: pa.Table) -> pa.Table:
-        same_block = table.column("i")[0] == table.column("j")[0]
+        apart, same_block = table.column("apart")[0].as_py(), table.column("i")[0] == table.column("j")[0]
         mine, ids, labels, sizes = (table.column(c).to_numpy() for c in ("mine", "id", "label", "n"))
+        inside = table.column("inside").to_numpy()
         bits = [np.frombuffer(x, dtype=np.uint64) for x in table.column("sketch").to_pylist()]
         lengths = np.array([len(x) for x in bits])
         folded = {w: np.stack([_folded(x, w) if len(x) >= w else np.zeros(w, np.uint64) for x in bits]) for w in set(lengths.tolist())}
-        names, count = np.unique(labels, return_counts=True)
-        major = labels == names[count.argmax()]
         places = np.arange(len(ids))
         found = []
-        # a pair of different components has one end outside the largest
-        for k in np.flatnonzero(~major).tolist():
+        for k in np.flatnonzero(~inside).tolist():
             n = sizes[k]
-            fits = (labels != labels[k]) & (major | (places > k)) & (np.minimum(n, sizes) * 100 >= np.maximum(n, sizes) * percent)
-            if not same_block:
-                fits &= mine != mine[k]
+            fits = (labels != labels[k]) & (np.minimum(n, sizes) * 100 >= np.maximum(n, sizes) * percent)
+            if apart:
+                fits &= inside
+            else:
+                fits &= (places > k) if same_block else (places > k) & (mine != mine[k])
             for words in set(lengths[fits].tolist()):
                 least = min(words, len(bits[k]))
                 other = np.flatnonzero(fits & (lengths == words))
@@ -344,7 +373,7 @@ def remaining_pairs(live: DataFrame, sketches: DataFrame, percent: int) -> DataF
         pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    large = dealt.groupBy("sig", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+    large = dealt.groupBy("pivot", "apart", "i", "j").applyInArrow(compare, "a bigint, b bigint")
     return met.union(large).distinct()
 
 
@@ -356,7 +385,7 @@ def linked_components(posts: DataFrame, sets: DataFrame, percent: int) -> DataFr
         if labels is None:
             here = posts.withColumn("label", F.col("id"))
         else:
-            here = posts.join(labels, "id", "left").select("sig", "id", "n", F.coalesce("label", "id").alias("label"))
+            here = posts.join(broadcast_if_small(labels, 16), "id", "left").select("sig", "id", "n", F.coalesce("label", "id").alias("label"))
         # one of a few orders of all sets, by signature: the same sets become pivots of many signatures
         order = F.xxhash64(F.lit(step), F.pmod("sig", F.lit(PIVOT_ORDERS)), "id")
         first = F.min(F.struct(order.alias("rank"), "id", "n", "label")).alias("pivot")
