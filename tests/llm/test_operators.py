@@ -69,7 +69,11 @@ def by_id(df):
     return {r[0]: r for r in found}
 
 
-def test_ngram_join_equals_all_pairs(docs, texts):
+@pytest.mark.parametrize("blocks", [False, True])
+def test_ngram_join_equals_all_pairs(docs, texts, blocks, monkeypatch):
+    if blocks:  # no pivots and tiny blocks, so that all links come from the block step
+        for name, value in (("PIVOT_ROUNDS", 0), ("FEW", 1), ("BLOCK", 3)):
+            monkeypatch.setattr(ngram_join, name, value)
     sets = {}
     for i, x in texts:
         w = WORD.findall((x or "").translate(LOWER))
