@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    clustering,
+    conversation_repair,
     decontamination,
     line_dedup,
     lm_scoring,
@@ -19,8 +21,10 @@ from . import (
     substring_dedup,
     token_counts,
     toxicity,
+    vector_search,
 )
 from .common import load
+from .oracle import ORACLE_SQL
 
 
 # Shares of the token budget, by domain.
@@ -129,6 +133,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(load(spark, sf_dir, "conversations"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_vectors(load(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op13_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(load(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     # imported here, as the pipeline imports this module
     import corpus_pipeline
@@ -147,9 +163,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scans": op8_secret_scans,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_exact_topk_search": op13_exact_topk_search,
     "pipeline": pipeline,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE_SQL)
