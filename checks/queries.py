@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortlink.config import Concepts, PARTICIPANT_LABELS
 from cohortlink.operators import cohort, exports, linkage, quality, registry, roster, vocabulary
-from cohortlink.plans.stages import broadcast_if_small, fits_broadcast
+from cohortlink.plans.stages import broadcast_if_small, fits_broadcast, session_run
 from cohortlink.schemas import PII_LENGTHS
 
 from .views import Inputs
@@ -31,10 +31,18 @@ class Steps:
         self.spark = spark
         self.v = Inputs(spark, directory)
 
+    @cached_property
+    def run(self):
+        return session_run(self.spark)
+
     @cached_property
     def walk(self) -> DataFrame:
         return broadcast_if_small(exports.participant_crosswalk(self.v.phi_identifier, C))
 
+    @cached_property
+    def local(self) -> DataFrame:
+        return broadcast_if_small(exports.address_crosswalk(self.v.phi_identifier, C))
+
     @cached_property
     def participant_rows(self) -> DataFrame:
         own = registry.of_type(self.v.phi_identifier, C.id_type_participant)
@@ -44,9 +52,13 @@ class Steps:
     def cohort(self) -> DataFrame:
         return cohort.site_cohort(self.v.workqueue)
 
+    @cached_property
+    def selected(self) -> DataFrame:
+        return self.run.table(self.cohort, "cohort")
+
     @cached_property
     def options(self) -> dict[str, bool]:
-        return {"broadcast_cohort": fits_broadcast(self.cohort)}
+        return {"broadcast_cohort": fits_broadcast(linkage.participants(self.selected))}
 
     @cached_property
     def open_persons(self) -> DataFrame:
@@ -55,33 +67,44 @@ class Steps:
     @cached_property
     def contacts(self) -> DataFrame:
         small = self.options["broadcast_cohort"]
-        asked = F.broadcast(linkage.asked_values(self.cohort)) if small else None
+        asked = F.broadcast(linkage.asked_values(self.selected)) if small else None
         return registry.contact_keys(self.v.phi_telecom, self.v.phi_location, C, wanted=asked)
 
     @cached_property
     def first(self) -> DataFrame:
-        return linkage.exact_name_match(self.cohort, self.open_persons, self.contacts, **self.options)
+        return linkage.exact_name_match(self.selected, self.open_persons, self.contacts, **self.options)
 
     @cached_property
     def status(self) -> DataFrame:
-        return linkage.match_status(self.cohort, self.open_persons, **self.options)
+        status = linkage.match_status(self.selected, self.open_persons, **self.options)
+        return self.run.table(status, "match-status")
 
     @cached_property
-    def decided(self) -> DataFrame:
-        return linkage.decide(self.first, self.status)
+    def sole(self) -> DataFrame:
+        found = linkage.sole_candidates(
+            self.selected, self.open_persons, self.contacts, self.status, **self.options
+        )
+        return linkage.decide_sole(found)
+
+    @cached_property
+    def rivals(self) -> DataFrame:
+        found = linkage.rival_candidates(
+            self.selected, self.open_persons, self.contacts, self.status, **self.options
+        )
+        return linkage.decide_rivals(found)
 
     def second(self, **more) -> DataFrame:
         return linkage.partial_name_match(
-            self.cohort, self.open_persons, self.contacts, self.status, **self.options, **more
+            self.selected, self.open_persons, self.contacts, self.status, **self.options, **more
         )
 
     @cached_property
     def accepted(self) -> DataFrame:
-        return linkage.accepted(self.decided)
+        return linkage.accepted(self.sole)
 
     @cached_property
     def review(self) -> DataFrame:
-        return linkage.review_queue(self.decided, self.second())
+        return linkage.review_queue(self.sole.unionByName(self.rivals), self.second())
 
     @cached_property
     def concept(self) -> DataFrame:
@@ -97,7 +120,7 @@ class Steps:
         v = self.v
         return roster.best_mrn(
             v.roster_master, v.phi_person, v.phi_telecom, v.phi_identifier, C,
-            broadcast_roster=fits_broadcast(v.roster_master),
+            broadcast_roster=fits_broadcast(v.roster_master), keep=self.run.table,
         )
 
     @cached_property
@@ -132,7 +155,7 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "pii_name": lambda s: exports.pii_name(s.v.phi_person, s.participant_rows),
     "pii_email": lambda s: exports.pii_email(s.v.phi_telecom, s.participant_rows),
     "pii_phone": lambda s: exports.pii_phone(s.v.phi_telecom, s.participant_rows),
-    "pii_address": lambda s: exports.pii_address(s.v.person, s.v.phi_identifier),
+    "pii_address": lambda s: exports.pii_address(s.v.person, s.v.phi_identifier, local=s.local),
     "pii_mrn": lambda s: exports.pii_mrn(s.v.phi_person, s.participant_rows),
     "pii_too_long": lambda s: quality.too_long(
         exports.pii_name(s.v.phi_person, s.participant_rows), PII_LENGTHS["pii_name"]
@@ -148,15 +171,15 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "contact_keys": lambda s: registry.contact_keys(s.v.phi_telecom, s.v.phi_location),
     # linkage
     "first_match": lambda s: s.first,
-    "first_match_members": lambda s: linkage.exact_name_blocks(s.cohort, s.open_persons, **s.options),
-    "name_block_sizes": lambda s: linkage.name_block_sizes(s.cohort, s.open_persons),
-    "match_status": lambda s: s.status,
-    "ambiguous_match": lambda s: linkage.ambiguous(s.decided),
+    "first_match_members": lambda s: linkage.exact_name_blocks(s.selected, s.open_persons, **s.options),
+    "name_block_sizes": lambda s: linkage.name_block_sizes(s.selected, s.open_persons),
+    "match_status": lambda s: s.status.select("k_pmi", "status"),
+    "ambiguous_match": lambda s: linkage.ambiguous(s.rivals),
     "accepted_match": lambda s: s.accepted,
     "low_score_match": lambda s: linkage.low_score(s.first),
     "second_match": lambda s: s.second(),
     "second_match_with_contact": lambda s: s.second(require_contact=True),
-    "second_match_members": lambda s: linkage.partial_name_blocks(s.cohort, s.open_persons, **s.options),
+    "second_match_members": lambda s: linkage.partial_name_blocks(s.selected, s.open_persons, s.status, **s.options),
     "review_queue": lambda s: s.review,
     "review_report": lambda s: linkage.with_person_contacts(
         s.review, registry.contact_rows(s.v.phi_telecom, s.v.phi_location)
@@ -166,7 +189,7 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "concept_lookup": lambda s: vocabulary.lookup(
         s.concept, PARTICIPANT_LABELS.id_use_code, "Identifier Use", vocabulary.VOCABULARY_ID
     ),
-    "concept_prefix": lambda s: vocabulary.starting_with(s.concept, "vocabulary_id", "capm"),
+    "concept_prefix": lambda s: vocabulary.starting_with(s.concept, "vocabulary_id", "ident"),
     "concept_usage": _concept_usage,
     "register_identifiers": lambda s: registry.register_identifiers(
         s.accepted, s.v.phi_identifier, s.concept

@@ -105,9 +105,9 @@ VIEWS = {
                case when c_custkey % 9 = 0 then null else 'City' || cast(c_nationkey as string) end as city,
                case when c_custkey % 2 = 0 then 'CA' else 'CA,' end as state,
                '92' || lpad(cast(c_custkey % 1000 as string), 3, '0') as zip,
-               case c_custkey % 5 when 0 then 'sandiegobb' when 1 then '' when 2 then 'usc'
-                    when 3 then 'sdbbgateway' else 'other' end as physical_measurements_location,
-               case c_custkey % 4 when 0 then '' when 1 then 'uofcirvine' when 2 then 'uofcsandiego'
+               case c_custkey % 5 when 0 then 'home_biobank' when 1 then '' when 2 then 'partner_biobank'
+                    when 3 then 'home_gateway' else 'other' end as physical_measurements_location,
+               case c_custkey % 4 when 0 then '' when 1 then 'partner_clinic' when 2 then 'home_clinic'
                     else 'other' end as biospecimens_location
         from {{customer}} where c_custkey % 3 <> 2""",
     "roster_master": f"""
@@ -223,7 +223,7 @@ VIEWS = {
                case when p_size > 45 then 'D' end as invalid_reason
         from {part}
         union all
-        select 2000000299 + r_regionkey, 'Seeded ' || r_name, 'Identity Management', 'CAPMC', 'System ID',
+        select 2000000299 + r_regionkey, 'Seeded ' || r_name, 'Identity Management', 'IDENTITY', 'System ID',
                cast(null as string), r_name, make_date(2014, 1, 1), make_date(2099, 12, 31), cast(null as string)
         from {region}""",
 }

@@ -57,7 +57,8 @@ class RegistrationLabels:
     assigner: str
     id_use_code: str
     id_type_code: str
-    vocabulary_id: str = "CAPMC"
+    # a neutral name; a study gives its own, with its seed rows
+    vocabulary_id: str = "IDENTITY"
     period_start: date = field(default=date(1970, 1, 1))
     period_end: date = field(default=date(2099, 12, 31))
 
@@ -72,7 +73,7 @@ PARTICIPANT_LABELS = RegistrationLabels(
     id_type_code="PMI_ID",
 )
 STUDY_LABELS = RegistrationLabels(
-    id_use_source_value="CAPMC Redcap Study ID",
+    id_use_source_value="Redcap Study ID",
     id_type_source_value="Redcap Study ID",
     system="UCSD Redcap",
     assigner="UCSD Redcap",
@@ -82,10 +83,11 @@ STUDY_LABELS = RegistrationLabels(
 EHR_MRN_USE_CODE = "EHR_MRN_UCSD"
 SYNC_SOURCE = "Sync CTRI Redcap"
 
-# Sites whose enrolments belong to the cohort, and sites of
-# other centres that exclude a record with one blank site.
-INCLUDE_SITES = ("sdbbgateway", "sandiegobb", "uofcsandiego")
-EXCLUDE_SITES = ("uofcirvine", "usc")
+# Neutral defaults: sites whose enrolments belong to the cohort, and sites of other
+# centres that exclude a record with one blank site. A study gives its own lists to
+# ``cohort.site_cohort``.
+INCLUDE_SITES = ("home_gateway", "home_biobank", "home_clinic")
+EXCLUDE_SITES = ("partner_clinic", "partner_biobank")
 
 # A match needs this many identifiers in common to be accepted without review.
 MIN_SCORE = 4

@@ -75,15 +75,26 @@ def pii_phone(telecom: DataFrame, identifier: DataFrame, c: Concepts = Concepts(
     return _pii_telecom(telecom, identifier, [c.telecom_home, c.telecom_work], "phone_number", c)
 
 
-def pii_address(person: DataFrame, identifier: DataFrame, c: Concepts = Concepts()) -> DataFrame:
-    """Location of the clinical person record, reached over the crosswalk."""
+def address_crosswalk(identifier: DataFrame, c: Concepts = Concepts()) -> DataFrame:
+    """Distinct (person_id, identifier): the clinical person beside the participant identifier as written."""
     local = crosswalk(identifier, c.id_type_local_person, c.id_type_participant).select(
         F.col("from_identifier").try_cast("bigint").alias("person_id"),
         F.col("to_identifier").alias("identifier"),
     )
-    local = local.where(
+    return local.where(
         F.col("person_id").isNotNull() & number_after_first_char(F.col("identifier")).isNotNull()
     ).distinct()
+
+
+def pii_address(
+    person: DataFrame, identifier: DataFrame, c: Concepts = Concepts(), local: DataFrame | None = None
+) -> DataFrame:
+    """Location of the clinical person record, reached over the crosswalk.
+
+    ``local`` is ``address_crosswalk``; one that was measured small and marked
+    for broadcast spares shuffling the persons.
+    """
+    local = address_crosswalk(identifier, c) if local is None else local
     rows = person.select("person_id", "location_id").join(local, "person_id")
     return _publish(rows.drop("person_id"), {"location_id": F.col("location_id")})
 

@@ -163,19 +163,73 @@ def exact_name_blocks(
     cohort: DataFrame,
     person: DataFrame,
     broadcast_cohort: bool = False,
+    status: DataFrame | None = None,
 ) -> DataFrame:
-    """Participants and persons of all shared name and birth date blocks, one row each."""
+    """Participants and persons of all shared name and birth date blocks, one row each.
+
+    With ``status`` only the blocks of ambiguous participants are listed: the
+    answer for names that many share, without a row per pair.
+    """
     left = participants(cohort)
+    if status is not None:
+        left = _of_status(left, status, "several")
     right = reachable(persons(person), left, NAME_KEYS, broadcast_cohort)
     return block_members(left, right, NAME_KEYS, "pmi_id", "master_id")
 
 
+def _of_status(left: DataFrame, status: DataFrame, wanted: str) -> DataFrame:
+    """Participants of one status, with the columns of ``participants``."""
+    chosen = status.where(F.col("status") == wanted).select("k_pmi")
+    keyed = left.withColumn("k_pmi", match_key(F.col("pmi_id")))
+    return skew_join(keyed, chosen, ["k_pmi"], "left_semi").drop("k_pmi")
+
+
+def sole_candidates(
+    cohort: DataFrame,
+    person: DataFrame,
+    contacts: DataFrame,
+    status: DataFrame,
+    broadcast_cohort: bool = False,
+) -> DataFrame:
+    """Scored candidates of the participants with exactly one candidate person.
+
+    Only these can be accepted. ``match_status`` names the person, so each
+    participant meets that person alone: a name that n participants and m
+    persons share makes no pairs.
+    """
+    one = status.where(F.col("status") == "one").select("k_pmi", "master_id")
+    keyed = participants(cohort).withColumn("k_pmi", match_key(F.col("pmi_id")))
+    left = skew_join(keyed, one, ["k_pmi"], "inner").drop("k_pmi")
+    keys = [*NAME_KEYS, "master_id"]
+    # the names of the whole cohort are known without a shuffle
+    right = reachable(persons(person), participants(cohort), NAME_KEYS, broadcast_cohort)
+    pairs = block_pairs(left, right, keys, broadcast_left=broadcast_cohort)
+    ones = {name: F.lit(1) for name in _NAME_FLAGS}
+    return _scored(pairs.withColumns(ones), contacts)
+
+
+def rival_candidates(
+    cohort: DataFrame,
+    person: DataFrame,
+    contacts: DataFrame,
+    status: DataFrame,
+    broadcast_cohort: bool = False,
+) -> DataFrame:
+    """Scored candidates of the participants with several candidate persons, pair by pair."""
+    left = _of_status(participants(cohort), status, "several")
+    right = reachable(persons(person), participants(cohort), NAME_KEYS, broadcast_cohort)
+    pairs = block_pairs(left, right, NAME_KEYS, broadcast_left=broadcast_cohort)
+    ones = {name: F.lit(1) for name in _NAME_FLAGS}
+    return _scored(pairs.withColumns(ones), contacts)
+
+
 def match_status(cohort: DataFrame, person: DataFrame, broadcast_cohort: bool = False) -> DataFrame:
     """Per participant id whether it has no, one or several exact name candidates.
 
     Persons are reduced to the lowest and highest id per name key before the
     join, so this costs one row per participant whatever the block sizes.
-    Columns: ``k_pmi``, ``status`` (none, one, several).
+    Columns: ``k_pmi``, ``status`` (none, one, several) and, for one, that
+    person's ``master_id``.
     """
     left = participants(cohort)
     per_key = (
@@ -195,6 +249,7 @@ def match_status(cohort: DataFrame, person: DataFrame, broadcast_cohort: bool =
             .when(F.col("lowest") == F.col("highest"), "one")
             .otherwise("several")
             .alias("status"),
+            F.when(F.col("lowest") == F.col("highest"), F.col("lowest")).alias("master_id"),
         )
     )
 
@@ -213,9 +268,7 @@ def _partial_sides(
 ) -> tuple[DataFrame, DataFrame]:
     if status is None:
         status = match_status(cohort, person, broadcast_cohort)
-    unmatched = status.where(F.col("status") == "none").select("k_pmi")
-    keyed = participants(cohort).withColumn("k_pmi", match_key(F.col("pmi_id")))
-    left = skew_join(keyed, unmatched, ["k_pmi"], "left_semi").drop("k_pmi")
+    left = _of_status(participants(cohort), status, "none")
     right = persons(person).withColumnsRenamed({"k_first": "p_first", "k_last": "p_last"})
     right = right.withColumns({"k_first": F.col("p_first"), "k_last": F.col("p_last")})
     left, right = _one_name(left), _one_name(right).drop("k_first", "k_last")
@@ -283,16 +336,23 @@ def decide(candidates: DataFrame, status: DataFrame, min_score: int = MIN_SCORE)
     """
     several = status.where(F.col("status") == "several").select("k_pmi", F.lit(True).alias("_several"))
     keyed = candidates.withColumn("k_pmi", match_key(F.col("pmi_id")))
-    return (
-        skew_join(keyed, several, ["k_pmi"], "left")
-        .withColumn(
-            "decision",
-            F.when(F.col("_several"), "ambiguous")
-            .when(F.col("count_identifiers_matched") < min_score, "low_score")
-            .otherwise("accepted"),
-        )
-        .drop("k_pmi", "_several")
-    )
+    joined = skew_join(keyed, several, ["k_pmi"], "left")
+    return joined.withColumn("decision", _decision(F.col("_several"), min_score)).drop("k_pmi", "_several")
+
+
+def _decision(several: Column, min_score: int) -> Column:
+    low = F.col("count_identifiers_matched") < min_score
+    return F.when(several, "ambiguous").when(low, "low_score").otherwise("accepted")
+
+
+def decide_sole(candidates: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
+    """``sole_candidates`` with their ``decision``, low_score or accepted."""
+    return candidates.withColumn("decision", _decision(F.lit(False), min_score))
+
+
+def decide_rivals(candidates: DataFrame) -> DataFrame:
+    """``rival_candidates`` with their ``decision``, ambiguous."""
+    return candidates.withColumn("decision", F.lit("ambiguous"))
 
 
 def ambiguous(decided: DataFrame) -> DataFrame:

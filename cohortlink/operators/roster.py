@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -259,6 +260,7 @@ def best_mrn(
     identifier: DataFrame,
     c: Concepts = Concepts(),
     broadcast_roster: bool = False,
+    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """The best person per roster row without a record number, if at least four identifiers agree.
 
@@ -269,7 +271,8 @@ def best_mrn(
     go to the lowest person, then to the lowest record number.
 
     Set ``broadcast_roster`` if the roster has been measured small: persons and
-    contact points out of its reach are then dropped while they are read.
+    contact points out of its reach are then dropped while they are read. ``keep``
+    writes a relation that is read several times (``plans.stages.Run.table``).
     """
     left = _without_mrn(roster).where(F.col("last_name").isNotNull())
     persons = reachable(_named_persons(person), left, _NAME_KEYS, broadcast_roster).select(
@@ -277,12 +280,13 @@ def best_mrn(
     )
     asked = F.broadcast(asked_values(left, {"phone": F.col("k_phone"), "email": F.col("k_email")}))
     contacts = contact_keys(telecom, None, c, wanted=asked if broadcast_roster else None)
-    known = persons.join(contacts, "master_id")
+    # Four branches start from the persons beside their contact values.
+    known = keep(persons.join(contacts, "master_id"), "known-contacts")
     # Lowest person per name, birth date and contact value, with the group size.
     by_contact = known.groupBy(*_NAME_KEYS, "k_dob", "kind", "value_key").agg(
         F.min("master_id").alias("master_id"), F.count(F.lit(1)).alias("n_persons")
     )
-    reached = _reached_by_both(left, known, by_contact, contacts)
+    reached = keep(_reached_by_both(left, known, by_contact), "reached-by-both")
 
     def value_of(kind: str) -> Column:
         return F.when(F.col("kind") == kind, F.col("value_key"))
@@ -361,9 +365,7 @@ def _all_known(parts: dict[str, Column], used: tuple[str, ...]) -> Column:
     return known
 
 
-def _reached_by_both(
-    left: DataFrame, known: DataFrame, by_contact: DataFrame, contacts: DataFrame
-) -> DataFrame:
+def _reached_by_both(left: DataFrame, known: DataFrame, by_contact: DataFrame) -> DataFrame:
     """Persons having both the phone and the e-mail of a roster row of their name.
 
     Each distinct (name, phone, e-mail) is looked up through the rarer of its
@@ -395,7 +397,7 @@ def _reached_by_both(
             F.when(by_phone, "email").otherwise("phone").alias("kind"),
             F.when(by_phone, F.col("k_email")).otherwise(F.col("k_phone")).alias("value_key"),
         )
-        .join(contacts, ["master_id", "kind", "value_key"], "left_semi")
+        .join(known.select("master_id", "kind", "value_key"), ["master_id", "kind", "value_key"], "left_semi")
         .drop("kind", "value_key")
     )
 

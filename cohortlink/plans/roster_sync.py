@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..config import Concepts
 from ..operators import quality, registry, roster
-from .stages import fits_broadcast, materialize
+from .stages import Run, fits_broadcast
 
 
 @dataclass(frozen=True)
@@ -24,6 +24,7 @@ class SyncResult:
 
 
 def sync_roster(
+    run: Run,
     master: DataFrame,
     staging: DataFrame,
     person: DataFrame,
@@ -39,13 +40,15 @@ def sync_roster(
     members of every linked record number.
     """
     merged = roster.sync(master, staging, run_ts)
-    padded = materialize(roster.pad_mrn(merged.snapshot), "roster-synced")
-    recovered = materialize(
-        roster.best_mrn(padded, person, telecom, identifier, c, broadcast_roster=fits_broadcast(padded)),
+    padded = run.table(roster.pad_mrn(merged.snapshot), "roster-synced")
+    recovered = run.table(
+        roster.best_mrn(
+            padded, person, telecom, identifier, c, broadcast_roster=fits_broadcast(padded), keep=run.table
+        ),
         "mrn-recovered",
     )
-    completed = materialize(roster.apply_recovered_mrn(padded, recovered), "roster-completed")
-    links = materialize(roster.study_links(completed, identifier, c), "study-links")
+    completed = run.table(roster.apply_recovered_mrn(padded, recovered), "roster-completed")
+    links = run.table(roster.study_links(completed, identifier, c), "study-links")
     next_registry = registry.merge_study_ids(identifier, links, c)
     return SyncResult(
         roster=completed,

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from ..config import Concepts
 from ..operators import exports, registry
 from ..sources.write import write_version
-from .stages import broadcast_if_small, materialize
+from .stages import Run, broadcast_if_small
 
 
-def build_submission(tables: Mapping[str, DataFrame], c: Concepts = Concepts()) -> dict[str, DataFrame]:
+def build_submission(run: Run, tables: Mapping[str, DataFrame], c: Concepts = Concepts()) -> dict[str, DataFrame]:
     """All published tables by name, plus the two reject lists.
 
     ``tables`` holds phi_person, phi_telecom, phi_identifier, person and the
@@ -21,7 +21,8 @@ def build_submission(tables: Mapping[str, DataFrame], c: Concepts = Concepts())
     fact tables nor contact points are shuffled.
     """
     ids = tables["phi_identifier"]
-    walk = broadcast_if_small(materialize(exports.participant_crosswalk(ids, c), "crosswalk"))
+    walk = broadcast_if_small(run.table(exports.participant_crosswalk(ids, c), "crosswalk"))
+    local = broadcast_if_small(run.table(exports.address_crosswalk(ids, c), "address-crosswalk"))
     own = broadcast_if_small(
         registry.of_type(ids, c.id_type_participant).select("master_id", "identifier", "id_type_concept_id")
     )
@@ -29,7 +30,7 @@ def build_submission(tables: Mapping[str, DataFrame], c: Concepts = Concepts())
         "pii_name": exports.pii_name(tables["phi_person"], own, c),
         "pii_email": exports.pii_email(tables["phi_telecom"], own, c),
         "pii_phone_number": exports.pii_phone(tables["phi_telecom"], own, c),
-        "pii_address": exports.pii_address(tables["person"], ids, c),
+        "pii_address": exports.pii_address(tables["person"], ids, c, local),
         "pii_mrn": exports.pii_mrn(tables["phi_person"], own, c),
         "person": exports.cdm_person(tables["person"], walk),
         "visit_occurrence": exports.cdm_visit(tables["visit_occurrence"], walk),
@@ -42,9 +43,11 @@ def build_submission(tables: Mapping[str, DataFrame], c: Concepts = Concepts())
     }
 
 
-def write_submission(tables: Mapping[str, DataFrame], base: str, version: str, c: Concepts = Concepts()) -> dict[str, str]:
+def write_submission(
+    run: Run, tables: Mapping[str, DataFrame], base: str, version: str, c: Concepts = Concepts()
+) -> dict[str, str]:
     """Write every published table to a new version directory; returns the paths."""
     return {
         name: write_version(df, f"{base.rstrip('/')}/{name}", version)
-        for name, df in build_submission(tables, c).items()
+        for name, df in build_submission(run, tables, c).items()
     }

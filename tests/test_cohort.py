@@ -22,13 +22,13 @@ def queue(spark, *sites):
     "pm, bio, kept",
     [
         ("", "", True),
-        ("", "usc", False),
-        ("uofcirvine", "", False),
+        ("", "partner_biobank", False),
+        ("partner_clinic", "", False),
         ("other", "other", False),
         ("", "other", True),
         ("other", "", True),
-        ("SanDiegoBB ", "usc", True),
-        ("usc", "uofcsandiego", True),
+        ("Home_Biobank ", "partner_biobank", True),
+        ("partner_biobank", "home_clinic", True),
         (None, None, True),
     ],
 )
@@ -43,6 +43,6 @@ def test_other_site_lists(spark):
 
 
 def test_address_and_counts(spark):
-    got = cohort.site_cohort(queue(spark, ("sdbbgateway", ""), ("sdbbgateway", ""), ("", "other")))
+    got = cohort.site_cohort(queue(spark, ("home_gateway", ""), ("home_gateway", ""), ("", "other")))
     assert got.first()["address"] == "1 A St  CA 92093"
-    assert rows(cohort.site_counts(got)) == [("", "other", 1), ("sdbbgateway", "", 2)]
+    assert rows(cohort.site_counts(got)) == [("", "other", 1), ("home_gateway", "", 2)]

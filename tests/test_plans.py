@@ -11,7 +11,7 @@ from cohortlink.functions.text import number_without_p
 from cohortlink.operators import linkage, roster, vocabulary
 from cohortlink.plans.participant_mapping import map_participants
 from cohortlink.plans.roster_sync import sync_roster
-from cohortlink.plans.stages import materialize, shared_folder
+from cohortlink.plans.stages import Run, shared_folder
 from cohortlink.plans.submission import write_submission
 
 from .conftest import rows
@@ -24,15 +24,15 @@ def v(spark):
     return Inputs(spark, DIRECTORY)
 
 
-def test_materialize_writes_to_the_shared_folder(spark):
-    df = materialize(spark.range(5).withColumn("x", F.col("id") * 2), "numbers")
-    assert rows(df) == [(i, 2 * i) for i in range(5)]
-    assert shared_folder(spark) in df.inputFiles()[0]
+@pytest.fixture(scope="module")
+def run(spark):
+    with Run(spark) as run:
+        yield run
 
 
-def test_map_participants(spark, v):
+def test_map_participants(spark, v, run):
     got = map_participants(
-        v.workqueue, v.phi_person, v.phi_telecom, v.phi_location, v.phi_identifier,
+        run, v.workqueue, v.phi_person, v.phi_telecom, v.phi_location, v.phi_identifier,
         vocabulary.seed(v.concept, vocabulary.seed_concepts(spark)),
     )
     accepted = rows(got.accepted, "pmi_id", "master_id")
@@ -40,31 +40,54 @@ def test_map_participants(spark, v):
     assert accepted and review
     assert len({p for p, _ in accepted}) == len(accepted)
     assert not {p for p, _ in accepted} & review
-    assert got.review_blocks.count() == 0
+    low = {r[0] for r in rows(got.low_score, "pmi_id")}
+    members = {r[0] for r in rows(got.review_blocks.where("pmi_id is not null"), "pmi_id")}
+    assert members | low == review
     new = got.new_identifiers
     assert set(rows(new, "identifier", "master_id")) <= set(accepted)
     # Once registered, the persons are mapped and the job has nothing to add.
     registry_after = v.phi_identifier.unionByName(new)
     again = map_participants(
-        v.workqueue, v.phi_person, v.phi_telecom, v.phi_location, registry_after,
+        run, v.workqueue, v.phi_person, v.phi_telecom, v.phi_location, registry_after,
         vocabulary.seed_concepts(spark),
     )
     assert again.new_identifiers.count() == 0
 
 
-def test_map_participants_blocks_name_all_of_either_match(spark, v):
-    args = (
-        v.workqueue, v.phi_person, v.phi_telecom, v.phi_location, v.phi_identifier,
-        vocabulary.seed_concepts(spark),
+def test_acceptance_makes_no_pairs(spark, run):
+    """Of 1,001 participants and 1,001 persons of one name not one pair is made; one clear match is accepted."""
+    n = 1001
+    queue = spark.range(n + 1).select(
+        F.concat(F.lit("P"), F.col("id").cast("string")).alias("pmi_id"),
+        F.lit("Ann").alias("first_name"),
+        F.when(F.col("id") == n, "Sole").otherwise("Lee").alias("last_name"),
+        F.lit("1980-05-01").cast("date").alias("birth_date"),
+        F.lit("a@x").alias("email"),
+        *[F.lit("").alias(c) for c in ("phone", "street_address", "city", "state", "zip")],
+        F.lit("home_clinic").alias("physical_measurements_location"),
+        F.lit("").alias("biospecimens_location"),
     )
-    got = map_participants(*args)
-    members = {r[0] for r in rows(got.review_blocks.where("pmi_id is not null"), "pmi_id")}
-    assert members == {r[0] for r in rows(got.review, "pmi_id")} | {r[0] for r in rows(got.accepted, "pmi_id")}
-
-
-def test_sync_roster(spark, v):
+    person = spark.range(n + 1).select(
+        F.col("id").alias("master_id"),
+        F.lit("ANN").alias("first_name"),
+        F.when(F.col("id") == n, "Sole ").otherwise("lee").alias("surname"),
+        F.lit("1980-05-01").cast("date").alias("birth_date"),
+    )
+    telecom = spark.createDataFrame([(n, "A@x ", 2000000405)], schemas.PHI_TELECOM)
+    nothing = spark.createDataFrame([], schemas.PHI_IDENTIFIER)
+    location = spark.createDataFrame([], schemas.PHI_LOCATION)
+    got = map_participants(run, queue, person, telecom, location, nothing, vocabulary.seed_concepts(spark))
+    assert rows(got.accepted, "pmi_id", "master_id") == [(f"P{n}", n)]
+    status = linkage.match_status(got.cohort, person)
+    keys = spark.createDataFrame([], "master_id bigint, kind string, value_key string")
+    assert linkage.sole_candidates(got.cohort, person, keys, status).count() == 1
+    assert got.low_score.count() == 0
+    assert got.review_blocks.where("k_first is not null").count() == 2 * n
+
+
+def test_sync_roster(spark, v, run):
     got = sync_roster(
-        v.roster_master, v.roster_staging, v.phi_person, v.phi_telecom, v.phi_identifier,
+        run, v.roster_master, v.roster_staging, v.phi_person, v.phi_telecom, v.phi_identifier,
         datetime(2018, 5, 14),
     )
     assert rows(got.roster, "study_id") == rows(v.roster_staging, "study_id")
@@ -81,17 +104,17 @@ def test_sync_roster(spark, v):
     assert top > max(int(r[0]) for r in rows(got.roster, "study_id"))
     # A second run with the same input changes no registry row.
     again = sync_roster(
-        got.roster, v.roster_staging, v.phi_person, v.phi_telecom, got.identifier, datetime(2018, 5, 15)
+        run, got.roster, v.roster_staging, v.phi_person, v.phi_telecom, got.identifier, datetime(2018, 5, 15)
     )
     assert set(r.action for r in again.changes.collect()) == {"UPDATE"}
     assert again.identifier.count() == got.identifier.count()
 
 
-def test_write_submission(spark, v, tmp_path):
+def test_write_submission(spark, v, run, tmp_path):
     names = ["phi_person", "phi_telecom", "phi_identifier", *(
         "person visit_occurrence condition_occurrence procedure_occurrence measurement drug_exposure".split()
     )]
-    paths = write_submission({n: getattr(v, n) for n in names}, str(tmp_path), "1")
+    paths = write_submission(run, {n: getattr(v, n) for n in names}, str(tmp_path), "1")
     assert len(paths) == 13
     for name in ("pii_name", "pii_email", "pii_phone_number", "pii_address", "pii_mrn"):
         written = spark.read.parquet(paths[name])

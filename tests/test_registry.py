@@ -127,7 +127,7 @@ def test_merge_study_ids(spark):
         ("6", C.id_type_study, 60, 600),
     ]
     inserted = merged.where("identifier = '6'").first()
-    assert inserted[3:6] == (2000000720, "CAPMC Redcap Study ID", 2000000720)
+    assert inserted[3:6] == (2000000720, "Redcap Study ID", 2000000720)
     assert inserted[7:] == (2000000814, "Redcap Study ID", 2000000814, "UCSD Redcap", FROM, TO, "UCSD Redcap")
     again = registry.merge_study_ids(merged, link)
     assert rows(again) == rows(merged)

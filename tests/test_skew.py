@@ -2,6 +2,8 @@
 
 from datetime import date, datetime
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,7 +105,9 @@ def test_status_of_a_hot_name(spark, low_thresholds):
 def test_block_members_of_a_hot_name(spark, low_thresholds):
     n_split, got = split_joins(linkage.exact_name_blocks(cohort(spark), person(spark, copies=True)))
     assert n_split >= 2
-    assert len(got) == 2 * (N // 3)
+    # every shared name is listed, member by member, the hot one with all its rows
+    hot = Counter(r.k_first for r in got).most_common(1)[0][1]
+    assert len(got) == 2 * N and hot == 2 * (N // 3)
 
 
 def roster_rows(spark, key, schema, offset=0):

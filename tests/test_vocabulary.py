@@ -42,20 +42,20 @@ def test_seed_twice_adds_nothing(spark):
 
 def test_lookup_and_scalar(spark):
     concept = vocabulary.seed_concepts(spark)
-    assert rows(vocabulary.lookup(concept, "aou", "Identifier use", "capmc"), "concept_id") == [(2000000704,)]
+    assert rows(vocabulary.lookup(concept, "aou", "Identifier use", "identity"), "concept_id") == [(2000000704,)]
     one = spark.range(1)
     assert one.select(vocabulary.concept_id(concept, "EHR_MRN_UCSD")).first()[0] == 2000000713
     assert one.select(vocabulary.concept_id(concept, "nothing")).first()[0] is None
     invalid = concept.withColumn("invalid_reason", F.lit("D"))
     assert one.select(vocabulary.concept_id(invalid, "EHR_MRN_UCSD")).first()[0] is None
     with pytest.raises(Exception, match="(?i)more than one row"):
-        one.select(vocabulary.concept_id(concept, "CAPMC generated")).collect()
+        one.select(vocabulary.concept_id(concept, "generated")).collect()
 
 
 def test_prefix_ignores_case(spark):
     vocab = vocabulary.seed_vocabularies(spark)
-    assert vocabulary.starting_with(vocab, "vocabulary_id", "capm").count() == 1
-    assert vocabulary.starting_with(vocab, "vocabulary_id", "c_pm").count() == 0
+    assert vocabulary.starting_with(vocab, "vocabulary_id", "ident").count() == 1
+    assert vocabulary.starting_with(vocab, "vocabulary_id", "i_ent").count() == 0
 
 
 def test_configured_concepts_agree_with_the_seed(spark):
