@@ -14,6 +14,7 @@ from cohortlink.operators import cohort, exports, linkage, quality, registry, ro
 from cohortlink.plans.stages import broadcast_if_small, fits_broadcast, session_run
 from cohortlink.schemas import PII_LENGTHS
 
+from . import tables
 from .views import Inputs
 
 C = Concepts()
@@ -131,6 +132,10 @@ class Steps:
     def sync(self):
         return roster.sync(self.v.roster_master, self.v.roster_staging, RUN_TS)
 
+    @cached_property
+    def soft(self):
+        return roster.sync(self.v.roster_master, self.v.roster_staging, RUN_TS, soft_delete=True)
+
 
 def _concept_usage(s: Steps) -> DataFrame:
     used = s.v.phi_identifier.select(F.col("id_type_concept_id").alias("concept_id")).unionByName(
@@ -194,6 +199,21 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "register_identifiers": lambda s: registry.register_identifiers(
         s.accepted, s.v.phi_identifier, s.concept
     ),
+    "domain_seed": lambda s: vocabulary.seed(
+        tables.known_domains(s.v.concept), vocabulary.seed_domains(s.spark), "domain_id"
+    ),
+    "vocabulary_seed": lambda s: vocabulary.seed(
+        tables.known_vocabularies(s.v.concept), vocabulary.seed_vocabularies(s.spark), "vocabulary_id"
+    ),
+    "class_seed": lambda s: vocabulary.seed(
+        tables.known_classes(s.v.concept), vocabulary.seed_concept_classes(s.spark), "concept_class_id"
+    ),
+    # one configured id is wrong on purpose
+    "concept_mismatches": lambda s: quality.concept_mismatches(s.concept, Concepts(telecom_home=2000000401)),
+    "registry_find_first": lambda s: registry.find(
+        s.v.phi_identifier, C.id_type_study, s.v.roster_staging.select("study_id"), limit=19
+    ),
+    "registry_find_listed": lambda s: registry.find(s.v.phi_identifier, C.id_type_study, ["7", "14", "21 ", "22"]),
     "registry_find": lambda s: registry.find(
         s.v.phi_identifier,
         C.id_type_study,
@@ -205,6 +225,9 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "duplicate_pmi": lambda s: roster.duplicate_keys(s.v.roster_staging, "pmi_id"),
     "duplicate_mrn": lambda s: roster.duplicate_keys(s.v.roster_staging, "mrn"),
     "roster_sync": lambda s: s.sync.snapshot,
+    "roster_sync_soft": lambda s: s.soft.snapshot,
+    "sync_changes_soft": lambda s: s.soft.changes,
+    "deleted_rows": lambda s: roster.deleted(s.soft.snapshot),
     "sync_changes": lambda s: s.sync.changes,
     "pad_mrn": lambda s: roster.pad_mrn(s.v.roster_master),
     "short_mrn_audit": lambda s: roster.short_mrn_audit(s.v.roster_master, s.v.patient_src),
@@ -217,7 +240,7 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
         s.candidates, "study_id", "total_identifiers_matched", ["master_id", "phi_mrn", "source_id"]
     ),
     "best_mrn": lambda s: s.best,
-    "recovered_mrn": lambda s: roster.apply_recovered_mrn(s.v.roster_master, s.best).drop("update_date"),
+    "recovered_mrn": lambda s: roster.apply_recovered_mrn(s.v.roster_master, s.best),
     "study_links": lambda s: s.links,
     "mrn_link_members": lambda s: roster.mrn_link_blocks(s.v.roster_master, s.v.phi_identifier),
     "link_by_mrn": lambda s: roster.link_by_mrn(
@@ -229,16 +252,32 @@ QUERIES: dict[str, Callable[[Steps], DataFrame]] = {
     "reconcile": lambda s: quality.reconcile(
         s.v.roster_master, s.v.roster_staging, s.v.phi_identifier, s.links
     ),
+    "key_presence": lambda s: quality.key_presence(s.v.roster_master, s.v.roster_staging, s.v.phi_identifier),
+    "repeated_links": lambda s: quality.repeated_links(s.links),
     "missing_from_master": lambda s: quality.missing_from_master(s.v.roster_staging, s.v.roster_master),
-    "unregistered_roster": lambda s: quality.unregistered(s.v.roster_master, s.v.phi_identifier).drop(
-        "update_date"
-    ),
+    "unregistered_roster": lambda s: quality.unregistered(s.v.roster_master, s.v.phi_identifier),
     "unmatched_links": lambda s: quality.unmatched_links(s.links),
     "links_without_mrn": lambda s: quality.links_without_mrn(s.links),
     "crosswalk_fanout": lambda s: quality.crosswalk_fanout(s.v.phi_identifier),
     "shared_numbers": lambda s: quality.shared_numbers(s.v.phi_identifier),
     "several_ehr_rows": lambda s: quality.several_ehr_rows(s.v.phi_identifier),
     "unreadable_ids": lambda s: exports.unreadable_ids(s.v.phi_identifier),
+    # tables written and read back
+    "roster_csv": tables.roster_csv,
+    "workqueue_as_of": tables.workqueue_as_of,
+    "appended_contacts": tables.appended_contacts,
+    "merge_study_ids_versioned": tables.merge_study_ids_versioned,
+    "roster_sync_versioned": tables.roster_sync_versioned,
+    "published_types": tables.published_types,
+    "published_emails": tables.published_emails,
+    "review_queue_order": lambda s: tables.review_order(s, s.review, ["pmi_id", "master_id"]),
+    "review_report_order": lambda s: tables.review_order(
+        s,
+        linkage.with_person_contacts(s.review, registry.contact_rows(s.v.phi_telecom, s.v.phi_location)),
+        ["pmi_id", "master_id", "slot", "value"],
+    ),
+    "crosswalk_bucketed": tables.crosswalk_bucketed,
+    "contacts_bucketed": tables.contacts_bucketed,
 }
 
 

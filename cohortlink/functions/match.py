@@ -5,15 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import phone_key
-
 
 def flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it is false or unknown."""
     return F.when(condition, 1).otherwise(0)
-
-
-def phone_match(phone: Column, home: Column, work: Column) -> Column:
-    """1 if ``phone`` equals the home or the work phone after clean-up."""
-    p = phone_key(phone)
-    return flag((p == phone_key(home)) | (p == phone_key(work)))

@@ -108,26 +108,34 @@ def asked_values(rows: DataFrame, wanted: Mapping[str, Column] | None = None) ->
     return asked.select("_ask.kind", "_ask.value_key")
 
 
-def contact_flags(pairs: DataFrame, contacts: DataFrame, wanted: Mapping[str, Column]) -> DataFrame:
-    """Add a 0/1 ``<kind>_match`` column to distinct pairs for each wanted contact value.
+def contact_matches(pairs: DataFrame, contacts: DataFrame, wanted: Mapping[str, Column]) -> DataFrame:
+    """Add to distinct pairs, for each wanted contact value, a column with what the person has: null if nothing.
 
     ``wanted`` maps a contact kind to the key to look for. Each pair is asked
     once per value it has; ``contacts`` is distinct on (master_id, kind,
-    value_key), so the lookup adds no rows.
+    value_key) and has what to show in ``value``, so the lookup adds no rows.
     """
     columns = pairs.columns
     asked = pairs.withColumn("_ask", F.explode_outer(_asks(wanted))).select(
         *columns, "_ask.kind", "_ask.value_key"
     )
-    found = skew_join(
-        asked, contacts.withColumn("_hit", F.lit(True)), ["master_id", "kind", "value_key"], "left"
-    )
-    hit = F.col("_hit").isNotNull()
+    found = skew_join(asked, contacts.withColumnRenamed("value", "_hit"), ["master_id", "kind", "value_key"], "left")
     return found.groupBy(*columns).agg(*[
-        F.max(flag(hit & (F.col("kind") == kind))).alias(f"{kind}_match") for kind in wanted
+        F.max(F.when(F.col("kind") == kind, F.col("_hit"))).alias(kind) for kind in wanted
     ])
 
 
+def contact_flags(pairs: DataFrame, contacts: DataFrame, wanted: Mapping[str, Column]) -> DataFrame:
+    """Add a 0/1 ``<kind>_match`` column to distinct pairs for each wanted contact value.
+
+    ``contacts`` is ``registry.contact_keys``.
+    """
+    names = {kind: f"_{kind}" for kind in wanted}
+    prefixed = contacts.withColumns({"kind": F.concat(F.lit("_"), "kind"), "value": F.lit(True)})
+    found = contact_matches(pairs, prefixed, {names[k]: key for k, key in wanted.items()})
+    return found.select(*pairs.columns, *[flag(F.col(n)).alias(f"{k}_match") for k, n in names.items()])
+
+
 def _scored(pairs: DataFrame, contacts: DataFrame) -> DataFrame:
     flagged = contact_flags(pairs.select(*_IDENTITY, *_NAME_FLAGS), contacts, _wanted())
     contact_score = sum((F.col(f"{k}_match") for k in CONTACT_KINDS), F.lit(0))

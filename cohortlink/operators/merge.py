@@ -37,13 +37,15 @@ def snapshot_merge(
     update_when: Column | None = None,
     delete_missing: bool = False,
     audit: Sequence[str] = (),
+    mark_missing: Mapping[str, Column] | None = None,
 ) -> Merge:
     """Merge ``source`` into ``target`` on ``key``.
 
     Matched rows take the ``update`` columns from the source where
     ``update_when`` (a condition on the target) holds. Source rows without a
     target are inserted; target rows without a source are kept, or deleted with
-    ``delete_missing``. ``stamp`` columns are set on updates and inserts. Rows
+    ``delete_missing``; with ``mark_missing`` they stay, with those columns set, and
+    count as updated. ``stamp`` columns are set on updates and inserts. Rows
     with a null key never match. A target row that two source rows would update
     raises an error. ``audit`` names the columns whose old and new values go to
     the change log.
@@ -52,7 +54,7 @@ def snapshot_merge(
     side one anti join; in both AQE can split a skewed key, which it cannot do
     for a full outer join.
     """
-    stamp = dict(stamp or {})
+    stamp, marks = dict(stamp or {}), dict(mark_missing or {})
     columns = target.columns
     audit = list(audit)
 
@@ -75,14 +77,15 @@ def snapshot_merge(
     joined = skew_join(keyed_target, by_key, ["_key"], "left").withColumn(
         "action",
         F.when(applies & (F.col("_sources") > 1), clash.cast("string"))
-        .when(applies, F.lit("UPDATE"))
+        .when(applies | (F.lit(bool(marks)) & ~matched), F.lit("UPDATE"))
         .when(matched | F.lit(not delete_missing), F.lit("KEEP"))
         .otherwise(F.lit("DELETE")),
     )
-    updated = F.col("action") == "UPDATE"
+    updated = matched & (F.col("action") == "UPDATE")
     new_values = {
         **{c: F.when(updated, F.col("_new")[c]).otherwise(F.col(c)) for c in update},
         **{c: F.when(updated, v).otherwise(F.col(c)) for c, v in stamp.items()},
+        **{c: F.when(~matched, v).otherwise(F.col(c)) for c, v in marks.items()},
     }
     old_side = joined.select(
         *[new_values.get(c, F.col(c)).alias(c) for c in columns],

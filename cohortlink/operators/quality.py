@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +18,51 @@ def _checks(table: DataFrame, **counts: Column) -> DataFrame:
     return row.unpivot([], list(counts), "check", "value")
 
 
-def _repeated(table: DataFrame, column: str, check: str) -> DataFrame:
-    groups = table.where(F.col(column).isNotNull()).groupBy(match_key(F.col(column).cast("string"))).count()
-    return _checks(groups, **{check: F.col("count") > 1})
+# Sources that hold a study id, as bits of a mask.
+IN_STAGING, IN_MASTER, IN_REGISTRY = 1, 2, 4
+
+
+def key_presence(
+    master: DataFrame, staging: DataFrame, identifier: DataFrame, c: Concepts = Concepts()
+) -> DataFrame:
+    """Per study id which sources hold it (``held``, a bit mask), and the rows of each.
+
+    One aggregation of all three tables by key. Rows without an id meet nobody:
+    they have one row here, with a null key and no bits.
+    """
+
+    def side(rows: DataFrame, column: str, bit: int, mrn: Column | None = None) -> DataFrame:
+        return rows.select(
+            match_key(F.col(column)).alias("study_key"),
+            F.lit(bit).alias("bit"),
+            (F.lit(0) if mrn is None else F.when(mrn.isNotNull(), 1).otherwise(0)).alias("mrn"),
+        )
+
+    sides = side(staging, "study_id", IN_STAGING).unionByName(side(master, "study_id", IN_MASTER, F.col("mrn")))
+    sides = sides.unionByName(side(of_type(identifier, c.id_type_study), "identifier", IN_REGISTRY))
+    counts = {"n_staging": IN_STAGING, "n_master": IN_MASTER, "n_registry": IN_REGISTRY}
+    return sides.groupBy("study_key").agg(
+        F.when(F.col("study_key").isNull(), 0).otherwise(F.bit_or("bit")).alias("held"),
+        *[F.count_if(F.col("bit") == bit).alias(name) for name, bit in counts.items()],
+        F.sum("mrn").alias("n_master_with_mrn"),
+    )
+
+
+def link_presence(links: DataFrame) -> DataFrame:
+    """Per linked person and per record number (``kind`` person, mrn) the number of links, without a person and in all."""
+    keys = F.array(
+        F.struct(F.lit("person").alias("kind"), F.col("master_id").cast("string").alias("link_key")),
+        F.struct(F.lit("mrn").alias("kind"), match_key(F.col("mrn")).alias("link_key")),
+    )
+    each = links.select(F.explode(keys).alias("_key"), F.col("master_id").isNull().alias("_alone"))
+    return each.groupBy("_key.kind", "_key.link_key").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("_alone").alias("n_without_person")
+    )
+
+
+def repeated_links(links: DataFrame) -> DataFrame:
+    """Persons and record numbers that several links name, with the number of links."""
+    return link_presence(links).where(F.col("link_key").isNotNull() & (F.col("n_rows") > 1)).drop("n_without_person")
 
 
 def reconcile(
@@ -32,30 +74,40 @@ def reconcile(
 ) -> DataFrame:
     """Row counts, matched counts, missing keys and repeated keys as (check, value) rows.
 
-    ``links`` is ``roster.study_links`` of the master roster.
+    ``links`` is ``roster.study_links`` of the master roster. Each table is read
+    once: all counts come from ``key_presence`` and ``link_presence``.
     """
-    every = F.lit(True)
-    has_mrn = F.col("mrn").isNotNull()
-    has_person = F.col("master_id").isNotNull()
-    parts = [
-        _checks(staging, staging_rows=every),
-        _checks(master, master_rows=every, master_rows_with_mrn=has_mrn),
-        _checks(
-            links,
-            link_rows=every,
-            link_rows_with_mrn=has_mrn,
-            link_rows_with_person=has_person,
-            link_rows_unmatched=has_mrn & ~has_person,
-        ),
-        _checks(missing_from_master(staging, master), staging_ids_missing_from_master=every),
-        _checks(unregistered(master, identifier, c), master_ids_missing_from_registry=every),
-        _repeated(links, "master_id", "persons_linked_repeatedly"),
-        _repeated(links, "mrn", "mrns_linked_repeatedly"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+
+    def total(n: Column | str, condition: Column) -> Column:
+        n = F.col(n) if isinstance(n, str) else n
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0)).cast("bigint")
+
+    every, known = F.lit(True), F.col("study_key").isNotNull()
+    lacks = lambda bit: F.col("held").bitwiseAND(F.lit(bit)) == 0
+    roster_counts = {
+        "staging_rows": total("n_staging", every),
+        "master_rows": total("n_master", every),
+        "master_rows_with_mrn": total("n_master_with_mrn", every),
+        "staging_ids_missing_from_master": total("n_staging", known & lacks(IN_MASTER)),
+        "master_ids_missing_from_registry": total("n_master", lacks(IN_REGISTRY)),
+    }
+    person, mrn, given = F.col("kind") == "person", F.col("kind") == "mrn", F.col("link_key").isNotNull()
+    repeated = given & (F.col("n_rows") > 1)
+    link_counts = {
+        "link_rows": total("n_rows", mrn),
+        "link_rows_with_mrn": total("n_rows", mrn & given),
+        "link_rows_with_person": total("n_rows", person & given),
+        "link_rows_unmatched": total("n_without_person", mrn & given),
+        "persons_linked_repeatedly": total(F.lit(1), person & repeated),
+        "mrns_linked_repeatedly": total(F.lit(1), mrn & repeated),
+    }
+
+    def listed(table: DataFrame, counts: dict[str, Column]) -> DataFrame:
+        row = table.agg(*[c.alias(name) for name, c in counts.items()])
+        return row.unpivot([], list(counts), "check", "value")
+
+    presence = key_presence(master, staging, identifier, c)
+    return listed(presence, roster_counts).unionByName(listed(link_presence(links), link_counts))
 
 
 def missing_from_master(staging: DataFrame, master: DataFrame) -> DataFrame:
@@ -125,11 +177,6 @@ def too_long(table: DataFrame, lengths: Mapping[str, int]) -> DataFrame:
     return _checks(table, **{name: trimmed_length(F.col(name)) > n for name, n in lengths.items()})
 
 
-def fan_out_of(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once."""
-    return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
-
-
 def concept_mismatches(concept: DataFrame, c: Concepts = Concepts()) -> DataFrame:
     """Configured concepts that the vocabulary lacks or lists under another id."""
     rows = [(name, concept_id, *CONCEPT_CODES[name]) for name, concept_id in c.named().items()]

@@ -18,7 +18,7 @@ from ..functions.text import contact_key, match_key, phone_key
 from ..schemas import PHI_IDENTIFIER
 from . import vocabulary
 from .blocks import skew_join
-from .merge import snapshot_merge
+from .merge import Merge, snapshot_merge
 
 SLOTS = ("home_phone", "work_phone", "email", "address")
 
@@ -44,6 +44,13 @@ def _slotted(telecom: DataFrame, location: DataFrame | None, c: Concepts) -> Dat
     return lines.where(F.col("master_id").isNotNull() & F.col("value").isNotNull())
 
 
+def _slot_keys(telecom: DataFrame, location: DataFrame | None, c: Concepts) -> DataFrame:
+    """(master_id, slot, value, value_key) of the contact points that are not blank."""
+    is_phone = F.col("slot").isin("home_phone", "work_phone")
+    key = F.when(is_phone, phone_key(F.col("value"))).otherwise(contact_key(F.col("value")))
+    return _slotted(telecom, location, c).withColumn("value_key", key).where(F.col("value_key").isNotNull())
+
+
 def contact_keys(
     telecom: DataFrame,
     location: DataFrame | None = None,
@@ -57,22 +64,22 @@ def contact_keys(
     only the given (kind, value_key); broadcast, it filters before any shuffle.
     """
     is_phone = F.col("slot").isin("home_phone", "work_phone")
-    keys = (
-        _slotted(telecom, location, c)
-        .select(
-            "master_id",
-            F.when(is_phone, "phone").otherwise(F.col("slot")).alias("kind"),
-            F.when(is_phone, phone_key(F.col("value")))
-            .otherwise(contact_key(F.col("value")))
-            .alias("value_key"),
-        )
-        .where(F.col("value_key").isNotNull())
+    keys = _slot_keys(telecom, location, c).select(
+        "master_id", F.when(is_phone, "phone").otherwise(F.col("slot")).alias("kind"), "value_key"
     )
     if wanted is not None:
         keys = keys.join(wanted, ["kind", "value_key"], "left_semi").select("master_id", "kind", "value_key")
     return keys.distinct()
 
 
+def contact_values(
+    telecom: DataFrame, location: DataFrame | None = None, c: Concepts = Concepts()
+) -> DataFrame:
+    """(master_id, kind, value_key, value): the non-blank contact points by slot, the least spelling of each key."""
+    keys = _slot_keys(telecom, location, c)
+    return keys.groupBy("master_id", F.col("slot").alias("kind"), "value_key").agg(F.min("value").alias("value"))
+
+
 def contact_rows(
     telecom: DataFrame, location: DataFrame | None = None, c: Concepts = Concepts()
 ) -> DataFrame:
@@ -201,19 +208,30 @@ def merge_study_ids(
     study id that is to be updated raise an error, as in SQL ``MERGE``.
     """
     is_study = F.coalesce(F.col("id_type_concept_id") == c.id_type_study, F.lit(False))
+    merged = study_id_merge(identifier.where(is_study), study_id_rows(links, c, labels))
+    others = identifier.where(~is_study)
+    if with_action:
+        return merged.rows.unionByName(others.withColumn("action", F.lit("KEEP")))
+    return merged.snapshot.unionByName(others)
+
+
+def study_id_rows(
+    links: DataFrame, c: Concepts = Concepts(), labels: RegistrationLabels = STUDY_LABELS
+) -> DataFrame:
+    """Registry rows of the linked study ids, the source of ``study_id_merge``."""
     rows = links.select("master_id", "source_id", F.col("study_id").alias("identifier")).distinct()
-    source = _registry_rows(rows, labels, F.lit(c.id_use_study), F.lit(c.id_type_study))
-    merged = snapshot_merge(
-        identifier.where(is_study),
-        source.select(*[name for name in source.columns if name in identifier.columns]),
+    return _registry_rows(rows, labels, F.lit(c.id_use_study), F.lit(c.id_type_study))
+
+
+def study_id_merge(target: DataFrame, source: DataFrame) -> Merge:
+    """Merge ``study_id_rows`` into the registry's study ids, or into some buckets of them."""
+    return snapshot_merge(
+        target,
+        source.select(*[name for name in source.columns if name in target.columns]),
         key="identifier",
         update=("master_id", "source_id"),
         update_when=F.col("master_id").isNull(),
     )
-    others = identifier.where(~is_study)
-    if with_action:
-        return merged.rows.unionByName(others.withColumn("action", F.lit("KEEP")))
-    return merged.snapshot.unionByName(others)
 
 
 def find(

@@ -13,9 +13,9 @@ from ..config import MIN_SCORE, SYNC_SOURCE, Concepts
 from ..functions.match import flag
 from ..functions.text import contact_key, match_key, phone_key, trimmed_length
 from .blocks import block_members, block_pairs, skew_join
-from .linkage import asked_values, contact_flags, reachable
+from .linkage import asked_values, contact_matches, reachable
 from .merge import Merge, snapshot_merge
-from .registry import contact_keys, contact_rows, of_type
+from .registry import contact_keys, contact_rows, contact_values, of_type
 
 SYNCED_COLUMNS = (
     "mrn",
@@ -26,6 +26,7 @@ SYNCED_COLUMNS = (
     "withdrawn_recorded_in_healthpro",
 )
 AUDIT_COLUMNS = ("study_id", "mrn", "pmi_id")
+DELETED_FLAG = "deleted_in_CTRI_Redcap"
 SHORT_MRN = 8
 _NAME_KEYS = ["k_first", "k_last"]
 
@@ -90,9 +91,12 @@ def sync(
     staging: DataFrame,
     run_ts: datetime | Column,
     source: str = SYNC_SOURCE,
+    soft_delete: bool = False,
 ) -> Merge:
     """Bring the master roster in step with staging; rows gone from staging are deleted.
 
+    With ``soft_delete`` they stay and are flagged (``deleted``).
+
     A matched row takes the record number, duplicate flag, participant id and
     withdrawal fields; its name, birth date and contact fields stay. A staging
     table without one of the columns to take raises an error.
@@ -107,11 +111,17 @@ def sync(
         key="study_id",
         update=SYNCED_COLUMNS,
         stamp={"update_date": stamp, "source": F.lit(source)},
-        delete_missing=True,
+        delete_missing=not soft_delete,
         audit=AUDIT_COLUMNS,
+        mark_missing={DELETED_FLAG: F.lit("1")} if soft_delete else None,
     )
 
 
+def deleted(master: DataFrame) -> DataFrame:
+    """Roster rows that a sync has flagged as gone from its upstream."""
+    return master.where(match_key(F.col(DELETED_FLAG)) == "1")
+
+
 # --- record numbers ---------------------------------------------------------
 
 
@@ -206,7 +216,8 @@ def mrn_candidates(
     """Persons of the same name for each roster row without a record number.
 
     The score is 2 for the name plus one each for birth date, phone and e-mail.
-    A row without a namesake stays, with empty person columns. ``best_mrn`` finds
+    ``home_phone``, ``work_phone`` and ``email`` are the person's contact values that
+    agree with the row's, the least as written if there are several. A row without a namesake stays, with empty person columns. ``best_mrn`` finds
     the best of all pairs without making them.
     """
     left = _without_mrn(roster)
@@ -223,11 +234,13 @@ def mrn_candidates(
         "surname",
         "birth_date",
     ]
-    flagged = contact_flags(
-        pairs.select(*columns),
-        contact_keys(telecom, None, c),
-        {"phone": phone_key(F.col("phone_number")), "email": contact_key(F.col("email_address"))},
-    )
+    phone, email = phone_key(F.col("phone_number")), contact_key(F.col("email_address"))
+    slots = {"home_phone": phone, "work_phone": phone, "email": email}
+    found = contact_matches(pairs.select(*columns), contact_values(telecom, None, c), slots)
+    flagged = found.withColumns({
+        "phone_match": flag(F.col("home_phone").isNotNull() | F.col("work_phone").isNotNull()),
+        "email_match": flag(F.col("email").isNotNull()),
+    })
     scored = flagged.withColumn("dob_match", flag(F.col("dob") == F.col("birth_date"))).withColumn(
         "total_identifiers_matched",
         F.lit(2) + F.col("dob_match") + F.col("phone_match") + F.col("email_match"),
@@ -237,6 +250,7 @@ def mrn_candidates(
         "phi_mrn",
         "source_id",
         *columns[7:],
+        *slots,
         "dob_match",
         "phone_match",
         "email_match",

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from . import files
 
 _CORRUPT = "_corrupt_record"
 
@@ -37,45 +39,64 @@ def strip_quotes(df: DataFrame) -> DataFrame:
     )
 
 
-_CSV_OPTIONS = {"quote": '"', "escape": '"'}
+_CSV_OPTIONS = {"quote": '"', "escape": '"', "lineSep": "\n"}
 
 
-def read_roster_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.ROSTER_STAGING) -> DataFrame:
-    """Roster export: one header line, commas, one record per line, quotes removed.
+@dataclass(frozen=True)
+class CsvLoad:
+    """Rows of a CSV file, and the lines of it that are none (column ``line``)."""
 
-    A value that does not fit its column ends the job that reads it;
-    ``roster_csv_rejects`` lists the lines concerned.
-    """
-    lines = spark.read.schema(schema).options(
-        **_CSV_OPTIONS, header=True, lineSep="\n", mode="FAILFAST"
-    ).csv(path)
-    return strip_quotes(lines)
+    rows: DataFrame
+    rejects: DataFrame
 
 
-def roster_csv_rejects(spark: SparkSession, path: str, schema: T.StructType = schemas.ROSTER_STAGING) -> DataFrame:
-    """Lines of the roster export in which some value does not fit its column.
+def read_roster_csv(
+    spark: SparkSession,
+    path: str,
+    keep: Callable[[DataFrame, str], DataFrame],
+    schema: T.StructType = schemas.ROSTER_STAGING,
+) -> CsvLoad:
+    """Roster export: one header line a file, commas, one record per line, quotes removed.
 
-    Header lines are known by the column names; one with other titles is
-    listed too.
+    The file is scanned once. A line with a value that does not fit its column,
+    or with too few or too many values, is a reject; the others are rows. Both
+    come from the same table, which ``keep`` writes (``plans.stages.Run.table``).
+    A file whose titles are not the schema's, in its order and without regard to
+    case, raises an error.
     """
-    fields = [*schema.fields, T.StructField(_CORRUPT, T.StringType())]
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    parsed = F.from_csv(
-        F.col("value"), ddl, {**_CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
-    is_header = F.lower(F.translate(F.col("value"), '"', "")) == ",".join(schema.names).lower()
-    return (
-        spark.read.text(path, lineSep="\n")
-        .where(~is_header & parsed[_CORRUPT].isNotNull())
-        .select(F.col("value").alias("line"))
+    with_line = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    lines = spark.read.schema(with_line).options(
+        **_CSV_OPTIONS, header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT
+    ).csv(path)
+    parsed = keep(lines, "roster-csv")
+    bad = F.col(_CORRUPT).isNotNull()
+    return CsvLoad(
+        rows=strip_quotes(parsed.where(~bad).select(*schema.names)),
+        rejects=parsed.where(bad).select(F.col(_CORRUPT).alias("line")),
     )
 
 
-def read_workqueue(spark: SparkSession, directory: str, snapshot: str) -> DataFrame:
+def snapshots(spark: SparkSession, directory: str) -> list[str]:
+    """Dates of the snapshots under a directory, earliest first."""
+    names = files.names(spark, directory)
+    return sorted(n.partition("=")[2] for n in names if n.startswith("snapshot="))
+
+
+def read_workqueue(
+    spark: SparkSession, directory: str, snapshot: str | None = None, as_of: str | None = None
+) -> DataFrame:
     """One dated snapshot of the work queue, with plain column names.
 
-    An absent site or contact is empty text there; a null site reads the same.
+    It is the one named by ``snapshot``, or the latest that is not after
+    ``as_of``, or the latest. The others are not read. An absent site or contact is empty text there; a null site
+    reads the same.
     """
+    if snapshot is None:
+        known = [s for s in snapshots(spark, directory) if as_of is None or s <= as_of]
+        if not known:
+            raise ValueError(f"{directory} has no snapshot" + (f" up to {as_of}" if as_of else ""))
+        snapshot = known[-1]
+    # the one folder, by its own titles, which may differ from those of other dates
     df = spark.read.parquet(f"{directory.rstrip('/')}/snapshot={snapshot}")
     titles = {t.lower(): name for t, name in WORKQUEUE_TITLES.items()}
     df = df.select(*[F.col(f"`{c}`").alias(titles.get(c.lower(), c)) for c in df.columns])

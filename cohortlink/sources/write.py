@@ -47,9 +47,11 @@ def write_registry(identifier: DataFrame, base: str, version: str) -> str:
     return write_version(balanced, base, version, partition_by="id_type_concept_id")
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
     """Save as a catalog table bucketed and sorted by ``key``.
 
     Tables with equal key and bucket number join on it without a shuffle.
     """
-    df.write.bucketBy(buckets, key).sortBy(key).mode("errorifexists").saveAsTable(table)
+    # one task per bucket, so one file per bucket; a scan can then keep the bucket's order
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("errorifexists")
+    (writer.option("path", path) if path else writer).saveAsTable(table)

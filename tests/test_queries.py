@@ -66,10 +66,27 @@ def test_small_side_is_broadcast_and_the_large_table_not_shuffled(spark, name, t
     assert "BroadcastHashJoin" in head and "SortMergeJoin" not in head
 
 
+# Places in files need the rows of the files before, a few numbers that are sent to all tasks.
+POSITIONS = {"review_queue_order", "review_report_order"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_plan_has_only_equi_joins_and_no_python(spark, no_broadcast, name):
     plan = queries()[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search(r"CartesianProduct|NestedLoop|Python|BroadcastHashJoin", plan)
+    sent = "" if name in POSITIONS else "|BroadcastHashJoin"
+    assert not re.search(rf"CartesianProduct|NestedLoop|Python{sent}", plan)
+
+
+def test_bucketed_tables_join_in_place(spark, no_broadcast):
+    for name in ("crosswalk_bucketed", "contacts_bucketed"):
+        plan = queries()[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_reconcile_reads_each_roster_once(spark, no_broadcast):
+    """Each roster is read for its keys, and the master once more for its links."""
+    plan = queries()["reconcile"](spark, DIRECTORY)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [study_key") == 1 and plan.count("Generate explode") <= 2
 
 
 def test_visit_scan_reads_only_what_it_needs(spark, no_broadcast):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortlink import schemas
 from cohortlink.operators import registry
+from cohortlink.plans.stages import Run
 from cohortlink.sources import read, write
 
 from .conftest import rows
@@ -16,24 +17,44 @@ CSV = """study_id,duplicate_record___yes,mrn,first_name,last_name,dob,street_add
 """
 
 
-def test_roster_csv(spark, tmp_path):
-    path = tmp_path / "roster.csv"
-    path.write_text(CSV)
-    df = read.read_roster_csv(spark, str(path))
-    assert df.schema == schemas.ROSTER_STAGING
-    assert rows(df, "study_id", "first_name", "last_name", "street_address_line_1", "mrn", "dob", "withdrawn_date") == [
+@pytest.fixture(scope="module")
+def run(spark):
+    with Run(spark) as run:
+        yield run
+
+
+def load(spark, run, path, text):
+    path.write_text(text)
+    return read.read_roster_csv(spark, str(path), run.table)
+
+
+def test_roster_csv(spark, run, tmp_path):
+    got = load(spark, run, tmp_path / "roster.csv", CSV)
+    assert got.rows.schema == schemas.ROSTER_STAGING
+    columns = "study_id", "first_name", "last_name", "street_address_line_1", "mrn", "dob", "withdrawn_date"
+    assert rows(got.rows, *columns) == [
         ("1", "Ann", "Lee, Jr", "1 A St", "0123", date(1980, 5, 1), None),
         ("2", "Bob", "ORay", None, None, date(1981, 6, 2), date(2018, 5, 14)),
     ]
-    assert read.roster_csv_rejects(spark, str(path)).count() == 0
+    assert got.rejects.count() == 0
+
 
+def test_roster_csv_parts_bad_lines_from_rows(spark, run, tmp_path):
+    bad = ["3,no,,Cat,Fox,not a date,,,,,,,,P3,0,,", "4,0,too,few", "5" + "," * 17 + "one too many"]
+    got = load(spark, run, tmp_path / "roster.csv", CSV + "\n".join(bad) + "\n")
+    assert rows(got.rows, "study_id") == [("1",), ("2",)]
+    assert rows(got.rejects, "line") == [(x,) for x in bad]
+    assert set(got.rows.inputFiles()) == set(got.rejects.inputFiles())  # one table, written by one scan
 
-def test_roster_csv_bad_line(spark, tmp_path):
-    path = tmp_path / "roster.csv"
-    path.write_text(CSV + "3,no,,Cat,Fox,not a date,,,,,,,,P3,0,,\n")
-    with pytest.raises(Exception):
-        read.read_roster_csv(spark, str(path)).collect()
-    assert [r.line[:5] for r in read.roster_csv_rejects(spark, str(path)).collect()] == ["3,no,"]
+
+def test_roster_csv_with_other_titles(spark, run, tmp_path):
+    with pytest.raises(Exception, match="(?i)header"):
+        load(spark, run, tmp_path / "roster.csv", CSV.replace("mrn,first_name", "first_name,mrn"))
+
+
+def test_roster_csv_without_rows(spark, run, tmp_path):
+    got = load(spark, run, tmp_path / "roster.csv", CSV.splitlines()[0] + "\n")
+    assert got.rows.count() == got.rejects.count() == 0
 
 
 def test_workqueue_snapshot(spark, tmp_path):
@@ -50,6 +71,25 @@ def test_workqueue_snapshot(spark, tmp_path):
     assert got.first()[4:] == ("", "")
 
 
+def test_workqueue_of_a_date(spark, tmp_path):
+    base = str(tmp_path)
+    for day in ("20180212", "20180319", "20180402"):
+        plain = spark.createDataFrame([(day, "")], "pmi_id string, physical_measurements_location string")
+        plain = plain.withColumn("biospecimens_location", F.lit(""))
+        plain.write.parquet(f"{base}/snapshot={day}")
+    ask = lambda **x: read.read_workqueue(spark, base, **x)
+    assert read.snapshots(spark, base) == ["20180212", "20180319", "20180402"]
+    for day, got in {
+        "20180212": ask(snapshot="20180212"),
+        "20180319": ask(as_of="20180401"),
+        "20180402": ask(),
+    }.items():
+        assert rows(got, "pmi_id") == [(day,)]
+        assert all(f"snapshot={day}" in f for f in got.inputFiles())
+    with pytest.raises(ValueError, match="no snapshot up to"):
+        ask(as_of="20180101")
+
+
 def test_versions_are_never_overwritten(spark, tmp_path):
     base = str(tmp_path / "roster")
     write.write_version(spark.range(3), base, "1")

@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlink.functions import match, text
+from cohortlink.functions import text
 
 
 def value(spark, column, **inputs):
@@ -13,22 +13,6 @@ def value(spark, column, **inputs):
     return spark.createDataFrame([tuple(inputs.values())], schema).select(column).first()[0]
 
 
-@pytest.mark.parametrize(
-    "phone, home, work, expected",
-    [
-        ("858 555 1212", None, "(858)555-1212", 1),
-        ("8585551212", "(858) 555-1212", None, 1),
-        ("", "", None, 0),
-        (None, None, None, 0),
-        ("858.555.1212", "8585551212", None, 0),
-        ("858-555-1213", "8585551212", "8585551214", 0),
-    ],
-)
-def test_phone_match(spark, phone, home, work, expected):
-    got = value(spark, match.phone_match(F.col("a"), F.col("h"), F.col("w")), a=phone, h=home, w=work)
-    assert got == expected
-
-
 def test_match_key_ignores_case_and_trailing_blanks(spark):
     assert value(spark, text.match_key(F.col("x")), x="Mary  ") == "mary"
     assert value(spark, text.match_key(F.col("x")), x=" Mary") == " mary"
