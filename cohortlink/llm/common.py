@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import inspect
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from itertools import chain
 from pathlib import Path
 
@@ -15,6 +18,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.stages import session_run
+from ..sources import files
+
 # A side is broadcast only if its rows, counted in a written table, take at
 # most this many bytes; beyond it the same join is done by shuffle.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -45,26 +51,82 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; with a local master and none set, a new temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="cohortlink-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+# Paths of the tables written within each open ``scratch``.
+_scratch: list[list[str]] = []
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows read back from a parquet table in the shared folder.
+def written(df: DataFrame, name: str, outside: bool = False) -> DataFrame:
+    """The same rows read back from a parquet table of the application's run.
 
-    The table outlives lost executors and cuts the lineage.
+    The table outlives lost executors and cuts the lineage. It is removed at the
+    end of the ``scratch`` block it is written in, or with ``outside`` of the
+    block around that one; else with the run.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    run = session_run(df.sparkSession)
+    path = run.path(name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    depth = len(_scratch) - (2 if outside else 1)
+    if depth >= 0:
+        _scratch[depth].append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables written within the block when it ends; what is to last is written ``outside``."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            files.delete(spark, path)
+
+
+@functools.cache
+def _trim() -> Callable[[int], int] | None:
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def gives_back(run: Callable) -> Callable:
+    """A function of a task that, when done, returns to the system what its worker no longer uses.
+
+    Spark keeps workers for later tasks; what they hold counts against the executor.
+    """
+
+    def freed() -> None:
+        pa.default_memory_pool().release_unused()
+        if _trim():
+            _trim()(0)
+
+    if inspect.isgeneratorfunction(run):
+
+        @functools.wraps(run)
+        def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from run(batches)
+            freed()
+
+        return stream
+
+    @functools.wraps(run)
+    def group(table: pa.Table) -> pa.Table:
+        out = run(table)
+        freed()
+        return out
+
+    return group
+
+
+RANGE_BYTES = 16 * 1024 * 1024
+
+
+def ranges(texts: DataFrame, per_byte: float, range_bytes: int = RANGE_BYTES) -> int:
+    """Into how many hash ranges to deal what is made of the texts, ``per_byte`` bytes for each of theirs.
+
+    The texts are measured, so that a range, which one task holds in memory, has
+    about ``range_bytes`` whatever the input.
+    """
+    total = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    return max(1, -int(-total * per_byte // range_bytes))
 
 
 def broadcast_if_small(table: DataFrame, bytes_per_row: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -78,6 +140,33 @@ def broadcast_if_small(table: DataFrame, bytes_per_row: int | Column, limit: int
     return F.broadcast(table) if total <= limit else table
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front until no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def giving_way(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """``df``, in which columns of the given names, in any case, have underscores in front."""
+    wanted = {n.lower() for n in names}
+    taken = wanted | {c.lower() for c in df.columns}
+    columns = []
+    for c in df.columns:
+        name = c
+        if c.lower() in wanted:
+            while name.lower() in taken:
+                name = "_" + name
+            taken.add(name.lower())
+        columns.append(F.col(f"`{c}`").alias(name))
+    return df.select(*columns)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
