@@ -29,34 +29,32 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Queries:
-    """A block of test items as word numbers: 0 is a word that no item has.
+    """A block of test items as word numbers, one after the other: 0 is a word that no item has.
 
-    ``windows`` are the runs of ``width`` words of an item, the whole item if it
-    has fewer; they and every suffix are rows of ``suffixes``, filled up with -1.
+    A window is a run of ``width`` words of an item, or the whole item if it has
+    fewer. Windows are kept as places in ``flat``: ``start``, the words ``need``ed
+    and those ``left`` in the item from there on. Memory is that of the items.
     """
 
     def __init__(self, items: list[tuple[int, bytes]], width: int):
-        self.width = width
         self.numbers: dict[bytes, int] = {}
         self.items: list[int] = []
-        texts = []
-        for item, text in items:
+        flat, item, start, left = [], [], [], []
+        for key, text in items:
             found = words_of(text)
             if found:
-                self.items.append(item)
-                texts.append([self.numbers.setdefault(w, len(self.numbers) + 1) for w in found])
-        self.longest = max(map(len, texts), default=0)
-        self.shortest = min((min(len(t), width) for t in texts), default=0)
-        item, suffixes, lengths = [], [], []
-        for i, t in enumerate(texts):
-            need = min(width, len(t))
-            for start in range(len(t) - need + 1):
-                item.append(i)
-                suffixes.append(t[start:] + [-1] * (self.longest - len(t) + start))
-                lengths.append(need)
-        self.item = np.array(item, dtype=np.int64)
-        self.suffixes = np.array(suffixes, dtype=np.int32).reshape(len(item), self.longest)
-        self.need = np.array(lengths, dtype=np.int64)
+                n, begin = len(found), len(flat)
+                flat.extend(self.numbers.setdefault(w, len(self.numbers) + 1) for w in found)
+                windows = max(1, n - width + 1)
+                item.extend([len(self.items)] * windows)
+                start.extend(range(begin, begin + windows))
+                left.extend(range(n, n - windows, -1))
+                self.items.append(key)
+        self.flat = np.array(flat, dtype=np.int32)
+        self.item, self.start, self.left = (np.array(x, dtype=np.int64) for x in (item, start, left))
+        self.need = np.minimum(self.left, width)
+        self.longest = int(self.need.max(initial=0))
+        self.shortest = int(self.need.min(initial=self.longest))
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -77,31 +75,50 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
             return order
 
 
-def _compare(text: np.ndarray, places: np.ndarray, rows: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Common length of each text suffix and query row, up to ``lengths``, and whether the suffix is the smaller one."""
-    width = rows.shape[1]
-    at = places[:, None] + np.arange(width)[None, :]
-    there = text[np.minimum(at, len(text) - 1)]
-    there = np.where(at < len(text), there, -2)
-    inside = np.arange(width)[None, :] < lengths[:, None]
-    differs = (there != rows) & inside
+def _compare(
+    text: np.ndarray, places: np.ndarray, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Common length of each text suffix and window, up to ``lengths``, and whether the suffix is the smaller one."""
+    offset = np.arange(int(lengths.max(initial=1)))[None, :]
+    at, asked = places[:, None] + offset, starts[:, None] + offset
+    there = np.where(at < len(text), text[np.minimum(at, len(text) - 1)], -2)
+    rows = flat[np.minimum(asked, len(flat) - 1)]
+    differs = (there != rows) & (offset < lengths[:, None])
     common = np.where(differs.any(axis=1), differs.argmax(axis=1), lengths)
-    last = np.minimum(common, width - 1)
-    pick = np.arange(len(rows))
+    last = np.minimum(common, offset.shape[1] - 1)
+    pick = np.arange(len(starts))
     smaller = (common < lengths) & (there[pick, last] < rows[pick, last])
     return common, smaller
 
 
-def lower_bound(text: np.ndarray, order: np.ndarray, rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """For each query row, the first place in ``order`` whose suffix is not smaller; all rows halve their range at once."""
-    low = np.zeros(len(rows), dtype=np.int64)
-    high = np.full(len(rows), len(order), dtype=np.int64)
+# Words that a match is followed at a time.
+FOLLOWED = 32
+
+
+def match_lengths(text: np.ndarray, places: np.ndarray, flat: np.ndarray, starts: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Words that each text suffix has in common with an item from ``starts`` on, at most ``left``."""
+    total = np.zeros(len(places), dtype=np.int64)
+    open_ = np.arange(len(places))
+    while len(open_):
+        step = np.minimum(left[open_] - total[open_], FOLLOWED)
+        common, _ = _compare(text, places[open_] + total[open_], flat, starts[open_] + total[open_], step)
+        total[open_] += common
+        open_ = open_[(common == step) & (total[open_] < left[open_])]
+    return total
+
+
+def lower_bound(
+    text: np.ndarray, order: np.ndarray, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray
+) -> np.ndarray:
+    """For each window, the first place in ``order`` whose suffix is not smaller; all windows halve their range at once."""
+    low = np.zeros(len(starts), dtype=np.int64)
+    high = np.full(len(starts), len(order), dtype=np.int64)
     while True:
         open_ = np.flatnonzero(low < high)
         if not len(open_):
             return low
         middle = (low[open_] + high[open_]) // 2
-        _, smaller = _compare(text, order[middle], rows[open_], lengths[open_])
+        _, smaller = _compare(text, order[middle], flat, starts[open_], lengths[open_])
         low[open_] = np.where(smaller, middle + 1, low[open_])
         high[open_] = np.where(smaller, high[open_], middle)
 
@@ -139,18 +156,18 @@ def search_shard(queries: Queries, texts: list[bytes]) -> list[tuple[int, np.nda
     origin = np.full(len(text), -1, dtype=np.int64)
     origin[place] = at
     order = suffix_array(text, queries.longest)
-    rows, need = queries.suffixes, queries.need
+    flat, start, need = queries.flat, queries.start, queries.need
     # all places where a window occurs: from its lower bound on, while it matches
-    low = lower_bound(text, order, rows, need)
+    low = lower_bound(text, order, flat, start, need)
     hits, items, longest = [], [], np.zeros(len(counts), dtype=np.int64)
     live = np.flatnonzero(low < len(order))
     while len(live):
-        common, _ = _compare(text, order[low[live]], rows[live], need[live])
+        common, _ = _compare(text, order[low[live]], flat, start[live], need[live])
         live = live[common >= need[live]]
         at = origin[order[low[live]]]
         hits.append(np.stack([at, need[live]], axis=1))
         items.append(np.stack([doc[at], queries.item[live]], axis=1))
-        full, _ = _compare(text, order[low[live]], rows[live], (rows[live] >= 0).sum(axis=1))
+        full = match_lengths(text, order[low[live]], flat, start[live], queries.left[live])
         np.maximum.at(longest, doc[at], full)
         low[live] += 1
         live = live[low[live] < len(order)]
@@ -182,7 +199,8 @@ def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: i
     yield block
 
 
-SCHEMA = "id bigint, n_words bigint, hits array<int>, items array<bigint>, longest int"
+SCHEMA = "id bigint, text binary, n_words bigint, hits array<int>, items array<bigint>, longest int"
+KINDS = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int32()]
 
 
 def find_leaks(
@@ -203,45 +221,38 @@ def find_leaks(
     An item of fewer words is one window; items without words, text or id are
     never found; an item given twice counts once. A missing or empty text has no
     words. Repeated rows come out as often as they go in. Other columns are not
-    read. The corpus is never shuffled: each task sorts shards of its own.
+    read. The corpus is never shuffled: each task sorts shards of its own, and a
+    row passes the blocks of items one after the other with what was found.
     """
-    texts = id_and_bytes(docs, id_col, text_col)
+    rows = id_and_bytes(docs, id_col, text_col)
+    nothing = F.array().cast("array<int>"), F.array().cast("array<bigint>")
+    rows = rows.select(
+        "id", "text", F.lit(0).cast("bigint").alias("n_words"), nothing[0].alias("hits"), nothing[1].alias("items"),
+        F.lit(0).alias("longest"),
+    )
     spark = docs.sparkSession
-    parts = []
     for items in blocks_of(benchmark, item_col, item_text_col, block_bytes):
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             queries = Queries(shared.value, width)
-            for ids, shard in chunks(batches):
-                n, hits, found, longest = zip(*search_shard(queries, shard), strict=True)
+            for ids, shard, _, hits, found, longest in chunks(batches):
+                now = search_shard(queries, shard)
+                columns = [
+                    ids,
+                    shard,
+                    [n for n, _, _, _ in now],
+                    [sorted({*a, *b.tolist()}) if a else b.tolist() for a, (_, b, _, _) in zip(hits, now, strict=True)],
+                    [sorted({*a, *b}) for a, (_, _, b, _) in zip(found, now, strict=True)],
+                    [max(a, b) for a, (_, _, _, b) in zip(longest, now, strict=True)],
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids, pa.int64()),
-                        pa.array(n, pa.int64()),
-                        pa.array([h.tolist() for h in hits], pa.list_(pa.int32())),
-                        pa.array([sorted(set(i)) for i in found], pa.list_(pa.int64())),
-                        pa.array(longest, pa.int32()),
-                    ],
-                    names=["id", "n_words", "hits", "items", "longest"],
+                    [pa.array(c, k) for c, k in zip(columns, KINDS, strict=True)],
+                    names=["id", "text", "n_words", "hits", "items", "longest"],
                 )
 
-        parts.append(texts.mapInArrow(run, SCHEMA))
-    return (parts[0] if len(parts) == 1 else _together(texts, parts)).withColumnRenamed("id", id_col)
-
-
-def _together(texts: DataFrame, parts: list[DataFrame]) -> DataFrame:
-    """One row per id from the passes over blocks of items. Rows of one id become one."""
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    merged = rows.groupBy("id").agg(
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.max("longest").cast("int").alias("longest"),
-    )
-    return merged.select("id", "n_words", "hits", "items", "longest")
+        rows = rows.mapInArrow(run, SCHEMA)
+    return rows.drop("text").withColumnRenamed("id", id_col)
 
 
 def remove_leaks(
