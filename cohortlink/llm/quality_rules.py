@@ -21,11 +21,11 @@ BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 FEW_REPEATS = 64
 
-# A language is a reference if it holds at least this share of all documents;
-# so there are at most a hundred references, whatever the corpus.
-REFERENCE_SHARE = 0.01
+# A language has a reference if its documents hold so many characters and words in all.
+REFERENCE_CHARS, REFERENCE_WORDS = 4_000, 800
 MIN_CHARS, MIN_WORDS = 200, 50
-MAX_CHAR_DIVERGENCE, MAX_WORD_DIVERGENCE = 0.07, 0.25
+# Bounds of the distance, the root of the divergence in bits.
+MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.2645, 0.5
 
 
 def _left(text: Column, removed: str) -> Column:
@@ -115,8 +115,8 @@ def statistics(texts: DataFrame, common: Sequence[str]) -> DataFrame:
     return rows.select("id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "words")
 
 
-def divergence(histogram: Column, reference: Sequence[float]) -> Column:
-    """Jensen-Shannon divergence, in bits, of a histogram and a reference distribution; 0 for an empty histogram."""
+def distance(histogram: Column, reference: Sequence[float]) -> Column:
+    """Jensen-Shannon distance, the root of the divergence in bits, of a histogram and a reference; 0 for an empty one."""
     total = F.aggregate(histogram, F.lit(0.0), lambda s, x: s + x)
     pairs = F.arrays_zip(histogram.alias("p"), F.array(*(F.lit(float(q)) for q in reference)).alias("q"))
 
@@ -127,27 +127,34 @@ def divergence(histogram: Column, reference: Sequence[float]) -> Column:
         p, q = z["p"] / total, z["q"]
         return s + part(p, (p + q) / 2) / 2 + part(q, (p + q) / 2) / 2
 
-    return F.when(total > 0, F.aggregate(pairs, F.lit(0.0), add)).otherwise(F.lit(0.0))
+    divergence = F.greatest(F.lit(0.0), F.aggregate(pairs, F.lit(0.0), add))
+    return F.when(total > 0, F.sqrt(divergence)).otherwise(F.lit(0.0))
+
+
+def _total(histogram: Column) -> Column:
+    return F.aggregate(histogram, F.lit(0).cast("bigint"), lambda s, x: s + x)
 
 
 def judge(
     docs: DataFrame,
     common: Sequence[str] = COMMON_WORDS,
-    max_char_divergence: float = MAX_CHAR_DIVERGENCE,
-    max_word_divergence: float = MAX_WORD_DIVERGENCE,
+    max_char_distance: float = MAX_CHAR_DISTANCE,
+    max_word_distance: float = MAX_WORD_DISTANCE,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> DataFrame:
-    """One row per row of ``docs``: the base statistics, ``char_divergence``, ``word_divergence``, base_failed, kept.
-
-    References are the summed histograms of each language that holds at least
-    ``REFERENCE_SHARE`` of the rows. A document's divergence is the least over the
-    references: it is compared with each language, not with the one it claims.
-    It fails above either bound; histograms of fewer than ``MIN_CHARS``
-    characters or ``MIN_WORDS`` words are not judged, nor is anything without a reference.
-    A missing text is empty and fails by length. Rows without an id or language
-    are judged like others; repeated rows come out as often as they go in; other
+    """One row per row of ``docs``: the base statistics, ``char_distance``, ``word_distance``, judged, base_failed, kept.
+
+    References are the summed histograms of each language whose documents hold
+    ``REFERENCE_CHARS`` characters and ``REFERENCE_WORDS`` words, however large the
+    table. A document's distance is the least over the references: it
+    is compared with each language, not with the one it claims. It fails above either
+    bound. Not judged, and so not failed by distance, are histograms of fewer than
+    ``MIN_CHARS`` characters or ``MIN_WORDS`` words and documents whose language
+    has no reference: a rare language is not measured by others.
+    A missing text is empty and fails by length. Rows without a language are
+    compared like others; rows without an id are judged; repeated rows come out as often as they go in; other
     columns are not read.
     """
     texts = docs.select(
@@ -157,26 +164,27 @@ def judge(
     )
     rows = written(statistics(texts, common), "histograms")
     sums = rows.where("lang is not null").groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n"),
         F.array(*(F.sum(F.get("chars", F.lit(k))) for k in range(len(CHAR_CLASSES)))).alias("chars"),
         F.array(*(F.sum(F.get("words", F.lit(k))) for k in range(len(dict.fromkeys(common)) + 1))).alias("words"),
     )
-    total = rows.count()
-    references = sums.where(F.col("n") >= REFERENCE_SHARE * total).orderBy("lang").collect()
+    enough = (_total(F.col("chars")) >= REFERENCE_CHARS) & (_total(F.col("words")) >= REFERENCE_WORDS)
+    references = sums.where(enough).orderBy("lang").collect()
 
     def least(column: str) -> Column:
-        shares = [[x / max(1, sum(r[column])) for x in r[column]] for r in references if sum(r[column])]
-        found = [divergence(F.col(column), s) for s in shares] or [F.lit(0.0)]
+        shares = [[x / max(1, sum(r[column])) for x in r[column]] for r in references]
+        found = [distance(F.col(column), s) for s in shares] or [F.lit(0.0)]
         return F.array_min(F.array(*found))
 
-    judged = rows.withColumns({"char_divergence": least("chars"), "word_divergence": least("words")})
-    n_chars = F.aggregate("chars", F.lit(0).cast("bigint"), lambda s, x: s + x)
-    n_counted = F.aggregate("words", F.lit(0).cast("bigint"), lambda s, x: s + x)
-    fails = ((n_chars >= MIN_CHARS) & (F.col("char_divergence") > max_char_divergence)) | (
-        (n_counted >= MIN_WORDS) & (F.col("word_divergence") > max_word_divergence)
+    known = F.col("lang").isNull() | F.col("lang").isin([r["lang"] for r in references])
+    judged = rows.withColumns({
+        "char_distance": least("chars"), "word_distance": least("words"), "judged": known & F.lit(bool(references)),
+    })
+    fails = F.col("judged") & (
+        ((_total(F.col("chars")) >= MIN_CHARS) & (F.col("char_distance") > max_char_distance))
+        | ((_total(F.col("words")) >= MIN_WORDS) & (F.col("word_distance") > max_word_distance))
     )
     base_failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     return judged.select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "char_divergence", "word_divergence", base_failed.alias("base_failed"), (~base_failed & ~fails).alias("kept"),
+        "char_distance", "word_distance", "judged", base_failed.alias("base_failed"), (~base_failed & ~fails).alias("kept"),
     )
