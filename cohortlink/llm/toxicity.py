@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, chunks, keep_rows, written
 
-# The model holds the words with the most significant log-odds; their number is
-# bounded, as the model is sent to every task.
-MAX_WORDS = 65_536
+# The model is fitted on at most about so many labelled documents, those of the lowest id hashes, whatever
+# the size of the corpus. That bounds its words, of which none is left out, and so what is sent to every task.
+LABELLED_ROWS = 200_000
 MIN_Z = 3.0
 PRIOR_DOCS = 10.0
 # Score of a word that the model does not know: stretches end where such words go on.
@@ -55,28 +55,36 @@ def surprise(z: float) -> float:
 def segments(scores: list[float], least: float) -> list[tuple[int, int, float]]:
     """All maximal-scoring stretches (start, end, score) of at least ``least``, in linear time.
 
-    Each stretch on the list keeps the running sum before and after it. A new
-    one joins with the last one whose left sum is lower, unless that one's right
-    sum is not lower.
+    Each stretch on the list keeps the running sum before and after it and the
+    place of the last stretch with a lower sum before. A new one joins with that
+    one, unless its sum after is not lower; places in between are never visited again.
     """
-    found: list[list[float]] = []  # start, end, sum before, sum after
+    found: list[list[float]] = []  # start, end, sum before, sum after, place of the last with a lower sum before
     total = 0.0
     for i, s in enumerate(scores):
         before = total
         total += s
         if s <= 0:
             continue
-        new = [i, i + 1, before, total]
+        new = [i, i + 1, before, total, -1]
+        j = len(found) - 1
         while True:
-            j = len(found) - 1
             while j >= 0 and found[j][2] >= new[2]:
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][3] >= new[3]:
+                new[4] = j
                 found.append(new)
                 break
-            new = [found[j][0], new[1], found[j][2], new[3]]
+            new = [found[j][0], new[1], found[j][2], new[3], -1]
+            after = found[j][4]
             del found[j:]
-    return [(int(a), int(b), after - before) for a, b, before, after in found if after - before >= least]
+            j = after
+    return [(int(a), int(b), high - low) for a, b, low, high, _ in found if high - low >= least]
+
+
+def combined(best: float, scores: list[float]) -> float:
+    """What a document is judged by: the sum of its significant stretches, at least its best stretch."""
+    return max(best, sum(scores))
 
 
 # ASCII signs and controls are blanks; letters and digits of all scripts stay.
@@ -147,7 +155,7 @@ def word_counts(labelled: DataFrame) -> DataFrame:
 
 
 def log_odds(
-    counts: DataFrame, bad: Column, good: Column, n_bad: int, n_good: int, max_words: int, min_z: float, prior: float
+    counts: DataFrame, bad: Column, good: Column, n_bad: int, n_good: int, min_z: float, prior: float
 ) -> dict[str, float]:
     """Weights of the words and stems that mark toxic documents.
 
@@ -165,11 +173,15 @@ def log_odds(
         .select("word", (odds_bad - odds_good).alias("w"), ((odds_bad - odds_good) / error).alias("z"))
         .where(F.col("z") >= min_z)
     )
-    return {r["word"]: r["w"] for r in scored.orderBy(F.desc("z"), "word").limit(max_words).collect()}
+    return {r["word"]: r["w"] for r in scored.collect()}
 
 
 def best_segments(docs: DataFrame, model: Model, all_segments: bool = False) -> DataFrame:
-    """(id, n_words, best, spans) for (id, text) rows; a span is (start, end, score) in words."""
+    """(id, n_words, best, spans) for (id, text) rows; a span is (start, end, score) in words.
+
+    With ``all_segments`` the spans are the significant stretches and ``best`` is
+    what they sum up to (``combined``), else ``best`` is the best stretch alone.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,12 +198,10 @@ def best_segments(docs: DataFrame, model: Model, all_segments: bool = False) ->
             for n in counts:
                 own = scores[start : start + n]
                 start += n
-                high = float(_best(own))
-                best.append(high)
-                spans.append(
-                    [{"start": a, "end": b, "score": s} for a, b, s in segments(own.tolist(), least)]
-                    if all_segments and high >= least and high > 0 else []
-                )
+                high = _best(own)
+                found = segments(own.tolist(), least) if all_segments and high >= least and high > 0 else []
+                best.append(combined(high, [s for _, _, s in found]))
+                spans.append([{"start": a, "end": b, "score": s} for a, b, s in found])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(best, pa.float64()), pa.array(spans, SPANS)],
                 names=["id", "n_words", "best", "spans"],
@@ -214,46 +224,65 @@ def _best(scores: np.ndarray) -> float:
 
 
 def fit(
-    labelled: DataFrame, max_words: int = MAX_WORDS, min_z: float = MIN_Z, prior: float = PRIOR_DOCS
+    labelled: DataFrame, min_z: float = MIN_Z, prior: float = PRIOR_DOCS, labelled_rows: int = LABELLED_ROWS
 ) -> Model:
     """Learn from (id, text, toxic) rows.
 
     The calibration comes from one half of the rows, parted by the id's hash,
     scored with weights of the other half; the final weights come from all rows.
+    Of more than ``labelled_rows`` rows about so many are taken, those of the
+    lowest id hashes. Without rows, or with one label only, every text
+    scores alike. Rows without an id, of a missing text and repeated rows count like others.
     """
-    half = F.pmod(F.xxhash64("id"), F.lit(2))
+    given = labelled.count()
+    if given > labelled_rows:
+        place = F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(1 << 30))
+        labelled = labelled.where(place < int((1 << 30) * labelled_rows / given))
+    half = F.coalesce(F.pmod(F.xxhash64("id"), F.lit(2)), F.lit(0))
     marked = labelled.select((2 * half + F.col("toxic")).cast("bigint").alias("mark"), "text")
     counts = written(word_counts(marked), "word-counts")
     n = {r[0]: r[1] for r in marked.groupBy("mark").count().collect()}
     good0, bad0, good1, bad1 = (n.get(i, 0) for i in range(4))
-    one = log_odds(counts, F.col("bad0"), F.col("good0"), bad0, good0, max_words, min_z, prior)
+    one = log_odds(counts, F.col("bad0"), F.col("good0"), bad0, good0, min_z, prior)
     model = Model(one, REST, 0.0, 1.0, 0.0, 1.0)
     rows = labelled.where(half == 1)
     # the label rides in the lowest bit of the id
     coded = rows.select((F.shiftleft("id", 1) + F.col("toxic")).alias("id"), "text")
-    scored = best_segments(coded, model).select(F.col("id").bitwiseAND(F.lit(1)).alias("toxic"), "best")
-    # Few distinct values matter: scores are counted in steps of a tenth.
-    steps = scored.groupBy("toxic", F.round("best", 1).alias("best")).count()
-    model = calibrate(model, [(r[0], r[1], r[2]) for r in steps.collect()])
+
+    def steps(model: Model) -> list[tuple[int, float, int]]:
+        scored = best_segments(coded, model, model.scale > 0).select(F.col("id").bitwiseAND(F.lit(1)).alias("toxic"), "best")
+        # Few distinct values matter: scores are counted in steps of a tenth.
+        return [tuple(r) for r in scored.groupBy("toxic", F.round("best", 1).alias("best")).count().collect()]
+
+    # the law of single stretches in clean text says which stretches are significant; documents are judged by their sum
+    model = extremes(replace(model, scale=0.0), steps(replace(model, scale=0.0)))
+    model = calibrate(model, steps(model))
     both = log_odds(
         counts, F.col("bad0") + F.col("bad1"), F.col("good0") + F.col("good1"), bad0 + bad1, good0 + good1,
-        max_words, min_z, prior,
+        min_z, prior,
     )
     return replace(model, weights=both)
 
 
-def calibrate(model: Model, steps: list[tuple[int, float, int]]) -> Model:
-    """Gumbel law of clean extremes by moments, then a logistic curve on its surprise by Newton steps."""
+def extremes(model: Model, steps: list[tuple[int, float, int]]) -> Model:
+    """The Gumbel law of clean documents' best stretches, by moments; scale 0 where labels tell nothing."""
     good = [(b, n) for t, b, n in steps if t == 0]
     total = sum(n for _, n in good)
     if not total or len(steps) < 2 or not any(t for t, _, _ in steps):
-        bad = sum(n for t, _, n in steps if t)
-        share = (bad + 0.5) / (bad + total + 1.0)
-        return replace(model, location=0.0, scale=0.0, intercept=math.log(share / (1 - share)), slope=0.0)
+        return replace(model, location=0.0, scale=0.0)
     mean = sum(b * n for b, n in good) / total
     spread = math.sqrt(max(sum(n * (b - mean) ** 2 for b, n in good) / total, 1e-4))
     scale = spread * math.sqrt(6) / math.pi
-    location = mean - 0.5772156649015329 * scale
+    return replace(model, location=mean - 0.5772156649015329 * scale, scale=scale)
+
+
+def calibrate(model: Model, steps: list[tuple[int, float, int]]) -> Model:
+    """A logistic curve on the surprise of what documents are judged by, by Newton steps."""
+    if model.scale <= 0:
+        bad, total = (sum(n for t, _, n in steps if t == k) for k in (1, 0))
+        share = (bad + 0.5) / (bad + total + 1.0)
+        return replace(model, intercept=math.log(share / (1 - share)), slope=0.0)
+    location, scale = model.location, model.scale
     x = np.array([surprise((b - location) / scale) for _, b, _ in steps])
     y = np.array([t for t, _, _ in steps], dtype=float)
     n = np.array([c for _, _, c in steps], dtype=float)
@@ -267,9 +296,7 @@ def calibrate(model: Model, steps: list[tuple[int, float, int]]) -> Model:
         beta += step
         if np.abs(step).max() < 1e-8:
             break
-    return replace(
-        model, location=location, scale=scale, intercept=float(beta[0]), slope=max(float(beta[1]), 0.0)
-    )
+    return replace(model, intercept=float(beta[0]), slope=max(float(beta[1]), 0.0))
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -316,15 +343,23 @@ def reject(
 
         def judge(texts: list[bytes]) -> list[bool]:
             scores = (np.fromiter(map(weights.__getitem__, tokens(t)), dtype=np.float64) for t in texts)
-            return [chance(model, _best(own)) < threshold for own in scores]
+            return [chance(model, total(model, own)) < threshold for own in scores]
 
         return judge
 
     return keep_rows(docs, text_col, make_judge)
 
 
+def total(model: Model, scores: np.ndarray) -> float:
+    """What a document with these word scores is judged by."""
+    high = _best(scores)
+    if model.scale <= 0 or high < model.threshold or high <= 0:
+        return high
+    return combined(high, [s for _, _, s in segments(scores.tolist(), model.threshold)])
+
+
 def chance(model: Model, best: float) -> float:
-    """Label probability of a document by its best segment."""
+    """Label probability of a document by what it is judged by."""
     x = model.intercept
     if model.scale > 0:
         x += model.slope * surprise((best - model.location) / model.scale)
