@@ -11,12 +11,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, written
+from .common import broadcast_if_small, giving_way, written
 
 # The classifier is fitted on at most so many labelled documents, those of the
 # lowest id hashes, whatever the size of the corpus.
 SAMPLE_ROWS = 20_000
-NEW = ("n_tokens", "posterior", "rate", "ahead", "moved")
 FEATURES = 8192
 REGULARISATION = 0.02
 REPLAY = 10
@@ -62,10 +61,13 @@ def posteriors(
     """All columns of ``docs`` but the text, with n_tokens and an array ``posterior`` over ``domains``.
 
     ``labels`` has (id, domain); of several domains of an id the first in
-    alphabetical order counts, and domains that are not listed count for nothing. The
+    alphabetical order counts, and domains that are not listed count for nothing. A missing or empty text
+    has no words and is judged by its form; a row without an id, and each of repeated rows, is judged like any other.
+    A column of ``docs`` named n_tokens or posterior, in any case, stays, with an underscore in front. The
     classifier is a multinomial logistic regression on hashed words. Without labelled documents
     the posterior is even; with one domain only it is that one.
     """
+    docs = giving_way(docs, ["n_tokens", "posterior"])
     code = F.array_position(F.array(*map(F.lit, domains)), F.col("domain"))
     known = labels.where(F.col(id_col).isNotNull() & F.col("domain").isin(*domains))
     known = known.groupBy(F.col(id_col).cast("bigint").alias("id")).agg(F.min("domain").alias("domain"))
@@ -97,12 +99,10 @@ def posteriors(
         # the model knows classes up to the highest one seen
         filled = [F.get(found, F.lit(k)) if k <= max(seen) else F.lit(0.0) for k in range(n)]
         kept = [F.col(i).alias(c) for c, i in zip(named, inner, strict=True) if c != text_col]
-        # n_tokens and posterior are new columns; one of the same name in docs gives way
-        kept = [c for c, name in zip(kept, [x for x in named if x != text_col], strict=True) if name not in NEW]
         return scored.select(*kept, "n_tokens", F.array(*filled).alias("posterior"))
     even = [1.0 if seen == [k] else 0.0 if seen else 1.0 / n for k in range(n)]
     return docs.select(
-        *(f"`{c}`" for c in docs.columns if c != text_col and c not in NEW),
+        *(f"`{c}`" for c in docs.columns if c != text_col),
         F.size(_words(F.col(text_col))).cast("bigint").alias("n_tokens"),
         F.array(*map(F.lit, even)).alias("posterior"),
     )
@@ -146,9 +146,11 @@ def fit_rates(
     projected gradient with momentum; a step needs the totals of the domains
     only, so what reaches the driver is one number per domain. The rates of a
     row follow from its own posterior and the steps so far, and are written every
-    ``REPLAY`` steps. Rows without tokens get rate 0. An empty table stays empty.
+    ``REPLAY`` steps. Rows without tokens get rate 0. An empty table stays empty. Other columns stay; one
+    named rate, ahead, moved or p_<domain>, in any case, has an underscore in front.
     """
     domains = list(targets)
+    members = giving_way(members, ["rate", "ahead", "moved", *(f"p_{d}" for d in domains)])
     weight = np.array([targets[d] for d in domains], dtype=float)
     weight = budget_share * weight / weight.sum()
     n = len(domains)
