@@ -1,28 +1,38 @@
-"""Line dedup by pairwise alignment: documents that share a line are aligned by patience diff."""
+"""Line dedup by pairwise alignment: documents that share rare lines are aligned by patience diff.
+
+Documents of one text are one class: the copies of its first document lose
+everything. Among the classes, a line of at least ``MIN_WORDS`` words that at most
+``RARE`` of them hold is rare: every two documents that share one are aligned,
+and the later one loses the aligned blocks. A line that more documents hold is
+common text; it needs no pair, as an alignment of such a line alone always
+succeeds: all documents but the first lose it. So no shared line of that length
+goes without a link, a line makes at most RARE * (RARE - 1) / 2 pairs, and a group
+of thousands of copies makes none.
+"""
 
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, written
+from .common import broadcast_if_small, fresh, gives_back, scratch, written
 
-# A shared line links documents, and an aligned block counts, from so many words on.
+# A shared line links documents, and an aligned block goes, from so many words on.
 MIN_WORDS = 5
-BLANK = r"^[\x20\x09-\x0D]*$"
+# Documents that hold a rare line, at most.
+RARE = 16
+BLANK = 0
 
 
-def _matches(a: Sequence, b: Sequence, low_a: int, high_a: int, low_b: int, high_b: int) -> list[tuple[int, int]]:
-    """Lines that occur once in either range, as far as they come in one order: the longest rising chain."""
-    in_a, in_b = Counter(a[low_a:high_a]), Counter(b[low_b:high_b])
-    place = {x: j for j, x in enumerate(b[low_b:high_b], low_b) if x is not None and in_b[x] == 1 and in_a[x] == 1}
-    common = [(i, place[a[i]]) for i in range(low_a, high_a) if a[i] in place]
-    tops: list[int] = []  # the last line of b in the best chain of each length
+def _chain(common: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest part of (place in a, place in b), sorted by a, that rises in both."""
+    tops: list[int] = []  # the last place in b of the best chain of each length
     at: list[int] = []
     before: list[int] = []
     for k, (_, j) in enumerate(common):
@@ -40,17 +50,46 @@ def _matches(a: Sequence, b: Sequence, low_a: int, high_a: int, low_b: int, high
     return chain[::-1]
 
 
-def aligned_blocks(a: Sequence, b: Sequence) -> list[tuple[int, int, int]]:
+def _places(x: Sequence[int], low: int, high: int) -> dict[int, list[int]]:
+    found = defaultdict(list)
+    for k in range(low, high):
+        if x[k] != BLANK:
+            found[x[k]].append(k)
+    return found
+
+
+def _anchors(a: Sequence[int], b: Sequence[int], low_a: int, high_a: int, low_b: int, high_b: int) -> list[tuple[int, int]]:
+    """Lines that match, in one order: those that occur once in either range, or if there are none, like occurrences."""
+    in_a, in_b = _places(a, low_a, high_a), _places(b, low_b, high_b)
+    once = [(p[0], in_b[x][0]) for x, p in in_a.items() if len(p) == 1 and len(in_b.get(x, ())) == 1]
+    if not once:
+        # the first occurrence with the first, the second with the second, and so on
+        once = [pair for x, p in in_a.items() for pair in zip(p, in_b.get(x, ()), strict=False)]
+    return _chain(sorted(once))
+
+
+def aligned_blocks(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int, int]]:
     """(start in a, start in b, length) of the common blocks of a patience diff, in order.
 
-    Lines that are None (blank) start no block, but a block runs through them.
+    A range's common beginning and end are blocks; within, matching lines anchor
+    blocks that run on while lines agree, and the ranges between are done in turn.
+    Blank lines anchor no block, but a block runs through them.
     """
     blocks: list[tuple[int, int, int]] = []
     ranges = [(0, len(a), 0, len(b))]
     while ranges:
         low_a, high_a, low_b, high_b = ranges.pop()
+        n = 0
+        while low_a + n < high_a and low_b + n < high_b and a[low_a + n] == b[low_b + n]:
+            n += 1
+        blocks.append((low_a, low_b, n))
+        low_a, low_b, n = low_a + n, low_b + n, 0
+        while high_a - n > low_a and high_b - n > low_b and a[high_a - n - 1] == b[high_b - n - 1]:
+            n += 1
+        high_a, high_b = high_a - n, high_b - n
+        blocks.append((high_a, high_b, n))
         end_a, end_b = low_a, low_b
-        chain = _matches(a, b, low_a, high_a, low_b, high_b)
+        chain = _anchors(a, b, low_a, high_a, low_b, high_b)
         for i, j in chain:
             if i < end_a or j < end_b:
                 continue  # already inside the block before
@@ -64,72 +103,132 @@ def aligned_blocks(a: Sequence, b: Sequence) -> list[tuple[int, int, int]]:
             end_a, end_b = stop_i, stop_j
         if chain:
             ranges.append((end_a, high_a, end_b, high_b))
-    return sorted(blocks)
-
-
-def fresh(df: DataFrame, *names: str) -> list[str]:
-    """The names, with underscores in front until no column of ``df`` has them."""
-    taken = {c.lower() for c in df.columns}
-    found = []
-    for name in names:
-        while name.lower() in taken:
-            name = "_" + name
-        taken.add(name.lower())
-        found.append(name)
-    return found
+    return _joined(sorted(x for x in blocks if x[2]))
+
+
+def _joined(blocks: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Blocks that follow each other without a gap on either side, as one."""
+    out: list[tuple[int, int, int]] = []
+    for i, j, n in blocks:
+        if out and out[-1][0] + out[-1][2] == i and out[-1][1] + out[-1][2] == j:
+            out[-1] = (out[-1][0], out[-1][1], out[-1][2] + n)
+        else:
+            out.append((i, j, n))
+    return out
+
+
+def lost_lines(a: Sequence[int], words: Sequence[int], b: Sequence[int], min_words: int) -> list[int]:
+    """Lines of ``a``, with so many words each, in blocks that it shares with ``b``; blocks of fewer words stay."""
+    lost = []
+    for start, _, n in aligned_blocks(a, b):
+        if sum(words[start : start + n]) >= min_words:
+            lost.extend(range(start, start + n))
+    return lost
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def common_lines(texts: DataFrame, min_words: int) -> DataFrame:
-    """(id, mark, gone): the lines that each (id, mark, text) loses.
+def _hashed(line: Column) -> Column:
+    """A line's hash, ``BLANK`` if it has no word."""
+    return F.when(line.rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(F.lit(1), line)).otherwise(F.lit(BLANK).cast("bigint"))
 
-    All documents of a line are paired with the one of the smallest id, so a line
-    of n documents makes n - 1 pairs, however common it is, and no rarity bound
-    has to leave any out. A pair is listed once for all its lines.
-    """
-    key = F.struct(F.xxhash64(F.lit(1), F.col("line")).alias("p"), F.xxhash64(F.lit(2), F.col("line")).alias("q"))
-    numbered = texts.select("id", "mark", F.posexplode(_lines(F.col("text"))).alias("k", "line"))
-    # Two independent 64-bit hashes stand for a line; a blank one has none.
-    hashed = F.transform(
-        _lines(F.col("text")),
-        lambda x: F.when(
-            ~x.rlike(BLANK), F.struct(F.xxhash64(F.lit(1), x).alias("p"), F.xxhash64(F.lit(2), x).alias("q"))
-        ),
-    )
-    documents = written(texts.select("id", "mark", hashed.alias("lines")), "lines")
+
+def _word_count(line: Column) -> Column:
+    trimmed = F.btrim(line, F.lit("\x20\x09\x0a\x0b\x0c\x0d"))
+    return F.when(F.length(trimmed) > 0, F.size(F.split(trimmed, r"[\x20\x09-\x0D]+"))).otherwise(0)
+
+
+LOST = "id bigint, mark bigint, gone array<int>"
+
+
+def _lists(column: pa.Array) -> Iterator[pa.Array]:
+    """The lists of a column, as slices of its one array of values."""
+    ends = column.offsets.to_numpy()
+    return (column.values.slice(a, b - a) for a, b in zip(ends[:-1], ends[1:], strict=True))
+
+
+def common_lines(texts: DataFrame, min_words: int, rare: int) -> DataFrame:
+    """(id, mark, gone): the lines that each (id, mark, text) loses; ``mark`` is a hash of the text."""
+    with scratch(texts.sparkSession):
+        return written(_common_lines(texts, min_words, rare), "gone", outside=True)
+
+
+def _common_lines(texts: DataFrame, min_words: int, rare: int) -> DataFrame:
+    lines = _lines(F.col("text"))
     wordy = r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]" % (min_words - 1)
-    long = numbered.where(F.col("line").rlike(wordy))
-    keyed = long.select("id", "mark", key.alias("key"))
-    firsts = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    firsts = written(firsts.where(F.col("first") < F.col("last")).select("key", "first"), "firsts")
-    met = keyed.join(firsts, "key").where(F.col("id") > F.col("first"))
-    pairs = written(met.select("id", "mark", "first").distinct(), "pairs")
-    later = documents.withColumnRenamed("lines", "mine")
-    earlier = documents.select(F.col("id").alias("first"), F.col("lines").alias("theirs"))
-    both = pairs.join(later, ["id", "mark"]).join(earlier, "first").select("id", "mark", "mine", "theirs")
+    hashed = texts.select(
+        "id", "mark", F.xxhash64(F.lit(2), "text").alias("other_mark"), F.length("text").alias("size"),
+        F.transform(lines, _hashed).alias("lines"),
+        F.transform(lines, _word_count).alias("words"),
+        # the keys of the lines that can link, each once, as two hashes
+        F.array_distinct(F.transform(
+            F.filter(lines, lambda x: x.rlike(wordy)),
+            lambda x: F.struct(F.xxhash64(F.lit(1), x).alias("p"), F.xxhash64(F.lit(2), x).alias("q")),
+        )).alias("keys"),
+    )
+    documents = written(hashed.where(F.size("keys") > 0).distinct(), "lines")
+    # classes of one text
+    text_key = ["mark", "other_mark", "size"]
+    classes = written(documents.groupBy(*text_key).agg(F.min("id").alias("rep"), F.max("id").alias("last")), "classes")
+    copied = broadcast_if_small(classes.where("rep < last"), 40)
+    copies = documents.select("id", *text_key, F.size("lines").alias("n")).join(copied, text_key).where("id > rep")
+    everything = F.sequence(F.lit(0), F.col("n") - 1)
+    copies = copies.select("id", "mark", everything.alias("gone"))
+    reps = documents.join(classes.select(*text_key, F.col("rep").alias("id")), [*text_key, "id"])
+
+    keyed = written(reps.select("id", "mark", F.explode("keys").alias("key")), "keys")
+    held = keyed.groupBy("key").agg(
+        F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")
+    )
+    held = written(held.where("first < last"), "held")
+    # common text: all but the first lose the line
+    often = held.where(F.col("n") > rare).select("key", "first")
+    over = keyed.join(broadcast_if_small(often, 24), "key").where(F.col("id") > F.col("first"))
+    over = over.groupBy("id", "mark").agg(F.collect_set("key.p").alias("common"))
+    # a document loses what it holds itself, so a group has no more than its lines
+    shown = over.join(reps.select("id", "mark", "lines"), ["id", "mark"]).select("id", "mark", "lines", "common")
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines, common = ([x.to_numpy(zero_copy_only=False) for x in _lists(batch.column(k))] for k in (2, 3))
+            gone = [np.flatnonzero(np.isin(x, y)).astype(np.int32) for x, y in zip(lines, common, strict=True)]
+            columns = [batch.column(0), batch.column(1), pa.array(gone, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "gone"])
+
+    over = shown.mapInArrow(locate, LOST)
+    # rare lines: at most ``rare`` documents each, so the pairs of a line are few
+    few = keyed.join(held.where(F.col("n") <= rare).select("key"), "key")
+    holders = few.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("id", "mark"))).alias("holders"))
+    later = holders.select("holders", F.posexplode("holders").alias("k", "x"))
+    met = later.select("x", F.explode(F.slice("holders", F.lit(1), F.col("k"))).alias("y"))
+    pairs = met.select("x.id", "x.mark", F.col("y.id").alias("first"), F.col("y.mark").alias("first_mark"))
+    pairs = written(pairs.where(F.col("id") > F.col("first")).distinct(), "pairs")
+    mine = reps.select("id", "mark", F.col("lines").alias("mine"), "words")
+    theirs = reps.select(F.col("id").alias("first"), F.col("mark").alias("first_mark"), F.col("lines").alias("theirs"))
+    both = pairs.join(mine, ["id", "mark"]).join(theirs, ["first", "first_mark"]).select("id", "mark", "mine", "words", "theirs")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone = []
-            for mine, theirs in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                a = [x and (x["p"], x["q"]) for x in mine]
-                b = [x and (x["p"], x["q"]) for x in theirs]
-                gone.append([k for start, _, n in aligned_blocks(a, b) for k in range(start, start + n)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(gone, pa.list_(pa.int32()))], names=["id", "mark", "gone"]
-            )
+            lost, counts = [np.zeros(0, dtype=np.int32)], [0]
+            for a, words, b in zip(*map(_lists, batch.columns[2:]), strict=True):
+                found = lost_lines(*(x.to_numpy(zero_copy_only=False).tolist() for x in (a, words, b)), min_words)
+                lost.append(np.array(found, dtype=np.int32))
+                counts.append(len(found))
+            gone = pa.ListArray.from_arrays(pa.array(np.cumsum(counts), pa.int32()), pa.array(np.concatenate(lost)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), gone], names=["id", "mark", "gone"])
 
-    found = both.mapInArrow(align, "id bigint, mark bigint, gone array<int>")
-    merged = found.groupBy("id", "mark").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
-    return written(merged.where(F.size("gone") > 0), "gone")
+    aligned = both.mapInArrow(gives_back(align), LOST)
+    found = aligned.unionByName(over).unionByName(copies).where(F.size("gone") > 0)
+    each = found.select("id", "mark", F.explode("gone").alias("k"))
+    return each.groupBy("id", "mark").agg(F.array_sort(F.collect_set("k")).alias("gone"))
 
 
 def remove_common_lines(
     docs: DataFrame,
     min_words: int = MIN_WORDS,
+    rare: int = RARE,
     id_col: str = "doc_id",
     text_col: str = "text",
     kept_col: str = "kept_text",
@@ -137,24 +236,34 @@ def remove_common_lines(
 ) -> DataFrame:
     """All rows and columns of ``docs``, with the text that is kept and the numbers of the lines that go.
 
-    A document is aligned with every earlier one (smaller id) that is the first
-    to hold one of its lines of at least ``min_words`` words. Lines that occur once in
-    both, in one order, anchor blocks that run on while lines agree; the later document loses the blocks.
+    Lines of at least ``min_words`` words link documents. A copy of a document
+    with a smaller id loses all its lines; a line that more than ``rare``
+    different texts hold stays in the one of the smallest id only; documents that share a
+    rarer one are aligned, and the one of the larger id loses the common
+    blocks of at least ``min_words`` words. All is judged on the given texts.
     A missing text stays missing and an empty one empty; a row without an id
     loses nothing and takes nothing. Rows of one id are not compared with each
-    other; repeated rows come out as often as they go in.
+    other; repeated rows come out as often as they go in, however long. Where ``docs`` has a column
+    named like a new one, in any case, the new one has underscores in front.
     """
-    mark, row_id, gone = fresh(docs, "mark", "row_id", gone_col)
+    mark, row_id, found_col, kept_col, gone_col = fresh(docs, "mark", "row_id", "found", kept_col, gone_col)
     marked = docs.withColumns({
         row_id: F.col(id_col).cast("bigint"),
         mark: F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
     })
     usable = marked.where(F.col(row_id).isNotNull() & (F.length(F.col(text_col)) > 0))
     texts = usable.select(F.col(row_id).alias("id"), F.col(mark).alias("mark"), F.col(text_col).alias("text"))
-    found = common_lines(texts, min_words)
-    found = found.select(F.col("id").alias(row_id), F.col("mark").alias(mark), F.col("gone").alias(gone))
-    joined = marked.join(broadcast_if_small(found, 16 + 4 * F.size(gone)), [row_id, mark], "left")
-    left = F.filter(_lines(F.col(text_col)), lambda _, k: ~F.array_contains(gone, k))
-    kept = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
-    lines = F.array().cast("array<int>")
-    return joined.select(*docs.columns, kept.alias(kept_col), F.coalesce(F.col(gone), lines).alias(gone_col))
+    found = common_lines(texts, min_words, rare)
+    found = found.select(F.col("id").alias(row_id), F.col("mark").alias(mark), F.col("gone").alias(found_col))
+    joined = marked.join(broadcast_if_small(found, 16 + 4 * F.size(found_col)), [row_id, mark], "left")
+    lines = _lines(F.col(text_col))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(found_col))
+    joined = joined.withColumn(kept_col, F.when(F.col(found_col).isNotNull(), left))
+    split = fresh(joined, "split")[0]
+    joined = joined.withColumn(split, F.when(F.col(found_col).isNotNull(), lines))
+    kept = F.array_join(F.transform(kept_col, lambda k: F.get(split, k)), "\n")
+    kept = F.when(F.col(found_col).isNull(), F.col(text_col)).otherwise(kept)
+    none = F.array().cast("array<int>")
+    return joined.select(
+        *(F.col(f"`{c}`") for c in docs.columns), kept.alias(kept_col), F.coalesce(F.col(found_col), none).alias(gone_col)
+    )

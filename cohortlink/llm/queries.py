@@ -88,7 +88,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.remove_common_lines(load(spark, sf_dir, "documents"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.remove_common_lines(docs)
     return kept.select(
         "doc_id",
         F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"),
