@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlink.llm import decontamination, line_dedup, ngram_join, source_mixing, toxicity
-from cohortlink.llm.common import broadcast_if_small, load, ship, written
+from cohortlink.llm.common import broadcast_if_small, fresh, load, ship, written
 from cohortlink.llm.queries import DOMAIN_TARGETS, domain_labels, learning_labels
 
 
@@ -26,7 +26,7 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that they share with an earlier one; those of which nothing is left go."""
     ship(spark)
-    kept, gone = line_dedup.fresh(docs, "kept_text", "gone_lines")
+    kept, gone = fresh(docs, "kept_text", "gone_lines")
     rows = line_dedup.remove_common_lines(docs, kept_col=kept, gone_col=gone)
     rows = rows.where((F.size(gone) == 0) | F.col(kept).rlike(r"[^\x20\x09-\x0D]"))
     text = F.col(kept).alias("text")
