@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import scratch, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,6 +15,11 @@ def components(links: DataFrame) -> DataFrame:
     follows parents twice, and the links are redrawn between parents. Rounds are
     few, as paths shrink by a factor; nothing but a count reaches the driver.
     """
+    with scratch(links.sparkSession):
+        return written(_components(links), "components", outside=True)
+
+
+def _components(links: DataFrame) -> DataFrame:
     links = written(links.where("a <> b").distinct(), "links")
     labels = None
     while True:

@@ -34,9 +34,11 @@ from .common import (
     broadcast_if_small,
     buckets_of,
     chunks,
+    gives_back,
     id_and_bytes,
     mix,
-    partitions,
+    ranges,
+    scratch,
     window_hashes,
     window_starts,
     written,
@@ -53,6 +55,10 @@ PIVOT_ROUNDS = 2
 FEW, BLOCK = 48, 512
 # A sketch has so many 64-bit words for small sets, and at most so many doublings of it.
 SKETCH_WORDS, SKETCH_DOUBLINGS = 8, 5
+# Text that a numpy pass works on, and words remembered: a pass takes some 30 bytes for each of text.
+CHUNK, WORDS = 2 * 1024 * 1024, 150_000
+# A shingle, of about seven bytes of text, travels as four.
+SENT_PER_BYTE = 0.7
 
 
 def shingle_sets(texts: list[bytes], width: int, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -96,8 +102,8 @@ def set_statistics(texts: DataFrame, width: int, buckets: int) -> DataFrame:
     """
 
     def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary()
-        for number, (keys, chunk) in enumerate(chunks(batches)):
+        vocabulary = Vocabulary(WORDS)
+        for number, (keys, chunk) in enumerate(chunks(batches, CHUNK)):
             ids = np.array(keys, dtype=np.int64)
             hashes, doc = shingle_sets(chunk, width, vocabulary)
             sizes = np.bincount(doc, minlength=len(ids))
@@ -158,8 +164,8 @@ def set_statistics(texts: DataFrame, width: int, buckets: int) -> DataFrame:
             own[np.frombuffer(r["owner"], dtype=np.uint16), 2] += np.frombuffer(r["times"], dtype=np.uint32)
         return pa.table({name: own[:, k] for k, name in enumerate(STATS)})
 
-    requests = texts.mapInArrow(request, REQUEST)
-    answers = requests.groupBy("bucket").applyInArrow(answer, ANSWER)
+    requests = texts.mapInArrow(gives_back(request), REQUEST)
+    answers = requests.groupBy("bucket").applyInArrow(gives_back(answer), ANSWER)
     rows = answers.groupBy("chunk").applyInArrow(gather, ", ".join(f"{c} bigint" for c in STATS))
     merged = rows.groupBy("id").agg(F.max("shared").alias("shared"), F.max(F.struct("n", "f1", "f2")).alias("own"))
     return merged.select("id", "own.n", "shared", "own.f1", "own.f2")
@@ -223,7 +229,7 @@ def postings(sets: DataFrame, percent: int, rare: int) -> DataFrame:
                 names=["sig", "id", "n"],
             )
 
-    return lists.mapInArrow(sign, "sig bigint, id bigint, n bigint")
+    return lists.mapInArrow(gives_back(sign), "sig bigint, id bigint, n bigint")
 
 
 def parity_sketch(tokens: np.ndarray) -> np.ndarray:
@@ -260,7 +266,7 @@ def sketches_of(sets: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(made, pa.binary())], names=["id", "n", "sketch"]
             )
 
-    return sets.select("id", "n", "tokens").mapInArrow(run, "id bigint, n bigint, sketch binary")
+    return sets.select("id", "n", "tokens").mapInArrow(gives_back(run), "id bigint, n bigint, sketch binary")
 
 
 def verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -278,7 +284,7 @@ def verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: in
                 keep.append(_may_link(n, m, differ, percent))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    near = near.select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(glance, "a bigint, b bigint")
+    near = near.select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(gives_back(glance), "a bigint, b bigint")
     near = written(near, "near")
     left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("one"))
     right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("two"))
@@ -296,7 +302,7 @@ def verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: in
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(compare, "a bigint, b bigint")
+    return both.mapInArrow(gives_back(compare), "a bigint, b bigint")
 
 
 def _similar_size(percent: int):
@@ -373,7 +379,7 @@ def remaining_pairs(live: DataFrame, sketches: DataFrame, percent: int) -> DataF
         pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    large = dealt.groupBy("pivot", "apart", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+    large = dealt.groupBy("pivot", "apart", "i", "j").applyInArrow(gives_back(compare), "a bigint, b bigint")
     return met.union(large).distinct()
 
 
@@ -429,15 +435,15 @@ def similarity_classes(
     """
     spark = docs.sparkSession
     texts = id_and_bytes(docs, id_col, text_col)
-    statistics = written(set_statistics(texts, width, 2 * partitions(spark)), "sets")
+    statistics = written(set_statistics(texts, width, ranges(texts, SENT_PER_BYTE)), "sets")
     able = statistics.where((F.col("n") > 0) & (F.col("shared") * 100 >= F.col("n") * percent))
     classes = written(able.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "classes")
     members = able.join(broadcast_if_small(classes, 32), ["n", "f1", "f2"]).select("id", "rep")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary()
+        vocabulary = Vocabulary(WORDS)
         for batch in batches:
-            for keys, chunk in chunks([batch.select([0, 1])]):
+            for keys, chunk in chunks([batch.select([0, 1])], CHUNK):
                 hashes, doc = shingle_sets(chunk, width, vocabulary)
                 hashes = hashes[np.argsort(doc, kind="stable")]
                 ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(keys)))])
@@ -446,12 +452,15 @@ def similarity_classes(
                     [pa.array(keys, pa.int64()), pa.array(np.diff(ends), pa.int64()), tokens], names=["id", "n", "tokens"]
                 )
 
-    wanted = broadcast_if_small(classes.select(F.col("rep").alias("id")), 8)
-    sets = texts.join(wanted, "id").mapInArrow(collect, "id bigint, n bigint, tokens array<bigint>")
-    # of several texts under one id, the counted one
-    sets = written(sets, "tokens").join(classes.select(F.col("rep").alias("id"), "n").distinct(), ["id", "n"], "left_semi")
-    posts = written(postings(sets, percent, rare), "postings")
-    labels = linked_components(posts, sets, percent)
+    reps = classes.select(F.col("rep").alias("id"), "n").distinct()
+    with scratch(spark):
+        found = texts.join(broadcast_if_small(classes.select(F.col("rep").alias("id")), 8), "id")
+        found = found.mapInArrow(gives_back(collect), "id bigint, n bigint, tokens array<bigint>")
+        # of several texts under one id, the counted one; written, as the join is asked for six times
+        sets = written(found.join(broadcast_if_small(reps, 16), ["id", "n"], "left_semi"), "tokens")
+        posts = written(postings(sets, percent, rare), "postings")
+        labels = linked_components(posts, sets, percent)
+        labels = None if labels is None else written(labels, "labels", outside=True)
     result = statistics.select("id", "n")
     if labels is None:
         joined = result.join(members, "id", "left").withColumn("label", F.lit(None).cast("bigint"))
