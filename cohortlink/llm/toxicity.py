@@ -13,12 +13,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, chunks, keep_rows, written
+from .common import broadcast_if_small, chunks, gives_back, keep_rows, written
 
 # The model is fitted on at most about so many labelled documents, those of the lowest id hashes, whatever
 # the size of the corpus. That bounds its words, of which none is left out, and so what is sent to every task.
 LABELLED_ROWS = 200_000
 MIN_Z = 3.0
+# With many documents small effects are significant, too; a word of the model is this much likelier in toxic ones.
+MIN_ODDS = math.log(4.0)
 PRIOR_DOCS = 10.0
 # Score of a word that the model does not know: stretches end where such words go on.
 REST = -0.1
@@ -29,8 +31,8 @@ SEGMENT_P = 0.01
 class Model:
     """Log-odds by word (others take ``rest``), location and scale of clean extremes, and a logistic curve.
 
-    ``threshold`` is the score the best segment of a clean document exceeds with
-    probability ``SEGMENT_P``.
+    The best stretch of a clean document of n words follows a Gumbel law about
+    ``location`` + ``scale`` * ln n: a longer text has more chances.
     """
 
     weights: dict[str, float]
@@ -40,9 +42,13 @@ class Model:
     intercept: float
     slope: float
 
-    @property
-    def threshold(self) -> float:
-        return self.location - self.scale * math.log(-math.log1p(-SEGMENT_P))
+    def threshold(self, n_words: int) -> float:
+        """The score that the best stretch of a clean document exceeds with probability ``SEGMENT_P``."""
+        return self.location + self.scale * (math.log(max(n_words, 1)) - math.log(-math.log1p(-SEGMENT_P)))
+
+    def excess(self, best: float, n_words: int) -> float:
+        """How many scales a score is beyond the law's location."""
+        return (best - self.location) / self.scale - math.log(max(n_words, 1))
 
 
 def surprise(z: float) -> float:
@@ -150,7 +156,7 @@ def word_counts(labelled: DataFrame) -> DataFrame:
                 [pa.array(words, pa.binary()).cast(pa.string()), *columns], names=["word", *names]
             )
 
-    rows = labelled.mapInArrow(run, "word string, " + ", ".join(f"{n} bigint" for n in names))
+    rows = labelled.mapInArrow(gives_back(run), "word string, " + ", ".join(f"{n} bigint" for n in names))
     return rows.groupBy("word").agg(*(F.sum(n).alias(n) for n in names))
 
 
@@ -160,7 +166,7 @@ def log_odds(
     """Weights of the words and stems that mark toxic documents.
 
     The Dirichlet prior of a word is its share of all documents times ``prior``;
-    a word counts if its log-odds are ``min_z`` standard deviations above none.
+    a word counts if its log-odds are ``MIN_ODDS`` at least and ``min_z`` standard deviations above none.
     """
     if not n_bad or not n_good:
         return {}
@@ -171,7 +177,7 @@ def log_odds(
     scored = (
         counts.where(bad > 0)
         .select("word", (odds_bad - odds_good).alias("w"), ((odds_bad - odds_good) / error).alias("z"))
-        .where(F.col("z") >= min_z)
+        .where((F.col("z") >= min_z) & (F.col("w") >= MIN_ODDS))
     )
     return {r["word"]: r["w"] for r in scored.collect()}
 
@@ -187,7 +193,6 @@ def best_segments(docs: DataFrame, model: Model, all_segments: bool = False) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         weights = Weights(model.weights, model.rest)
-        least = model.threshold if all_segments else 0.0
         for ids, texts in chunks(batches):
             words = [tokens(t) for t in texts]
             counts = list(map(len, words))
@@ -199,6 +204,7 @@ def best_segments(docs: DataFrame, model: Model, all_segments: bool = False) ->
                 own = scores[start : start + n]
                 start += n
                 high = _best(own)
+                least = model.threshold(n) if all_segments else 0.0
                 found = segments(own.tolist(), least) if all_segments and high >= least and high > 0 else []
                 best.append(combined(high, [s for _, _, s in found]))
                 spans.append([{"start": a, "end": b, "score": s} for a, b, s in found])
@@ -208,7 +214,7 @@ def best_segments(docs: DataFrame, model: Model, all_segments: bool = False) ->
             )
 
     return docs.mapInArrow(
-        run, "id bigint, n_words bigint, best double, spans array<struct<start bigint, end bigint, score double>>"
+        gives_back(run), "id bigint, n_words bigint, best double, spans array<struct<start bigint, end bigint, score double>>"
     )
 
 
@@ -231,13 +237,19 @@ def fit(
     The calibration comes from one half of the rows, parted by the id's hash,
     scored with weights of the other half; the final weights come from all rows.
     Of more than ``labelled_rows`` rows about so many are taken, those of the
-    lowest id hashes. Without rows, or with one label only, every text
-    scores alike. Rows without an id, of a missing text and repeated rows count like others.
+    lowest id hashes. Of rows with equal texts the one of the lowest id is taken, with the highest label. Without rows, or with one label only, every text
+    scores alike. Rows without an id, and of a missing text count like others.
     """
-    given = labelled.count()
+    # copies of a text are one witness of its words
+    text = F.coalesce("text", F.lit(b""))
+    coded = labelled.select("id", "toxic", F.xxhash64(F.lit(1), text).alias("p"), F.xxhash64(F.lit(2), text).alias("q"))
+    firsts = written(coded.groupBy("p", "q").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic")), "witnesses")
+    given = firsts.count()
     if given > labelled_rows:
         place = F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(1 << 30))
-        labelled = labelled.where(place < int((1 << 30) * labelled_rows / given))
+        firsts = firsts.where(place < int((1 << 30) * labelled_rows / given))
+    known = firsts.groupBy("id").agg(F.max("toxic").alias("toxic"))
+    labelled = labelled.select("id", "text").join(broadcast_if_small(known, 12), "id")
     half = F.coalesce(F.pmod(F.xxhash64("id"), F.lit(2)), F.lit(0))
     marked = labelled.select((2 * half + F.col("toxic")).cast("bigint").alias("mark"), "text")
     counts = written(word_counts(marked), "word-counts")
@@ -249,10 +261,12 @@ def fit(
     # the label rides in the lowest bit of the id
     coded = rows.select((F.shiftleft("id", 1) + F.col("toxic")).alias("id"), "text")
 
-    def steps(model: Model) -> list[tuple[int, float, int]]:
-        scored = best_segments(coded, model, model.scale > 0).select(F.col("id").bitwiseAND(F.lit(1)).alias("toxic"), "best")
-        # Few distinct values matter: scores are counted in steps of a tenth.
-        return [tuple(r) for r in scored.groupBy("toxic", F.round("best", 1).alias("best")).count().collect()]
+    def steps(model: Model) -> list[tuple[int, int, float, int]]:
+        scored = best_segments(coded, model, model.scale > 0)
+        # Few distinct values matter: scores are counted in steps of a tenth, lengths in doublings.
+        length = F.floor(F.log2(F.col("n_words") + 1)).cast("int").alias("length")
+        counted = scored.groupBy(F.col("id").bitwiseAND(F.lit(1)).alias("toxic"), length, F.round("best", 1).alias("best"))
+        return [tuple(r) for r in counted.count().collect()]
 
     # the law of single stretches in clean text says which stretches are significant; documents are judged by their sum
     model = extremes(replace(model, scale=0.0), steps(replace(model, scale=0.0)))
@@ -264,28 +278,51 @@ def fit(
     return replace(model, weights=both)
 
 
-def extremes(model: Model, steps: list[tuple[int, float, int]]) -> Model:
-    """The Gumbel law of clean documents' best stretches, by moments; scale 0 where labels tell nothing."""
-    good = [(b, n) for t, b, n in steps if t == 0]
-    total = sum(n for _, n in good)
-    if not total or len(steps) < 2 or not any(t for t, _, _ in steps):
-        return replace(model, location=0.0, scale=0.0)
-    mean = sum(b * n for b, n in good) / total
-    spread = math.sqrt(max(sum(n * (b - mean) ** 2 for b, n in good) / total, 1e-4))
-    scale = spread * math.sqrt(6) / math.pi
-    return replace(model, location=mean - 0.5772156649015329 * scale, scale=scale)
+# Clean documents of a length class that make its quartiles known, and the least scale of the law.
+CLASS_DOCS, LEAST_SCALE = 20, 0.5
+
+
+def _words_of_class(length: int) -> float:
+    return 1.5 * 2.0**length
+
 
+def _quartiles(values: list[tuple[float, int]]) -> list[float]:
+    values = sorted(values)
+    upto = np.cumsum([n for _, n in values])
+    return [values[int(np.searchsorted(upto, share * upto[-1]))][0] for share in (0.25, 0.5, 0.75)]
 
-def calibrate(model: Model, steps: list[tuple[int, float, int]]) -> Model:
+
+def extremes(model: Model, steps: list[tuple[int, int, float, int]]) -> Model:
+    """The Gumbel law of clean documents' best stretches, by quartiles; scale 0 where labels tell nothing.
+
+    Quartiles are not moved by the few documents whose label or length is odd.
+    """
+    by_length: dict[int, list[tuple[float, int]]] = {}
+    for toxic, length, best, n in steps:
+        if toxic == 0:
+            by_length.setdefault(length, []).append((best, n))
+    if not by_length or not any(t for t, _, _, _ in steps):
+        return replace(model, location=0.0, scale=0.0)
+    sizes = {k: sum(n for _, n in v) for k, v in by_length.items()}
+    chosen = [k for k, n in sizes.items() if n >= CLASS_DOCS] or list(sizes)
+    quartiles = {k: _quartiles(by_length[k]) for k in chosen}
+    total = sum(sizes[k] for k in chosen)
+    spread = sum(sizes[k] * (quartiles[k][2] - quartiles[k][0]) for k in chosen) / total
+    # quartiles of a Gumbel law of scale 1 lie 1.5725 apart, its median 0.3665 above its location
+    scale = max(LEAST_SCALE, spread / 1.5725)
+    middle = sum(sizes[k] * (quartiles[k][1] - scale * math.log(_words_of_class(k))) for k in chosen) / total
+    return replace(model, location=middle - 0.3665 * scale, scale=scale)
+
+
+def calibrate(model: Model, steps: list[tuple[int, int, float, int]]) -> Model:
     """A logistic curve on the surprise of what documents are judged by, by Newton steps."""
     if model.scale <= 0:
-        bad, total = (sum(n for t, _, n in steps if t == k) for k in (1, 0))
+        bad, total = (sum(n for t, _, _, n in steps if t == k) for k in (1, 0))
         share = (bad + 0.5) / (bad + total + 1.0)
         return replace(model, intercept=math.log(share / (1 - share)), slope=0.0)
-    location, scale = model.location, model.scale
-    x = np.array([surprise((b - location) / scale) for _, b, _ in steps])
-    y = np.array([t for t, _, _ in steps], dtype=float)
-    n = np.array([c for _, _, c in steps], dtype=float)
+    x = np.array([surprise(model.excess(b, int(_words_of_class(k)))) for _, k, b, _ in steps])
+    y = np.array([t for t, _, _, _ in steps], dtype=float)
+    n = np.array([c for _, _, _, c in steps], dtype=float)
     beta = np.zeros(2)
     design = np.stack([np.ones_like(x), x], axis=1)
     for _ in range(50):
@@ -322,7 +359,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     if model.scale <= 0:
         x = F.lit(float(model.intercept))
     else:
-        z = (F.col("best") - F.lit(model.location)) / F.lit(model.scale)
+        length = F.log(F.greatest(F.col("n_words"), F.lit(1)).cast("double"))
+        z = (F.col("best") - F.lit(model.location)) / F.lit(model.scale) - length
         tail = -F.expm1(-F.exp(-F.greatest(z, F.lit(-30.0))))
         x = F.lit(model.intercept) + F.lit(model.slope) * F.when(z > 30, F.least(z, F.lit(60.0))).otherwise(
             -F.log(F.greatest(tail, F.lit(1e-26)))
@@ -343,7 +381,7 @@ def reject(
 
         def judge(texts: list[bytes]) -> list[bool]:
             scores = (np.fromiter(map(weights.__getitem__, tokens(t)), dtype=np.float64) for t in texts)
-            return [chance(model, total(model, own)) < threshold for own in scores]
+            return [chance(model, total(model, own), len(own)) < threshold for own in scores]
 
         return judge
 
@@ -352,15 +390,15 @@ def reject(
 
 def total(model: Model, scores: np.ndarray) -> float:
     """What a document with these word scores is judged by."""
-    high = _best(scores)
-    if model.scale <= 0 or high < model.threshold or high <= 0:
+    high, least = _best(scores), model.threshold(len(scores))
+    if model.scale <= 0 or high < least or high <= 0:
         return high
-    return combined(high, [s for _, _, s in segments(scores.tolist(), model.threshold)])
+    return combined(high, [s for _, _, s in segments(scores.tolist(), least)])
 
 
-def chance(model: Model, best: float) -> float:
+def chance(model: Model, best: float, n_words: int) -> float:
     """Label probability of a document by what it is judged by."""
     x = model.intercept
     if model.scale > 0:
-        x += model.slope * surprise((best - model.location) / model.scale)
+        x += model.slope * surprise(model.excess(best, n_words))
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))

@@ -236,12 +236,12 @@ def test_segments_take_linear_time():
 
 
 def test_several_passages_count_more_than_one(spark):
-    model = toxicity.Model({"bad": 2.0}, -0.1, 0.0, 1.0, 0.0, 1.0)
+    model = toxicity.Model({"bad": 2.0}, -0.1, 0.0, 0.2, 0.0, 0.05)
     gap = " fine" * 200
     texts = [(1, "bad bad bad" + gap), (2, "bad bad bad" + gap + " bad bad bad"), (3, "fine"), (4, None)]
     got = {r.doc_id: r for r in toxicity.score(frame(spark, texts), model).collect()}
     assert got[2].best == pytest.approx(2 * got[1].best) and len(got[2].spans) == 2 and got[2].score > got[1].score > got[3].score
-    assert got[3].score == got[4].score
+    assert got[3].score == pytest.approx(got[4].score)
     kept = {r.doc_id for r in toxicity.reject(frame(spark, texts), model, 0.7).collect()}
     assert kept == {i for i, x in got.items() if x.score < 0.7}
 
@@ -257,7 +257,7 @@ def test_toxicity_without_both_labels(spark, labels):
 
 
 def test_no_word_of_the_model_is_left_out(spark):
-    texts = [(i, " ".join(f"{'bad' if i % 2 else 'good'}{k}" for k in range(300))) for i in range(60)]
+    texts = [(i, " ".join(f"{'bad' if i % 2 else 'good'}{k}" for k in range(300)) + f" n{i}") for i in range(60)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int")
     labelled = toxicity.labelled_texts(frame(spark, texts), labels)
     assert len([w for w in toxicity.fit(labelled).weights if w.startswith("bad")]) == 300
