@@ -25,9 +25,11 @@ from ..sources import files
 # most this many bytes; beyond it the same join is done by shuffle.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A chunk is what one numpy pass works on: so many bytes of text, or documents.
-CHUNK_BYTES = 8 * 1024 * 1024
+CHUNK_BYTES = 2 * 1024 * 1024
 CHUNK_DOCS = 50_000
-VOCABULARY_WORDS = 400_000
+# Rows of an Arrow batch that become Python objects at a time.
+ROWS = 512
+VOCABULARY_WORDS = 200_000
 
 
 _shipped: set[str] = set()
@@ -116,7 +118,7 @@ def gives_back(run: Callable) -> Callable:
     return group
 
 
-RANGE_BYTES = 16 * 1024 * 1024
+RANGE_BYTES = 8 * 1024 * 1024
 
 
 def ranges(texts: DataFrame, per_byte: float, range_bytes: int = RANGE_BYTES) -> int:
@@ -178,16 +180,22 @@ def id_and_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def chunks(
     batches: Iterable[pa.RecordBatch], max_bytes: int = CHUNK_BYTES, max_docs: int = CHUNK_DOCS
 ) -> Iterator[list[list]]:
     """Rows of (key, text, ...) batches in bounded lists, one per column; a missing text is empty."""
     columns: list[list] | None = None
     size = 0
-    for batch in batches:
+    for part in _parts(batches):
         if columns is None:
-            columns = [[] for _ in range(batch.num_columns)]
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            columns = [[] for _ in range(part.num_columns)]
+        for row in zip(*(c.to_pylist() for c in part.columns), strict=True):
             for column, value in zip(columns, row, strict=True):
                 column.append(value)
             columns[1][-1] = columns[1][-1] or b""
@@ -205,7 +213,7 @@ def keep_rows(docs: DataFrame, text_col: str, make_judge: Callable[[], Callable[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = make_judge()
-        for batch in batches:
+        for batch in _parts(batches):
             start, size, texts = 0, 0, []
             for k, text in enumerate(batch.column(place).cast(pa.binary()).to_pylist()):
                 texts.append(text or b"")
@@ -214,7 +222,7 @@ def keep_rows(docs: DataFrame, text_col: str, make_judge: Callable[[], Callable[
                     yield batch.slice(start, len(texts)).filter(pa.array(judge(texts), pa.bool_()))
                     start, size, texts = k + 1, 0, []
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(gives_back(run), docs.schema)
 
 
 def buckets_of(hashes: np.ndarray, buckets: int) -> np.ndarray:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, id_and_bytes, keep_rows
+from .common import chunks, gives_back, id_and_bytes, keep_rows
 
 # Benchmark texts searched in one pass over the corpus, in bytes. A larger
 # benchmark is searched in several passes, whose results are put together.
@@ -251,7 +251,7 @@ def find_leaks(
                     names=["id", "text", "n_words", "hits", "items", "longest"],
                 )
 
-        rows = rows.mapInArrow(run, SCHEMA)
+        rows = rows.mapInArrow(gives_back(run), SCHEMA)
     return rows.drop("text").withColumnRenamed("id", id_col)
 
 
