@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, fresh, gives_back, scratch, written
 
-# A shared line links documents, and an aligned block goes, from so many words on.
+# A shared line links documents, and an aligned block goes with such a line in it, from so many words on.
 MIN_WORDS = 5
 # Documents that hold a rare line, at most.
 RARE = 16
@@ -117,11 +117,11 @@ def _joined(blocks: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return out
 
 
-def lost_lines(a: Sequence[int], words: Sequence[int], b: Sequence[int], min_words: int) -> list[int]:
-    """Lines of ``a``, with so many words each, in blocks that it shares with ``b``; blocks of fewer words stay."""
+def lost_lines(a: Sequence[int], wordy: Sequence[bool], b: Sequence[int]) -> list[int]:
+    """Lines of ``a`` in blocks that it shares with ``b``; a block without a wordy line stays."""
     lost = []
     for start, _, n in aligned_blocks(a, b):
-        if sum(words[start : start + n]) >= min_words:
+        if any(wordy[start : start + n]):
             lost.extend(range(start, start + n))
     return lost
 
@@ -135,11 +135,6 @@ def _hashed(line: Column) -> Column:
     return F.when(line.rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(F.lit(1), line)).otherwise(F.lit(BLANK).cast("bigint"))
 
 
-def _word_count(line: Column) -> Column:
-    trimmed = F.btrim(line, F.lit("\x20\x09\x0a\x0b\x0c\x0d"))
-    return F.when(F.length(trimmed) > 0, F.size(F.split(trimmed, r"[\x20\x09-\x0D]+"))).otherwise(0)
-
-
 LOST = "id bigint, mark bigint, gone array<int>"
 
 
@@ -158,14 +153,20 @@ def common_lines(texts: DataFrame, min_words: int, rare: int) -> DataFrame:
 def _common_lines(texts: DataFrame, min_words: int, rare: int) -> DataFrame:
     lines = _lines(F.col("text"))
     wordy = r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]" % (min_words - 1)
-    hashed = texts.select(
+    # a projection of its own, so that each line is looked at once
+    parsed = texts.select(
         "id", "mark", F.xxhash64(F.lit(2), "text").alias("other_mark"), F.length("text").alias("size"),
-        F.transform(lines, _hashed).alias("lines"),
-        F.transform(lines, _word_count).alias("words"),
+        F.transform(
+            lines, lambda x: F.struct(_hashed(x).alias("p"), F.xxhash64(F.lit(2), x).alias("q"), x.rlike(wordy).alias("w"))
+        ).alias("parsed"),
+    )
+    hashed = parsed.select(
+        "id", "mark", "other_mark", "size",
+        F.col("parsed.p").alias("lines"),
+        F.col("parsed.w").alias("wordy"),
         # the keys of the lines that can link, each once, as two hashes
         F.array_distinct(F.transform(
-            F.filter(lines, lambda x: x.rlike(wordy)),
-            lambda x: F.struct(F.xxhash64(F.lit(1), x).alias("p"), F.xxhash64(F.lit(2), x).alias("q")),
+            F.filter("parsed", lambda x: x["w"]), lambda x: F.struct(x["p"].alias("p"), x["q"].alias("q"))
         )).alias("keys"),
     )
     documents = written(hashed.where(F.size("keys") > 0).distinct(), "lines")
@@ -205,15 +206,15 @@ def _common_lines(texts: DataFrame, min_words: int, rare: int) -> DataFrame:
     met = later.select("x", F.explode(F.slice("holders", F.lit(1), F.col("k"))).alias("y"))
     pairs = met.select("x.id", "x.mark", F.col("y.id").alias("first"), F.col("y.mark").alias("first_mark"))
     pairs = written(pairs.where(F.col("id") > F.col("first")).distinct(), "pairs")
-    mine = reps.select("id", "mark", F.col("lines").alias("mine"), "words")
+    mine = reps.select("id", "mark", F.col("lines").alias("mine"), "wordy")
     theirs = reps.select(F.col("id").alias("first"), F.col("mark").alias("first_mark"), F.col("lines").alias("theirs"))
-    both = pairs.join(mine, ["id", "mark"]).join(theirs, ["first", "first_mark"]).select("id", "mark", "mine", "words", "theirs")
+    both = pairs.join(mine, ["id", "mark"]).join(theirs, ["first", "first_mark"]).select("id", "mark", "mine", "wordy", "theirs")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lost, counts = [np.zeros(0, dtype=np.int32)], [0]
-            for a, words, b in zip(*map(_lists, batch.columns[2:]), strict=True):
-                found = lost_lines(*(x.to_numpy(zero_copy_only=False).tolist() for x in (a, words, b)), min_words)
+            for a, wordy, b in zip(*map(_lists, batch.columns[2:]), strict=True):
+                found = lost_lines(*(x.to_numpy(zero_copy_only=False).tolist() for x in (a, wordy, b)))
                 lost.append(np.array(found, dtype=np.int32))
                 counts.append(len(found))
             gone = pa.ListArray.from_arrays(pa.array(np.cumsum(counts), pa.int32()), pa.array(np.concatenate(lost)))
@@ -240,7 +241,7 @@ def remove_common_lines(
     with a smaller id loses all its lines; a line that more than ``rare``
     different texts hold stays in the one of the smallest id only; documents that share a
     rarer one are aligned, and the one of the larger id loses the common
-    blocks of at least ``min_words`` words. All is judged on the given texts.
+    blocks that hold a line of that length. All is judged on the given texts.
     A missing text stays missing and an empty one empty; a row without an id
     loses nothing and takes nothing. Rows of one id are not compared with each
     other; repeated rows come out as often as they go in, however long. Where ``docs`` has a column

@@ -51,14 +51,14 @@ def lines_lost(texts, rare):
             holders[t].append(i)
     code = collections.defaultdict(lambda: len(code) + 1)
     number = {i: [code[t] if t.strip() else 0 for t in split[i]] for i in reps}
-    words = {i: [len(t.split()) for t in split[i]] for i in reps}
+    long = {i: [t in wordy[i] for t in split[i]] for i in reps}
     for i in reps:
         for k, t in enumerate(split[i]):
             if len(holders[t]) > rare and t in wordy[i] and holders[t][0] != i:
                 lost[i].add(k)
         for j in reps:
             if j < i and any(len(holders[t]) <= rare for t in wordy[i] & wordy[j]):
-                lost[i].update(line_dedup.lost_lines(number[i], words[i], number[j], WORDY))
+                lost[i].update(line_dedup.lost_lines(number[i], long[i], number[j]))
     return {i: sorted(lost[i]) for i, _ in texts}
 
 
