@@ -26,8 +26,9 @@ from .common import (
     broadcast_if_small,
     buckets_of,
     chunks,
+    gives_back,
     mix,
-    partitions,
+    ranges,
     written,
 )
 
@@ -65,9 +66,13 @@ def grams_of(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix(before * MULTIPLIER + words, 13) | one, mix(before, 11) & ~one
 
 
+# Text that a numpy pass works on, and words remembered: a pass takes some 60 bytes for each of text.
+CHUNK, WORDS = 3 * 1024 * 1024, 200_000
+
+
 def _scan(batches: Iterator[pa.RecordBatch]):
-    vocabulary = Vocabulary()
-    for k, (ids, texts, target) in enumerate(chunks(batches, max_docs=DOCS)):
+    vocabulary = Vocabulary(WORDS)
+    for k, (ids, texts, target) in enumerate(chunks(batches, CHUNK, DOCS)):
         words, counts = vocabulary.hashes([t.lower().split() for t in texts])
         doc = np.repeat(np.arange(len(ids)), counts)
         yield k, np.array(ids, dtype=np.int64), np.array(target, dtype=bool), counts, doc, grams_of(words, counts)
@@ -92,7 +97,7 @@ def word_totals(texts: DataFrame) -> tuple[int, int, list[int]]:
                 names=["gram", "n"],
             )
 
-    sums = texts.mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    sums = texts.mapInArrow(gives_back(run), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     sums = written(sums, "hot")
     totals = {r[0]: r[1] for r in sums.where("gram in (0, 1)").collect()}
     every = totals.get(1, 0)
@@ -119,7 +124,7 @@ def hot_counts(texts: DataFrame, hot: list[int]) -> dict[int, tuple[int, int]]:
             [pa.array(wanted.view(np.int64)), pa.array(totals[0]), pa.array(totals[1])], names=["gram", "t", "b"]
         )
 
-    rows = texts.mapInArrow(run, "gram bigint, t bigint, b bigint").groupBy("gram").agg(F.sum("t"), F.sum("b"))
+    rows = texts.mapInArrow(gives_back(run), "gram bigint, t bigint, b bigint").groupBy("gram").agg(F.sum("t"), F.sum("b"))
     return {r[0]: (r[1], r[2]) for r in rows.collect()}
 
 
@@ -159,7 +164,8 @@ def score_documents(
     hot_target, hot_all = (
         np.array([counted[int(g)][k] for g in known.view(np.int64)], dtype=np.float64) for k in (0, 1)
     )
-    buckets = partitions(docs.sparkSession)
+    # two kinds of gram a word, of some seven bytes of text, and seven bytes each
+    buckets = ranges(texts, 2.0)
 
     def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, ids, target, counts, doc, kinds in _scan(batches):
@@ -244,7 +250,7 @@ def score_documents(
             sums[np.frombuffer(r["owner"], dtype=np.uint16)] += np.frombuffer(r["sums"], dtype=np.float64)
         return pa.table([pa.array(ids), pa.array(counts), pa.array(sums / np.maximum(counts, 1))], names=["id", "n_words", "loss_difference"])
 
-    asked = texts.mapInArrow(request, REQUEST)
-    answers = asked.groupBy("bucket").applyInArrow(answer, ANSWER)
+    asked = texts.mapInArrow(gives_back(request), REQUEST)
+    answers = asked.groupBy("bucket").applyInArrow(gives_back(answer), ANSWER)
     scored = answers.groupBy("chunk").applyInArrow(gather, "id bigint, n_words bigint, loss_difference double")
     return scored.withColumnRenamed("id", id_col)
