@@ -25,8 +25,9 @@ from .common import (
     broadcast_if_small,
     buckets_of,
     chunks,
+    gives_back,
     packed,
-    partitions,
+    ranges as hash_ranges,
     unpacked,
     window_hashes,
     window_starts,
@@ -234,15 +235,16 @@ def answer_runs(table: pa.Table) -> pa.Table:
 
 def repeated_ranges(texts: DataFrame, width: int) -> DataFrame:
     """(id, mark, ranges): the words to remove, as start, end, start, end..., of each (id, text, mark) that has some."""
-    buckets = 2 * partitions(texts.sparkSession)
-    asked = texts.mapInArrow(ask_anchors(width, buckets), REQUEST)
-    answers = asked.groupBy("bucket").applyInArrow(answer_anchors, ANSWER)
-    near = answers.groupBy("chunk").applyInArrow(gather(width, True), RANGES)
+    # a window's remainder and place take six bytes for some seven of text
+    buckets = hash_ranges(texts, 0.85)
+    asked = texts.mapInArrow(gives_back(ask_anchors(width, buckets)), REQUEST)
+    answers = asked.groupBy("bucket").applyInArrow(gives_back(answer_anchors), ANSWER)
+    near = answers.groupBy("chunk").applyInArrow(gives_back(gather(width, True)), RANGES)
     near = written(near.groupBy("id", "mark").agg(F.max("ranges").alias("ranges")), "anchors")
     found = texts.join(broadcast_if_small(near, 16 + 4 * F.size("ranges")), ["id", "mark"])
-    asked = found.select("id", "text", "mark", "ranges").mapInArrow(ask_runs(width, buckets), REQUEST)
-    answers = asked.groupBy("bucket").applyInArrow(answer_runs, ANSWER)
-    repeats = answers.groupBy("chunk").applyInArrow(gather(width, False), RANGES)
+    asked = found.select("id", "text", "mark", "ranges").mapInArrow(gives_back(ask_runs(width, buckets)), REQUEST)
+    answers = asked.groupBy("bucket").applyInArrow(gives_back(answer_runs), ANSWER)
+    repeats = answers.groupBy("chunk").applyInArrow(gives_back(gather(width, False)), RANGES)
     return written(repeats.groupBy("id", "mark").agg(F.max("ranges").alias("ranges")), "repeats")
 
 
