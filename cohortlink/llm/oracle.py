@@ -108,7 +108,152 @@ def _repair() -> str:
     left join done on done.conv is not distinct from i.conv_id"""
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
+_BLANK_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _placed(source: str, text: str, word: str, row: str) -> str:
+    """Rows of ``source`` numbered r, their words w, one per row with its place p from 1 on."""
+    return f"""{row}_words as (select *, regexp_extract_all({text}, '{word}') as w from {source}),
+        {row} as (select r, unnest(range(1, len(w) + 1)) as p, unnest(w) as word from {row}_words)"""
+
+
+def _runs(width: int) -> str:
+    """The list of up to ``width`` words from a place on."""
+    return f"list(word) over (partition by r order by p rows between current row and {width - 1} following)"
+
+
+def _similarity(width: int = 5, percent: int = 75) -> str:
+    return rf"""
+    with recursive given as (select doc_id as r, text from documents where doc_id is not null),
+    {_placed("given", _LOWERED, _BLANK_WORD, "doc")},
+    starts as (select r, p, {_runs(width)} as run from doc),
+    shingle as (select distinct r, array_to_string(run, ' ') as g from starts where len(run) = {width} or p = 1),
+    own as (select r, count(*) as n, md5(string_agg(g, chr(10) order by g)) as mark from shingle group by r),
+    rep as (select mark, any_value(n) as n, min(r) as rep from own group by mark),
+    kept as (select r, g, n from shingle join rep on r = rep),
+    link as (select a.r as x, b.r as y from kept a join kept b on a.g = b.g and a.r <> b.r
+        group by a.r, b.r having 100 * count(*) >= {percent} * (any_value(a.n) + any_value(b.n) - count(*))),
+    reach as (select rep as x, rep as y from rep union select reach.x, link.y from reach join link on reach.y = link.x),
+    least as (select x, min(y) as label from reach group by x)
+    select given.r as doc_id, coalesce(own.n, 0) as n_shingles, coalesce(label, given.r) as component_id
+    from given left join own on own.r = given.r left join rep using (mark) left join least on x = rep"""
+
+
+def _repeats(width: int = 13) -> str:
+    return rf"""
+    with given as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents where doc_id is not null),
+    {_placed("given", "text", _BLANK_WORD, "doc")},
+    starts as (select r, p, word, {_runs(width)} as run from doc),
+    named as (select r, p, word, doc_id, case when len(run) = {width} then array_to_string(run, ' ') end as g
+        from starts join given using (r)),
+    seen as (select *, g is not null and min(doc_id) over (partition by g) < doc_id as again from named),
+    cut as (select r, p, word, bool_or(again) over (partition by r order by p rows between {width - 1} preceding and current row)
+        as gone from seen),
+    left_ as (select r, count(*) as n, count_if(gone) as n_gone, string_agg(word, ' ' order by p) filter (where not gone) as kept
+        from cut group by r)
+    select doc_id, coalesce(n, 0)::bigint as n_words, coalesce(n_gone, 0)::bigint as n_removed,
+           sha256(coalesce(kept, '')) as kept_sha256
+    from given left join left_ using (r)"""
+
+
+def _leaks(width: int = 10) -> str:
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return rf"""
+    with given as (select row_number() over () as r, doc_id, {_LOWERED} as text from documents where doc_id is not null),
+    {_placed("given", "text", word, "doc")},
+    items as (select row_number() over () as r, item_id, {_LOWERED} as text from benchmark where item_id is not null),
+    {_placed("items", "text", word, "item")},
+    asked as (select r, p, {_runs(width)} as run, least({width}, count(*) over (partition by r)) as k from item),
+    windows as (select r as t, item_id, p as q, k, array_to_string(run, ' ') as g from asked join items using (r) where len(run) = k),
+    starts as (select r, p, {_runs(width)} as run from doc),
+    probes as (select r, p, k, array_to_string(run[1:k], ' ') as g from starts, (select distinct k from windows) where len(run) >= k),
+    found as (select r, p, k, t, item_id, q from probes join windows using (k, g)),
+    hit as (select r, count(*) as n from (select distinct r, unnest(range(p, p + k)) as p from found) group by r),
+    named as (select r, count(*) as n, string_agg(item, ',' order by item) as ids
+        from (select distinct r, item_id::varchar as item from found) group by r),
+    island as (select r, k, t, p - q as lag_, p - row_number() over (partition by r, t, p - q order by p) as start from found),
+    longest as (select r, max(n) as n from (select r, count(*) + k - 1 as n from island group by r, k, t, lag_, start) group by r)
+    select doc_id, coalesce(total.n, 0)::bigint as n_words, coalesce(hit.n, 0)::bigint as n_hit,
+           coalesce(named.n, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256,
+           coalesce(hit.n, 0) > 0 as contaminated, coalesce(longest.n, 0)::integer as longest_match
+    from given left join (select r, count(*) as n from doc group by r) total using (r)
+    left join hit using (r) left join named using (r) left join longest using (r)"""
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+def _secrets() -> str:
+    names = "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
+    quote = "[\"'']?"
+    value = "[A-Za-z0-9+/_.=-]+"
+    patterns = {
+        "assign": rf"(?:{names}){quote}\x20*[:=]\x20*{quote}{value}",
+        "access": "AKIA[A-Z0-9]+",
+        "hex": "[0-9a-f]+",
+        "string": "[A-Za-z0-9+/_=-]+",
+    }
+    long_enough = {
+        "assign": rf"len(regexp_extract(m, '^(?:{names}){quote}\x20*[:=]\x20*{quote}({value})$', 1)) >= 8",
+        "access": "len(m) >= 16",
+        "hex": "len(m) >= 32",
+        "string": "len(m) >= 20",
+    }
+    allow = "|".join((
+        "[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
+        "[0-9]+",
+        "[A-Z]?[a-z]+(?:[-_/][A-Z]?[a-z]+)*",
+        "(?i:.*(?:example|placeholder|xxxx|abcdefgh|01234567).*)",
+    ))
+    kinds = ["assign", "access", "hex", "entropy_hex", "entropy_alpha", "entropy_mixed"]
+    # matches stand between two control characters; the pieces' lengths give their places
+    parts = [
+        rf"""select r, '{kind}' as kind, unnest(string_split(regexp_replace(replace(replace(text, chr(1), ' '), chr(2), ' '),
+            '({pattern})', chr(1) || '\1' || chr(1), 'g'), chr(1))) as m,
+            unnest(range(len(string_split(regexp_replace(replace(replace(text, chr(1), ' '), chr(2), ' '),
+            '({pattern})', chr(1) || '\1' || chr(1), 'g'), chr(1))))) as k from given"""
+        for kind, pattern in patterns.items()
+    ]
+    fits = " or ".join(f"(kind = '{kind}' and {test})" for kind, test in long_enough.items())
+    order = f"start, list_position({kinds}, kind), stop"
+    listed = "kind || ':' || start::varchar || ':' || stop::varchar"
+    return rf"""
+    with given as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+    pieces as ({" union all ".join(parts)}),
+    matches as (select r, kind, m, k, (sum(len(m)) over (partition by r, kind order by k))::bigint as stop from pieces),
+    spans as (select r, kind, m, stop - len(m) as start, stop from matches where k % 2 = 1 and ({fits})),
+    base as (select r, kind, start, stop from spans where kind <> 'string'),
+    strings as (select *, row_number() over () as s, case when regexp_full_match(m, '[0-9a-fA-F]+') then 'entropy_hex'
+            when regexp_full_match(m, '[A-Za-z]+') then 'entropy_alpha' else 'entropy_mixed' end as class
+        from spans where kind = 'string' and not regexp_full_match(m, '{allow}')),
+    placed as (select s, unnest(range(len(m) - 19)) as i, m from strings),
+    letters as (select s, i, unnest(string_split(substr(m, i + 1, 20), '')) as c from placed),
+    bits as (select s, i, log2(20) - sum(n * log2(n)) / 20 as bits
+        from (select s, i, c, count(*) as n from letters group by s, i, c) group by s, i),
+    high as (select s, i, class, r, start from bits join strings using (s)
+        where bits >= case class when 'entropy_hex' then 3.0 when 'entropy_alpha' then 3.9 else 3.7 end - 1e-9),
+    parted as (select *, i - coalesce(lag(i) over (partition by s order by i), -100) > 20 as opens from high),
+    numbered as (select *, count_if(opens) over (partition by s order by i) as stretch from parted),
+    stretches as (select r, class as kind, start + min(i) as start, start + max(i) + 20 as stop
+        from numbered group by s, stretch, r, class, start),
+    every as (select * from base union all select * from stretches t where not exists (
+        select 1 from base b where b.r = t.r and b.start <= t.start and t.stop <= b.stop)),
+    told as (select r, count_if(kind = 'assign') as a, count_if(kind = 'access') as c, count_if(kind = 'hex') as h,
+        string_agg({listed}, ',' order by {order}) filter (where kind in ('assign', 'access', 'hex')) as base,
+        string_agg({listed}, ',' order by {order}) as spans from every group by r)
+    select doc_id, coalesce(a, 0)::bigint as n_assign, coalesce(c, 0)::bigint as n_access, coalesce(h, 0)::bigint as n_hex,
+           sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+    from given left join told using (r)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_jaccard_join": _similarity(),
+    "op2_substring_dedup": _repeats(),
+    "op6_decontamination": _leaks(),
+    "op8_secret_scans": _secrets(),
     "op11_conversation_repair": _repair(),
     "op12_centroid_clustering": _clustering(),
     "op13_exact_topk_search": _TOP_K,
