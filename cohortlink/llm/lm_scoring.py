@@ -1,8 +1,9 @@
 """LM scoring: cross-entropy difference of a target and a background bigram model over one vocabulary.
 
 Both models are p(w | u) = (c(u, w) + a) / (c(u) + a * V), with the same a and V,
-over counts of the target documents and of all documents; the latter are scaled
-to as many words as the target has. The logarithm parts into a term for the
+over counts of the target documents and of all others; the latter are scaled
+to as many words as the target has. V is the size of the vocabulary that both share: the distinct
+words of all documents, built in the first scan, and one unknown word. The logarithm parts into a term for the
 bigram and one for its context, so each can be computed where the counts of that
 one gram come together. Grams meet in hash ranges, packed; what comes back
 is a sum per document. Grams that make up more than a given share of all text are counted
@@ -46,13 +47,15 @@ class Settings:
     vocabulary: int
     scale: float
 
-    def value(self, grams: np.ndarray, own: np.ndarray, mine: np.ndarray, target, background) -> np.ndarray:
+    def value(self, grams: np.ndarray, own: np.ndarray, mine: np.ndarray, target, every) -> np.ndarray:
         """Part of the loss difference of grams, 1 for a bigram and 0 for a context, seen ``own`` times in the document.
 
-        The document's own occurrences are taken off both counts.
+        ``every`` counts all documents, ``target`` those of the target, ``mine`` is ``own`` in
+        one of these and else 0. The document's own occurrences are taken off its model's counts.
         """
+        background = every - target - (own - mine)
         flat = np.where(grams == 1, self.smoothing, self.smoothing * self.vocabulary)
-        difference = np.log(self.scale * (background - own) + flat) - np.log(target - mine + flat)
+        difference = np.log(self.scale * background + flat) - np.log(target - mine + flat)
         return own * np.where(grams == 1, difference, -difference)
 
 
@@ -75,14 +78,14 @@ def _scan(batches: Iterator[pa.RecordBatch]):
     for k, (ids, texts, target) in enumerate(chunks(batches, CHUNK, DOCS)):
         words, counts = vocabulary.hashes([t.lower().split() for t in texts])
         doc = np.repeat(np.arange(len(ids)), counts)
-        yield k, np.array(ids, dtype=np.int64), np.array(target, dtype=bool), counts, doc, grams_of(words, counts)
+        yield k, np.array(ids, dtype=np.int64), np.array(target, dtype=bool), counts, doc, grams_of(words, counts), words
 
 
-def word_totals(texts: DataFrame) -> tuple[int, int, list[int]]:
-    """Words of the target, words of all, and the grams that may be hot."""
+def word_totals(texts: DataFrame) -> tuple[int, int, int, list[int]]:
+    """Words of the target, words of all, distinct words of all, and the grams that may be hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, target, counts, _, kinds in _scan(batches):
+        for _, _, target, counts, _, kinds, words in _scan(batches):
             hashes, numbers = [np.zeros(1, np.uint64)], [np.array([counts[target].sum()])]
             for grams in kinds:
                 value, n = np.unique(grams, return_counts=True)
@@ -92,18 +95,27 @@ def word_totals(texts: DataFrame) -> tuple[int, int, list[int]]:
             # the hash 0 stands for the words of the target, 1 for all words
             hashes.append(np.ones(1, np.uint64))
             numbers.append(np.array([counts.sum()]))
+            # words of the vocabulary, which need no count
+            entries = np.unique(words)
+            n_grams = sum(map(len, hashes))
+            hashes.append(entries)
+            numbers.append(np.zeros(len(entries), dtype=np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(numbers), pa.int64())],
-                names=["gram", "n"],
+                [
+                    pa.array(np.arange(n_grams + len(entries)) >= n_grams),
+                    pa.array(np.concatenate(hashes).view(np.int64)),
+                    pa.array(np.concatenate(numbers), pa.int64()),
+                ],
+                names=["word", "gram", "n"],
             )
 
-    sums = texts.mapInArrow(gives_back(run), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    sums = written(sums, "hot")
-    totals = {r[0]: r[1] for r in sums.where("gram in (0, 1)").collect()}
+    sums = texts.mapInArrow(gives_back(run), "word boolean, gram bigint, n bigint")
+    sums = written(sums.groupBy("word", "gram").agg(F.sum("n").alias("n")), "hot")
+    totals = {r[0]: r[1] for r in sums.where("not word and gram in (0, 1)").select("gram", "n").collect()}
     every = totals.get(1, 0)
     # at most 2 / share grams of either kind pass
-    hot = sums.where(~F.col("gram").isin(0, 1) & (F.col("n") >= HOT_SHARE / 2 * every)).select("gram")
-    return totals.get(0, 0), every, sorted(r[0] for r in hot.collect())
+    hot = sums.where(~F.col("word") & ~F.col("gram").isin(0, 1) & (F.col("n") >= HOT_SHARE / 2 * every)).select("gram")
+    return totals.get(0, 0), every, sums.where("word").count(), sorted(r[0] for r in hot.collect())
 
 
 def hot_counts(texts: DataFrame, hot: list[int]) -> dict[int, tuple[int, int]]:
@@ -114,7 +126,7 @@ def hot_counts(texts: DataFrame, hot: list[int]) -> dict[int, tuple[int, int]]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, len(wanted)), dtype=np.int64)
-        for _, _, target, _, doc, kinds in _scan(batches):
+        for _, _, target, _, doc, kinds, _ in _scan(batches):
             for grams in kinds:
                 place = np.minimum(np.searchsorted(wanted, grams), len(wanted) - 1)
                 found = wanted[place] == grams
@@ -136,16 +148,15 @@ def score_documents(
     docs: DataFrame,
     target_ids: DataFrame,
     smoothing: float = 0.1,
-    vocabulary: int = 1_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """(id, n_words, loss_difference): nats per word that the target model loses more than the background model.
 
     Lower is more like the target, which is the documents whose id is in
-    ``target_ids``; the background is all of ``docs``. Words are lower-cased in A-Z and
+    ``target_ids``; the background is the rest of ``docs``. Words are lower-cased in A-Z and
     split at ASCII white space; a document's own words are left out of the counts
-    it is judged by. Grams are told apart by hash range and a 40-bit remainder.
+    of its model. Without other documents the background knows no word. Grams are told apart by hash range and a 40-bit remainder.
     A missing or empty text has no words and difference 0; without target documents
     all differences are finite and unfavourable alike. Rows without an id are left out; repeated rows count
     as documents of their own and come out as often as they go in. Other columns are not read.
@@ -157,8 +168,8 @@ def score_documents(
     marked = broadcast_if_small(ids, 8)
     texts = texts.join(marked.withColumn("target", F.lit(True)), "id", "left")
     texts = texts.select("id", "text", F.coalesce("target", F.lit(False)).alias("target"))
-    in_target, every, hot = word_totals(texts)
-    settings = Settings(smoothing, vocabulary, in_target / every if every else 0.0)
+    in_target, every, words, hot = word_totals(texts)
+    settings = Settings(smoothing, words + 1, in_target / max(1, every - in_target))
     counted = hot_counts(texts, hot)
     known = np.sort(np.array(list(counted), dtype=np.int64).view(np.uint64))
     hot_target, hot_all = (
@@ -168,7 +179,7 @@ def score_documents(
     buckets = ranges(texts, 2.0)
 
     def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, ids, target, counts, doc, kinds in _scan(batches):
+        for number, ids, target, counts, doc, kinds, _ in _scan(batches):
             key = TaskContext.get().partitionId() << 32 | number
             sums = np.zeros(len(ids))
             parts = []

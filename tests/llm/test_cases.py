@@ -7,7 +7,17 @@ import time
 
 import numpy as np
 import pytest
-from cohortlink.llm import common, decontamination, line_dedup, ngram_join, quality_rules, source_mixing, substring_dedup, toxicity
+from cohortlink.llm import (
+    common,
+    decontamination,
+    line_dedup,
+    lm_scoring,
+    ngram_join,
+    quality_rules,
+    source_mixing,
+    substring_dedup,
+    toxicity,
+)
 from cohortlink.plans.stages import session_run
 from cohortlink.sources import files
 from pyspark.sql import functions as F
@@ -341,3 +351,16 @@ def test_joins_by_shuffle_give_the_same(spark, no_broadcast):
 
 def _cut(docs):
     return substring_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256))
+
+
+@pytest.mark.parametrize("every", [True, False])
+def test_lm_scores_with_one_model_empty(spark, every):
+    docs = spark.createDataFrame([(1, "a b a b c"), (2, "a b d"), (3, None), (4, "")], "doc_id bigint, text string")
+    ids = spark.createDataFrame([(k,) for k in (1, 2, 3, 4) if every], "doc_id bigint")
+    got = {r.doc_id: r for r in lm_scoring.score_documents(docs, ids).collect()}
+    assert {i: r.n_words for i, r in got.items()} == {1: 5, 2: 3, 3: 0, 4: 0}
+    assert got[3].loss_difference == got[4].loss_difference == 0
+    if every:  # the target knows words of the other document, the background none
+        assert got[1].loss_difference < 0 and got[2].loss_difference < 0
+    else:
+        assert got[1].loss_difference == got[2].loss_difference == 0

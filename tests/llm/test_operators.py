@@ -114,25 +114,24 @@ def test_substring_dedup_equals_window_table(docs, texts):
 def test_lm_scores_equal_direct_losses(spark, docs, texts):
     target = {i for i, _ in texts if i % 2}
     ids = spark.createDataFrame([(i, 1) for i in target], "doc_id bigint, n int")
-    got = by_id(lm_scoring.score_documents(docs, ids, 0.1, 1_000_000))
+    got = by_id(lm_scoring.score_documents(docs, ids, 0.1))
     words = {i: (x or "").translate(LOWER).encode().split() for i, x in texts}
 
     def grams(w):
         before = [None, *w[:-1]] if w else []
         return collections.Counter(zip(before, w, strict=True)), collections.Counter(before)
 
-    every, mine = [collections.Counter(), collections.Counter()], [collections.Counter(), collections.Counter()]
+    rest, mine = [collections.Counter(), collections.Counter()], [collections.Counter(), collections.Counter()]
     for i, w in words.items():
         for k, c in enumerate(grams(w)):
-            every[k].update(c)
-            if i in target:
-                mine[k].update(c)
-    share = sum(len(words[i]) for i in target) / sum(map(len, words.values()))
+            (mine if i in target else rest)[k].update(c)
+    share = sum(len(words[i]) for i in target) / sum(len(w) for i, w in words.items() if i not in target)
+    size = len(set().union(*words.values())) + 1
     for i, w in words.items():
         total = 0.0
-        for k, (sign, add) in enumerate(((1, 0.1), (-1, 1e5))):
+        for k, (sign, add) in enumerate(((1, 0.1), (-1, 0.1 * size))):
             for g, n in grams(w)[k].items():
-                other = math.log(share * (every[k][g] - n) + add)
+                other = math.log(share * (rest[k][g] - n * (i not in target)) + add)
                 total += sign * n * (other - math.log(mine[k][g] - n * (i in target) + add))
         assert got[i].loss_difference == pytest.approx(total / max(1, len(w)), abs=1e-5)
 
