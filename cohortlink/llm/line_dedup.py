@@ -164,12 +164,12 @@ def _common_lines(texts: DataFrame, min_words: int, rare: int) -> DataFrame:
         "id", "mark", "other_mark", "size",
         F.col("parsed.p").alias("lines"),
         F.col("parsed.w").alias("wordy"),
-        # the keys of the lines that can link, each once, as two hashes
-        F.array_distinct(F.transform(
+        # the keys of the lines that can link, as two hashes, in order
+        F.sort_array(F.transform(
             F.filter("parsed", lambda x: x["w"]), lambda x: F.struct(x["p"].alias("p"), x["q"].alias("q"))
-        )).alias("keys"),
+        )).alias("ordered"),
     )
-    documents = written(hashed.where(F.size("keys") > 0).distinct(), "lines")
+    documents = written(hashed.where(F.size("ordered") > 0).distinct(), "lines")
     # classes of one text
     text_key = ["mark", "other_mark", "size"]
     classes = written(documents.groupBy(*text_key).agg(F.min("id").alias("rep"), F.max("id").alias("last")), "classes")
@@ -179,7 +179,9 @@ def _common_lines(texts: DataFrame, min_words: int, rare: int) -> DataFrame:
     copies = copies.select("id", "mark", everything.alias("gone"))
     reps = documents.join(classes.select(*text_key, F.col("rep").alias("id")), [*text_key, "id"])
 
-    keyed = written(reps.select("id", "mark", F.explode("keys").alias("key")), "keys")
+    # each key once: equal ones are neighbours, where array_distinct would compare all structs with each other
+    once = F.filter("ordered", lambda x, k: ~x.eqNullSafe(F.get("ordered", k + 1)))
+    keyed = written(reps.select("id", "mark", F.explode(once).alias("key")), "keys")
     held = keyed.groupBy("key").agg(
         F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")
     )
@@ -257,13 +259,15 @@ def remove_common_lines(
     found = common_lines(texts, min_words, rare)
     found = found.select(F.col("id").alias(row_id), F.col("mark").alias(mark), F.col("gone").alias(found_col))
     joined = marked.join(broadcast_if_small(found, 16 + 4 * F.size(found_col)), [row_id, mark], "left")
-    lines = _lines(F.col(text_col))
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(found_col))
-    joined = joined.withColumn(kept_col, F.when(F.col(found_col).isNotNull(), left))
-    split = fresh(joined, "split")[0]
-    joined = joined.withColumn(split, F.when(F.col(found_col).isNotNull(), lines))
-    kept = F.array_join(F.transform(kept_col, lambda k: F.get(split, k)), "\n")
-    kept = F.when(F.col(found_col).isNull(), F.col(text_col)).otherwise(kept)
+    # a sign per line up to the last that goes; no lambda looks into the text, so none splits it again for each line
+    gone = F.col(found_col)
+    signs = F.transform(gone, lambda k, i: F.concat(
+        F.repeat(F.lit("0"), k - F.coalesce(F.get(gone, i - 1), F.lit(-1)) - 1), F.lit("1")
+    ))
+    signs = F.split(F.array_join(signs, ""), "")
+    # array_join leaves out what is null
+    left = F.zip_with(_lines(F.col(text_col)), signs, lambda line, s: F.when(s == "1", None).otherwise(line))
+    kept = F.when(gone.isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
     none = F.array().cast("array<int>")
     return joined.select(
         *(F.col(f"`{c}`") for c in docs.columns), kept.alias(kept_col), F.coalesce(F.col(found_col), none).alias(gone_col)

@@ -139,6 +139,14 @@ def test_line_dedup_of_a_very_long_text(spark):
     assert got == {1: 0, 2: 30_000}
 
 
+def test_line_dedup_takes_time_in_proportion_to_the_lines(spark):
+    # with every key compared with every other one, this would run for hours
+    lines = [f"{k % 150_000} is a line of its own" for k in range(200_000)]
+    texts = [(1, "\n".join(lines)), (2, "\n".join([*lines, "end"]))]
+    got = {r.doc_id: r.gone_lines for r in line_dedup.remove_common_lines(frame(spark, texts)).collect()}
+    assert got == {1: [], 2: list(range(200_000))}
+
+
 # --- decontamination
 
 
