@@ -13,8 +13,9 @@ The tokens are hashed shingles. Steps, each a table in the shared folder:
    signatures: two linked sets share a signature in their prefixes.
 4. Candidates of a signature are not all paired: they are compared with a few
    pivots, and what is linked by then needs no further comparison. Pairs
-   between different components are compared in full at the end, so no link
-   between components is lost, and none within one changes the result.
+   between different components are compared at the end, by sketches and those
+   that may link in full, so no link between components is lost, and none
+   within one changes the result.
 """
 
 from __future__ import annotations
@@ -53,6 +54,8 @@ RARE = 16
 PIVOT_ORDERS = 4
 PIVOT_ROUNDS = 2
 FEW, BLOCK = 48, 512
+# A pair that a join makes is worth this many comparisons of sketches, at least.
+PAIR_COST = 16
 # A sketch has so many 64-bit words for small sets, and at most so many doublings of it.
 SKETCH_WORDS, SKETCH_DOUBLINGS = 8, 5
 # Text that a numpy pass works on, and words remembered: a pass takes some 30 bytes for each of text.
@@ -318,24 +321,35 @@ def pivot_pairs(live: DataFrame, percent: int) -> DataFrame:
 def remaining_pairs(live: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """(a, b): all pairs of an open signature in different components that can still link.
 
-    The pairs of a signature of few members come from a join, at most ``FEW`` for
-    each member. The members of larger signatures are put together by pivot, as
-    signatures of one pivot have much the same members. Of such a group, those
-    outside its largest component are compared with all, block by block: a task
-    has two blocks at a time, however many there are, and pairs that the sketches
-    rule out are never made into rows.
+    Members of signatures are put together by pivot, as signatures of one pivot
+    have much the same members: a pair is met once there, not once for each
+    signature. Of such a group, those outside its largest component are compared
+    with all, block by block: a task has two blocks at a time, however many there
+    are, and pairs that the sketches rule out are never made into rows. Only where
+    a pivot's signatures of few members have so little in common that their pairs,
+    at most ``FEW`` for each member, cost less than those of the group, they come
+    from a join.
     """
-    few = live.where(F.col("members") <= FEW).select("sig", "id", "n", "label")
+    small = F.col("members") <= FEW
+    # of a pivot, the sum of met is the sum of squares of the sizes of its small signatures
+    met = F.sum(F.when(small, F.col("members"))).alias("met")
+    around = live.groupBy(F.col("other").alias("pivot"), "id", "label").agg(met, F.max(~small).alias("large"))
+    around = written(around, "around")
+    costs = around.groupBy("pivot").agg(F.count("met").alias("size"), F.sum("met").alias("met"))
+    loose = written(costs.where(F.col("size") * F.col("size") > F.lit(PAIR_COST) * F.col("met")).select("pivot"), "loose")
+    few = live.where(small).join(broadcast_if_small(loose, 8), F.col("other") == F.col("pivot"), "left_semi")
+    few = few.select("sig", "id", "n", "label")
     other = few.select("sig", F.col("id").alias("other"), F.col("n").alias("m"), F.col("label").alias("there"))
     met = few.join(other, "sig").where((F.col("id") < F.col("other")) & (F.col("label") != F.col("there")))
     met = met.where(_similar_size(percent)).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
-    around = live.where(F.col("members") > FEW).select(F.col("other").alias("pivot"), "id", "label").distinct()
-    around = written(around, "around")
+    around = around.join(broadcast_if_small(loose.withColumn("loose", F.lit(True)), 16), "pivot", "left")
+    around = written(around.where("loose is null or large").select("pivot", "id", "label"), "grouped")
     shares = around.groupBy("pivot", "label").agg(F.count(F.lit(1)).alias("size"))
     tops = shares.groupBy("pivot").agg(F.max(F.struct("size", "label")).alias("top"), F.sum("size").alias("members"))
     tops = tops.where("members > top.size").select(
         "pivot",
         F.col("top.label").alias("largest"),
+        (F.col("members") <= BLOCK).alias("whole"),
         F.ceil(F.col("top.size") / BLOCK).cast("int").alias("inner"),
         F.ceil((F.col("members") - F.col("top.size")) / BLOCK).cast("int").alias("outer"),
     )
@@ -350,7 +364,8 @@ def remaining_pairs(live: DataFrame, sketches: DataFrame, percent: int) -> DataF
     outer = F.sequence(F.lit(0), F.col("outer") - 1)
     met_outside = F.transform(outer, lambda k: unit(False, F.least(mine, k), F.greatest(mine, k)))
     met_inside = F.transform(F.sequence(F.lit(0), F.col("inner") - 1), lambda k: unit(True, k, mine))
-    units = F.when(inside, F.transform(outer, lambda k: unit(True, mine, k))).otherwise(F.concat(met_outside, met_inside))
+    apart = F.when(inside, F.transform(outer, lambda k: unit(True, mine, k))).otherwise(F.concat(met_outside, met_inside))
+    units = F.when(F.col("whole"), F.array(unit(False, F.lit(0), F.lit(0)))).otherwise(apart)
     dealt = dealt.select("pivot", F.explode(units).alias("unit"), "inside", "mine", "id", "label")
     dealt = dealt.select("pivot", "unit.*", "inside", "mine", "id", "label").join(sketches, "id")
 
@@ -369,7 +384,7 @@ def remaining_pairs(live: DataFrame, sketches: DataFrame, percent: int) -> DataF
             if apart:
                 fits &= inside
             else:
-                fits &= (places > k) if same_block else (places > k) & (mine != mine[k])
+                fits &= inside | (places > k) if same_block else (places > k) & (mine != mine[k])
             for words in set(lengths[fits].tolist()):
                 least = min(words, len(bits[k]))
                 other = np.flatnonzero(fits & (lengths == words))
@@ -392,8 +407,10 @@ def linked_components(posts: DataFrame, sets: DataFrame, percent: int) -> DataFr
             here = posts.withColumn("label", F.col("id"))
         else:
             here = posts.join(broadcast_if_small(labels, 16), "id", "left").select("sig", "id", "n", F.coalesce("label", "id").alias("label"))
-        # one of a few orders of all sets, by signature: the same sets become pivots of many signatures
-        order = F.xxhash64(F.lit(step), F.pmod("sig", F.lit(PIVOT_ORDERS)), "id")
+        # one of a few orders of all sets, by signature: the same sets become pivots of many signatures; at the end
+        # one order only, as a pair is compared under each pivot
+        orders = PIVOT_ORDERS if step < PIVOT_ROUNDS else 1
+        order = F.xxhash64(F.lit(step), F.pmod("sig", F.lit(orders)), "id")
         first = F.min(F.struct(order.alias("rank"), "id", "n", "label")).alias("pivot")
         ends = F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")
         open_ = here.groupBy("sig").agg(first, *ends).where("low < high")

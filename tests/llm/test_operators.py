@@ -94,6 +94,36 @@ def test_ngram_join_equals_all_pairs(docs, texts, blocks, monkeypatch):
     assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == {i: (len(s), find(i)) for i, s in sets.items()}
 
 
+@pytest.mark.parametrize("block", [512, 7])
+def test_ngram_join_makes_no_rows_of_pairs_ruled_out(spark, block, monkeypatch):
+    """Sets alike by a third share twenty signatures; only the pair that may link becomes a row, whatever their number."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    r = random.Random(3)
+    token = lambda: r.getrandbits(63)
+    for members in (8, 16, 48):
+        common = [token() for _ in range(50)]
+        sets = [[*common, *(token() for _ in range(50))] for _ in range(members)]
+        sets[5] = [token(), *sets[2][1:]]
+        # the largest component has three sets, which are not compared with one another
+        label = [0 if k in (0, 1, 7) else k for k in range(members)]
+        live = [(s, k, 100, label[k], members, 1, 100, 0) for s in range(20) for k in range(members)]
+        live = spark.createDataFrame(live, "sig long, id long, n long, label long, members long, other long, m long, there long")
+        frame = spark.createDataFrame([(k, 100, x) for k, x in enumerate(sets)], "id long, n long, tokens array<long>")
+        got = ngram_join.remaining_pairs(live, ngram_join.sketches_of(frame), 75)
+        assert [tuple(x) for x in got.collect()] == [(2, 5)]
+
+
+def test_ngram_join_of_a_set_that_shares_each_token_with_another(spark):
+    """A set that meets each of many others under a signature of its own meets them only, and they not one another."""
+    r = random.Random(4)
+    sets = [[r.getrandbits(63) for _ in range(100)] for _ in range(301)]
+    live = [(s, k, 100, k, 2, 0, 100, 0) for s in range(1, 301) for k in (0, s)]
+    live = spark.createDataFrame(live, "sig long, id long, n long, label long, members long, other long, m long, there long")
+    frame = spark.createDataFrame([(k, 100, x) for k, x in enumerate(sets)], "id long, n long, tokens array<long>")
+    got = ngram_join.remaining_pairs(live, ngram_join.sketches_of(frame), 75)
+    assert sorted(tuple(x) for x in got.collect()) == [(0, k) for k in range(1, 301)]
+
+
 def test_substring_dedup_equals_window_table(docs, texts):
     first, words = {}, {}
     for i, x in sorted(texts):
